@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream source, watermark, windowed aggregation or
+stateful operator; every computation is a batch job over a rating file.  The
+operators in ``corate.operators`` are plain DataFrame transformations, so a
+caller who needs incremental scoring can apply them inside
+``writeStream.foreachBatch`` without anything from this package.
+"""
