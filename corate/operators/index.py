@@ -118,3 +118,17 @@ def decode_index(df: DataFrame, index: DenseIndex, idx_col: str, id_col: str) ->
     """Reverse lookup ``idx -> id`` by an equi-join with the same index table."""
     rev = index.frame.select(F.col("idx").alias(idx_col), F.col("id").alias(id_col))
     return df.join(rev, idx_col).drop(idx_col)
+
+
+def rank_within(df: DataFrame, group_cols: list[str], order: list[Column], rank_col: str = "rank") -> DataFrame:
+    """1-based rank of each row inside its group under ``order``, for groups of any size.
+
+    Rows are numbered in the global order ``(group_cols, order)`` by a range
+    sort, so a huge group spans several tasks; the rank is the row's number
+    minus the first number of its group.  ``order`` must make rows unique
+    within a group.
+    """
+    numbered = number_rows(df, [F.col(c) for c in group_cols] + list(order), pos_col="_gpos")
+    starts = numbered.frame.groupBy(*group_cols).agg(F.min("_gpos").alias("_gstart"))
+    ranked = numbered.frame.join(starts, group_cols)
+    return ranked.withColumn(rank_col, F.col("_gpos") - F.col("_gstart") + 1).drop("_gpos", "_gstart")

@@ -124,3 +124,141 @@ QUERIES = {
     "similar_pairs_events": q_similar_pairs_events,
     "similar_pairs_ratings": q_similar_pairs_ratings,
 }
+
+
+# ------------------------------------------------------------ collaborative filtering
+
+from corate.operators.basic import exclude_pairs, swap_roles  # noqa: E402
+from corate.operators.evaluate import precision_recall, rmse  # noqa: E402
+from corate.operators.knn import knn_items, knn_users  # noqa: E402
+from corate.operators.neighbours import neighbour_table  # noqa: E402
+from corate.operators.predict import item_stats, predict_mean, user_stats  # noqa: E402
+from corate.operators.similarity import pair_similarity  # noqa: E402
+from corate.plans import recommend as rec  # noqa: E402
+
+
+def _prediction(df: DataFrame) -> DataFrame:
+    return df.select("user_id", "item_id", _r6("prediction"))
+
+
+def q_exclude_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, valid = _train_valid(spark, sf_dir)
+    return exclude_pairs(train.unionByName(valid), valid)
+
+
+def q_swap_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _train_valid(spark, sf_dir)
+    return swap_roles(train)
+
+
+def q_user_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _train_valid(spark, sf_dir)
+    return user_stats(train).select("user_id", _r6("user_mean"), "user_n")
+
+
+def q_item_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _train_valid(spark, sf_dir)
+    return item_stats(train).select("item_id", _r6("item_mean"))
+
+
+def _rating_pairs(spark: SparkSession, sf_dir: str):
+    train, valid = _train_valid(spark, sf_dir)
+    universe = union_index(train, valid, "user_id")
+    return train, valid, similar_pairs(train, min_sim=RATING_MIN_SIM, universe=universe)
+
+
+def _similarity(spark: SparkSession, sf_dir: str, center: str) -> DataFrame:
+    train, _, pairs = _rating_pairs(spark, sf_dir)
+    sims = pair_similarity(train, pairs.select("id1", "id2"), center)
+    return sims.select("target_id", "neighbour_id", _r6("similarity"))
+
+
+def q_similarity_active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _similarity(spark, sf_dir, "active")
+
+
+def q_similarity_own(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _similarity(spark, sf_dir, "own")
+
+
+def q_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, valid, pairs = _rating_pairs(spark, sf_dir)
+    nb = neighbour_table(pairs, train, targets=valid.select("item_id"))
+    return nb.select("target_id", "neighbour_id", _r6("weight"))
+
+
+def q_predict_item_based(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, valid = _train_valid(spark, sf_dir)
+    return _prediction(rec.item_based(train, valid, min_sim=RATING_MIN_SIM))
+
+
+def q_predict_user_based(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, valid = _train_valid(spark, sf_dir)
+    return _prediction(rec.user_based(train, valid))
+
+
+def q_predict_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, valid = _train_valid(spark, sf_dir)
+    return _prediction(predict_mean(train, valid))
+
+
+def q_knn_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, valid = _train_valid(spark, sf_dir)
+    return knn_items(train, valid, k=5).select("user_id", "item_id", "neighbour_id", _r6("similarity"), "rank")
+
+
+def q_knn_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, valid = _train_valid(spark, sf_dir)
+    return knn_users(train, valid).select("user_id", "item_id", "neighbour_id", _r6("similarity"), "rank")
+
+
+def _rmse(result: DataFrame) -> DataFrame:
+    return result.select(_r6("rmse"), "n")
+
+
+def q_rmse_item_based(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, valid = _train_valid(spark, sf_dir)
+    return _rmse(rmse(rec.item_based(train, valid, min_sim=RATING_MIN_SIM), valid))
+
+
+def q_rmse_user_based(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, valid = _train_valid(spark, sf_dir)
+    return _rmse(rmse(rec.user_based(train, valid), valid))
+
+
+def q_rmse_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, valid = _train_valid(spark, sf_dir)
+    return _rmse(rmse(predict_mean(train, valid), valid))
+
+
+def q_als_explicit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, valid = _train_valid(spark, sf_dir)
+    return rec.als_based(train, valid)
+
+
+def q_als_implicit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, valid = _train_valid(spark, sf_dir)
+    return rec.als_based(train, valid, implicit=True)
+
+
+QUERIES.update(
+    {
+        "exclude_pairs": q_exclude_pairs,
+        "swap_roles": q_swap_roles,
+        "user_mean": q_user_mean,
+        "item_mean": q_item_mean,
+        "similarity_active": q_similarity_active,
+        "similarity_own": q_similarity_own,
+        "neighbours": q_neighbours,
+        "predict_item_based": q_predict_item_based,
+        "predict_user_based": q_predict_user_based,
+        "predict_mean": q_predict_mean,
+        "knn_items": q_knn_items,
+        "knn_users": q_knn_users,
+        "rmse_item_based": q_rmse_item_based,
+        "rmse_user_based": q_rmse_user_based,
+        "rmse_mean": q_rmse_mean,
+        "als_explicit": q_als_explicit,
+        "als_implicit": q_als_implicit,
+    }
+)

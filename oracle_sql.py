@@ -171,6 +171,222 @@ def sql_similar_pairs_ratings(min_sim: float = 0.2) -> str:
 SELECT id1, id2, round(similarity, 6) AS similarity FROM r_jac WHERE similarity >= {min_sim}"""
 
 
+# ------------------------------------------------------- collaborative filtering
+
+
+def sim_expr(n="cnt", sa="sa", so="so", sao="sao", saa="saa", soo="soo", center="active") -> str:
+    num = f"({n}*{sao} - {sa}*{so})"
+    d1 = f"({n}*{saa} - {sa}*{sa})"
+    d2 = f"({n}*{soo} - 2.0*{sa}*{so} + {sa}*{sa})" if center == "active" else f"({n}*{soo} - {so}*{so})"
+    return (
+        f"CASE WHEN {n} >= 2 AND {num} <> 0 AND {d1} > 0 AND {d2} > 0 "
+        f"THEN {num} / (sqrt({d1}) * sqrt({d2})) END"
+    )
+
+
+def directed_sims_cte(name: str, pairs: str, ratings: str, center: str = "active") -> str:
+    """``{name}(t, n, sim)``: similarity of target t vs neighbour n over common raters, brute force."""
+    return f"""{name} AS (
+  SELECT t, n, {sim_expr(center=center)} AS sim FROM (
+    SELECT p.t, p.n, count(*) AS cnt, sum(a.rating) AS sa, sum(o.rating) AS so, sum(a.rating*o.rating) AS sao,
+           sum(a.rating*a.rating) AS saa, sum(o.rating*o.rating) AS soo
+    FROM {pairs} p JOIN {ratings} a ON a.item_id = p.t JOIN {ratings} o ON o.item_id = p.n AND o.user_id = a.user_id
+    GROUP BY p.t, p.n))"""
+
+
+def neighbour_ctes(prefix: str, pairs: str, ratings: str, targets: str) -> str:
+    """``{prefix}_nb(target_id, neighbour_id, weight)`` with the placeholder rules."""
+    return f"""{prefix}_tg AS (SELECT DISTINCT item_id AS t FROM {targets}),
+{prefix}_pt AS (
+  SELECT DISTINCT t, n FROM (SELECT id1 AS t, id2 AS n FROM {pairs} UNION ALL SELECT id2 AS t, id1 AS n FROM {pairs})
+  WHERE t <> n AND t IN (SELECT item_id FROM {ratings}) AND t IN (SELECT t FROM {prefix}_tg)
+),
+{directed_sims_cte(prefix + "_sim", prefix + "_pt", ratings)},
+{prefix}_nb AS (
+  SELECT DISTINCT * FROM (
+    SELECT p.t AS target_id, CASE WHEN s.sim IS NOT NULL THEN p.n ELSE p.t END AS neighbour_id,
+           CASE WHEN s.sim IS NOT NULL THEN s.sim ELSE 1.0 END AS weight
+    FROM {prefix}_pt p LEFT JOIN {prefix}_sim s ON s.t = p.t AND s.n = p.n
+    UNION ALL
+    SELECT t, t, 1.0 FROM {prefix}_tg WHERE t NOT IN (SELECT t FROM {prefix}_pt)))"""
+
+
+STATS_CTES = """um AS (SELECT user_id, avg(rating) AS user_mean, count(*) AS user_n, sum(rating) AS user_sum FROM train GROUP BY user_id),
+im AS (SELECT item_id, avg(rating) AS item_mean FROM train GROUP BY item_id),
+gm AS (SELECT avg(rating) AS g FROM train),
+keys AS (SELECT DISTINCT user_id, item_id FROM valid)"""
+
+ITEM_PRED_CTES = """ipred AS (
+  SELECT a.user_id, a.item_id,
+    CASE WHEN um.user_mean IS NULL THEN coalesce(im.item_mean, (SELECT g FROM gm))
+         WHEN a.n_entries = 0 OR (a.n_entries = 1 AND a.has_self = 1) THEN um.user_mean
+         WHEN a.den IS NULL OR a.den = 0 OR abs(a.num) < 1e-9 THEN um.user_mean
+         ELSE abs(a.num / a.den) END AS prediction
+  FROM (
+    SELECT l.user_id, l.item_id, count(l.neighbour_id) AS n_entries,
+           max(CASE WHEN l.neighbour_id = l.item_id THEN 1 ELSE 0 END) AS has_self,
+           sum(CASE WHEN tr.rating IS NOT NULL THEN l.weight * tr.rating END) AS num,
+           sum(CASE WHEN tr.rating IS NOT NULL THEN abs(l.weight) END) AS den
+    FROM (SELECT k.user_id, k.item_id, nb.neighbour_id, nb.weight FROM keys k LEFT JOIN i_nb nb ON nb.target_id = k.item_id) l
+    LEFT JOIN train tr ON tr.user_id = l.user_id AND tr.item_id = l.neighbour_id
+    GROUP BY l.user_id, l.item_id) a
+  LEFT JOIN um ON um.user_id = a.user_id LEFT JOIN im ON im.item_id = a.item_id
+)"""
+
+SWAPPED = """strain AS (SELECT item_id AS user_id, user_id AS item_id, rating FROM train),
+svalid AS (SELECT item_id AS user_id, user_id AS item_id, rating FROM valid)"""
+SWAPPED_USERS = "SELECT user_id, 0 AS src_order FROM strain UNION ALL SELECT user_id, 1 AS src_order FROM svalid"
+
+USER_PRED_CTES = """upred AS (
+  SELECT a.user_id, a.item_id,
+    CASE WHEN um.user_mean IS NULL THEN coalesce(im.item_mean, (SELECT g FROM gm))
+         WHEN a.den IS NULL OR a.den = 0 OR abs(a.num) < 1e-9 THEN um.user_mean
+         ELSE um.user_mean + a.num / a.den END AS prediction
+  FROM (
+    SELECT user_id, item_id,
+           sum(CASE WHEN r IS NOT NULL AND vmean IS NOT NULL THEN weight * (r - vmean) END) AS num,
+           sum(CASE WHEN r IS NOT NULL AND vmean IS NOT NULL THEN abs(weight) END) AS den
+    FROM (
+      SELECT l.user_id, l.item_id, l.weight, tr.rating AS r,
+             CASE WHEN st.user_n > 1 THEN (st.user_sum - tr.rating) / (st.user_n - 1) END AS vmean
+      FROM (SELECT k.user_id, k.item_id, nb.neighbour_id, nb.weight FROM keys k LEFT JOIN u_nb nb ON nb.target_id = k.user_id) l
+      LEFT JOIN train tr ON tr.user_id = l.neighbour_id AND tr.item_id = l.item_id
+      LEFT JOIN um st ON st.user_id = l.neighbour_id)
+    GROUP BY user_id, item_id) a
+  LEFT JOIN um ON um.user_id = a.user_id LEFT JOIN im ON im.item_id = a.item_id
+)"""
+
+MEAN_PRED_CTE = """mpred AS (
+  SELECT k.user_id, k.item_id, coalesce(im.item_mean, um.user_mean, (SELECT g FROM gm)) AS prediction
+  FROM keys k LEFT JOIN im ON im.item_id = k.item_id LEFT JOIN um ON um.user_id = k.user_id
+)"""
+
+
+def _item_based_ctes() -> list[str]:
+    return [
+        RATINGS_CTE,
+        family_values(),
+        lsh_ctes("train", "r", RATING_USERS),
+        "r_sp AS (SELECT id1, id2 FROM r_jac WHERE similarity >= 0.2)",
+        neighbour_ctes("i", "r_sp", "train", "valid"),
+        STATS_CTES,
+        ITEM_PRED_CTES,
+    ]
+
+
+def _user_based_ctes() -> list[str]:
+    return [
+        RATINGS_CTE,
+        SWAPPED,
+        family_values(),
+        lsh_ctes("strain", "s", SWAPPED_USERS),
+        "s_sp AS (SELECT id1, id2 FROM s_jac WHERE similarity > 0)",
+        neighbour_ctes("u", "s_sp", "strain", "svalid"),
+        STATS_CTES,
+        USER_PRED_CTES,
+    ]
+
+
+def sql_exclude_pairs() -> str:
+    return with_(RATINGS_CTE) + """
+SELECT a.user_id, a.item_id, a.rating FROM (SELECT * FROM train UNION ALL SELECT * FROM valid) a
+WHERE NOT EXISTS (SELECT 1 FROM valid v WHERE v.user_id = a.user_id AND v.item_id = a.item_id)"""
+
+
+def sql_swap_roles() -> str:
+    return with_(RATINGS_CTE) + "\nSELECT item_id AS user_id, user_id AS item_id, rating FROM train"
+
+
+def sql_user_mean() -> str:
+    return with_(RATINGS_CTE) + """
+SELECT user_id, round(avg(rating), 6) AS user_mean, count(*) AS user_n FROM train GROUP BY user_id"""
+
+
+def sql_item_mean() -> str:
+    return with_(RATINGS_CTE) + """
+SELECT item_id, round(avg(rating), 6) AS item_mean FROM train GROUP BY item_id"""
+
+
+def sql_similarity(center: str) -> str:
+    return with_(
+        RATINGS_CTE,
+        family_values(),
+        lsh_ctes("train", "r", RATING_USERS),
+        """r_dir AS (SELECT id1 AS t, id2 AS n FROM r_jac WHERE similarity >= 0.2
+          UNION ALL SELECT id2 AS t, id1 AS n FROM r_jac WHERE similarity >= 0.2)""",
+        directed_sims_cte("r_sim", "r_dir", "train", center),
+    ) + "\nSELECT t AS target_id, n AS neighbour_id, round(sim, 6) AS similarity FROM r_sim"
+
+
+def sql_neighbours() -> str:
+    ctes = _item_based_ctes()[:5]
+    return with_(*ctes) + "\nSELECT target_id, neighbour_id, round(weight, 6) AS weight FROM i_nb"
+
+
+def sql_predict_item_based() -> str:
+    return with_(*_item_based_ctes()) + "\nSELECT user_id, item_id, round(prediction, 6) AS prediction FROM ipred"
+
+
+def sql_predict_user_based() -> str:
+    return with_(*_user_based_ctes()) + "\nSELECT user_id, item_id, round(prediction, 6) AS prediction FROM upred"
+
+
+def sql_predict_mean() -> str:
+    return with_(RATINGS_CTE, STATS_CTES, MEAN_PRED_CTE) + (
+        "\nSELECT user_id, item_id, round(prediction, 6) AS prediction FROM mpred"
+    )
+
+
+def _rmse(pred: str) -> str:
+    return f"""
+SELECT round(sqrt(avg((p.prediction - v.rating) * (p.prediction - v.rating))), 6) AS rmse, count(*) AS n
+FROM {pred} p JOIN valid v ON v.user_id = p.user_id AND v.item_id = p.item_id"""
+
+
+def sql_rmse_item_based() -> str:
+    return with_(*_item_based_ctes()) + _rmse("ipred")
+
+
+def sql_rmse_user_based() -> str:
+    return with_(*_user_based_ctes()) + _rmse("upred")
+
+
+def sql_rmse_mean() -> str:
+    return with_(RATINGS_CTE, STATS_CTES, MEAN_PRED_CTE) + _rmse("mpred")
+
+
+def sql_knn_items(k: int = 5) -> str:
+    return with_(
+        RATINGS_CTE,
+        STATS_CTES,
+        """cand AS (SELECT k.user_id, k.item_id, tr.item_id AS neighbour_id FROM keys k
+                 JOIN train tr ON tr.user_id = k.user_id WHERE tr.item_id <> k.item_id)""",
+        "kp AS (SELECT DISTINCT item_id AS t, neighbour_id AS n FROM cand)",
+        directed_sims_cte("ks", "kp", "train"),
+    ) + f"""
+SELECT user_id, item_id, neighbour_id, round(similarity, 6) AS similarity, rank FROM (
+  SELECT c.user_id, c.item_id, c.neighbour_id, s.sim AS similarity,
+         row_number() OVER (PARTITION BY c.user_id, c.item_id ORDER BY s.sim DESC, c.neighbour_id DESC) AS rank
+  FROM cand c JOIN ks s ON s.t = c.item_id AND s.n = c.neighbour_id WHERE s.sim IS NOT NULL)
+WHERE rank <= {k}"""
+
+
+def sql_knn_users() -> str:
+    return with_(
+        RATINGS_CTE,
+        STATS_CTES,
+        SWAPPED,
+        """cand AS (SELECT k.user_id, k.item_id, tr.user_id AS neighbour_id FROM keys k
+                 JOIN train tr ON tr.item_id = k.item_id WHERE tr.user_id <> k.user_id)""",
+        "kp AS (SELECT DISTINCT user_id AS t, neighbour_id AS n FROM cand)",
+        directed_sims_cte("ks", "kp", "strain"),
+    ) + """
+SELECT user_id, item_id, neighbour_id, round(similarity, 6) AS similarity,
+       row_number() OVER (PARTITION BY user_id, item_id ORDER BY similarity DESC, neighbour_id DESC) AS rank
+FROM (SELECT c.user_id, c.item_id, c.neighbour_id, s.sim AS similarity
+      FROM cand c JOIN ks s ON s.t = c.user_id AND s.n = c.neighbour_id WHERE s.sim IS NOT NULL)"""
+
+
 ORACLE = {
     "ratings_fixture": sql_ratings_fixture(),
     "dense_index": sql_dense_index(),
@@ -183,4 +399,19 @@ ORACLE = {
     "top_pairs_sorted": sql_top_pairs_sorted(),
     "similar_pairs_events": sql_similar_pairs_events(),
     "similar_pairs_ratings": sql_similar_pairs_ratings(),
+    "exclude_pairs": sql_exclude_pairs(),
+    "swap_roles": sql_swap_roles(),
+    "user_mean": sql_user_mean(),
+    "item_mean": sql_item_mean(),
+    "similarity_active": sql_similarity("active"),
+    "similarity_own": sql_similarity("own"),
+    "neighbours": sql_neighbours(),
+    "predict_item_based": sql_predict_item_based(),
+    "predict_user_based": sql_predict_user_based(),
+    "predict_mean": sql_predict_mean(),
+    "knn_items": sql_knn_items(),
+    "knn_users": sql_knn_users(),
+    "rmse_item_based": sql_rmse_item_based(),
+    "rmse_user_based": sql_rmse_user_based(),
+    "rmse_mean": sql_rmse_mean(),
 }
