@@ -3,9 +3,9 @@
 The ids are range-partitioned and sorted, each row gets its position inside
 its partition, and the per-partition row counts (one number per partition,
 not per row) turn positions into global offsets.  The numbered table is
-checkpointed to the reliable checkpoint directory so the numbering is
-computed once and survives executor loss; a re-run of the sort could place
-partition boundaries differently.
+written once under the checkpoint directory (see ``materialize``) so the
+numbering is computed once and survives executor loss; a re-run of the sort
+could place partition boundaries differently.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corate.session import ensure_checkpoint_dir
+from corate.session import ensure_checkpoint_dir, materialize
 
 _PART = "_part"
 _ROW = "_row"
@@ -47,8 +47,8 @@ def number_rows(
         .sortWithinPartitions(*order_cols)
         .withColumn(_PART, F.spark_partition_id())
         .withColumn(_ROW, F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
+    ranged = materialize(ranged, "numbered")
     counts = sorted(
         (r[_PART], r["count"]) for r in ranged.groupBy(_PART).count().collect()
     )  # one row per partition

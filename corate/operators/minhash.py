@@ -36,11 +36,12 @@ def signatures(basket_df: DataFrame, family=None, universe: int | None = None) -
     ``h_k = min over users of ((a_k * idx + b_k) mod p_k) mod universe``.
     """
     family = family or hash_family()
-    if not universe or universe <= 0:
-        raise ValueError("universe (number of indexed users) must be positive")
+    if universe is None or universe < 0:
+        raise ValueError("universe (number of indexed users) must be given and non-negative")
     if universe > MAX_INDEX:
         raise ValueError(f"universe {universe} exceeds {MAX_INDEX}: a*idx+b would overflow BIGINT")
-    return basket_df.groupBy("item_id").agg(*signature_columns(F.col("idx"), family, universe))
+    # an empty universe means an empty basket table; modulus 1 keeps the plan valid
+    return basket_df.groupBy("item_id").agg(*signature_columns("idx", family, max(universe, 1)))
 
 
 def signature_long(signature_df: DataFrame, num_hashes: int) -> DataFrame:

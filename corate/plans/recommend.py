@@ -27,6 +27,7 @@ from corate.operators.index import union_index
 from corate.operators.neighbours import neighbour_table
 from corate.operators.predict import predict_item_based, predict_mean, predict_user_based
 from corate.plans.similar import similar_pairs
+from corate.session import materialize
 
 METHODS = ("item", "user", "mean", "als")
 
@@ -85,6 +86,7 @@ def recommend(
         raise ValueError(f"method must be one of {METHODS}, got {method!r}")
     if exclude_validation:
         train = exclude_pairs(train, validation)
+    train = materialize(train)  # read by every branch of the plan
     if method == "item":
         pred = item_based(train, validation, **params)
     elif method == "user":

@@ -14,11 +14,13 @@ from corate.operators.index import dense_index, union_index
 from corate.operators.minhash import baskets, band_keys, lsh_candidates, signature_long, signatures
 from corate.operators.similarity import candidate_jaccard, threshold
 from corate.plans.similar import similar_pairs
+from corate.session import materialize
 from corate.sources import fixtures
 
 DOC_MIN_SIM = 0.5
 RATING_MIN_SIM = 0.2
 EVENT_MIN_SIM = 0.4
+PURCHASE_MIN_SIM = 0.1
 
 
 def _r6(col: str) -> F.Column:
@@ -30,7 +32,8 @@ def _scored(df: DataFrame) -> DataFrame:
 
 
 def _train_valid(spark: SparkSession, sf_dir: str):
-    return fixtures.split_ratings(fixtures.ratings_fixture(spark, sf_dir))
+    """Training and validation parts of the rating fixture, derived once and written."""
+    return fixtures.split_ratings(materialize(fixtures.ratings_fixture(spark, sf_dir)))
 
 
 # ------------------------------------------------------------ fixtures/index
@@ -111,6 +114,11 @@ def q_similar_pairs_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(similar_pairs(train, min_sim=RATING_MIN_SIM, universe=universe))
 
 
+def q_similar_pairs_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    purchases = fixtures.purchases_fixture(spark, sf_dir).select("user_id", "item_id")
+    return _scored(similar_pairs(purchases, min_sim=PURCHASE_MIN_SIM))
+
+
 QUERIES = {
     "ratings_fixture": q_ratings_fixture,
     "dense_index": q_dense_index,
@@ -123,6 +131,7 @@ QUERIES = {
     "top_pairs_sorted": q_top_pairs_sorted,
     "similar_pairs_events": q_similar_pairs_events,
     "similar_pairs_ratings": q_similar_pairs_ratings,
+    "similar_pairs_purchases": q_similar_pairs_purchases,
 }
 
 

@@ -7,6 +7,7 @@ tests, the bench and the command-line entry point.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +22,7 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -72,3 +74,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         )
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="corate-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as Parquet under the checkpoint directory and read it back.
+
+    Used where a derived table feeds many branches of a plan: the branches
+    scan the written copy (with column pruning and file statistics for AQE)
+    instead of re-running and re-planning its lineage, and the copy lives on
+    the shared file system, so it survives executor loss.  One write job; an
+    eager ``checkpoint()`` would compute its input twice.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/corate-{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -163,6 +163,15 @@ def sql_similar_pairs_events(min_sim: float = 0.4) -> str:
 SELECT id1, id2, round(similarity, 6) AS similarity FROM e_jac WHERE similarity >= {min_sim}"""
 
 
+PURCHASES_CTE = """
+purchases AS (SELECT DISTINCT o_custkey AS user_id, l_partkey AS item_id FROM orders JOIN lineitem ON o_orderkey = l_orderkey)"""
+
+
+def sql_similar_pairs_purchases(min_sim: float = 0.1) -> str:
+    return with_(PURCHASES_CTE, family_values(), lsh_ctes("purchases", "pu")) + f"""
+SELECT id1, id2, round(similarity, 6) AS similarity FROM pu_jac WHERE similarity >= {min_sim}"""
+
+
 RATING_USERS = "SELECT user_id, 0 AS src_order FROM train UNION ALL SELECT user_id, 1 AS src_order FROM valid"
 
 
@@ -399,6 +408,7 @@ ORACLE = {
     "top_pairs_sorted": sql_top_pairs_sorted(),
     "similar_pairs_events": sql_similar_pairs_events(),
     "similar_pairs_ratings": sql_similar_pairs_ratings(),
+    "similar_pairs_purchases": sql_similar_pairs_purchases(),
     "exclude_pairs": sql_exclude_pairs(),
     "swap_roles": sql_swap_roles(),
     "user_mean": sql_user_mean(),
