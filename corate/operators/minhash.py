@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corate.functions.hashing import (
     DEFAULT_BANDS,
@@ -22,6 +23,7 @@ from corate.functions.hashing import (
     signature_columns,
 )
 from corate.operators.index import DenseIndex, attach_index, dense_index
+from corate.session import materialize
 
 
 def baskets(pairs: DataFrame, index: DenseIndex, user_col: str = "user_id", item_col: str = "item_id"):
@@ -71,6 +73,38 @@ def lsh_candidates(band_df: DataFrame) -> DataFrame:
     return joined.select("id1", "id2").distinct()
 
 
+def encode_pairs(
+    pairs: DataFrame,
+    users: DenseIndex,
+    items: DenseIndex | None,
+    user_col: str = "user_id",
+    item_col: str = "item_id",
+) -> DataFrame:
+    """Distinct ``(item_id, user_id)`` with dense BIGINT codes, written once.
+
+    Joins, shuffles and aggregations downstream then move 8-byte keys instead
+    of id strings.  Codes follow the sorted id order, so ``id1 < id2`` on
+    codes is ``id1 < id2`` on ids.  With ``items=None`` the item ids are kept
+    (they are integers already).
+    """
+    coded = attach_index(pairs.select(user_col, item_col), users, user_col, "_u")
+    if items is not None:
+        coded = attach_index(coded, items, item_col, "_i")
+    else:
+        coded = coded.withColumn("_i", F.col(item_col))
+    return materialize(coded.select(F.col("_i").alias("item_id"), F.col("_u").alias("user_id")).distinct(), "coded")
+
+
+def decode_pairs(scored: DataFrame, items: DenseIndex) -> DataFrame:
+    """Replace the item codes ``id1, id2`` by the item ids (two joins with the item index)."""
+    rest = [c for c in scored.columns if c not in ("id1", "id2")]
+    rev = items.frame
+    out = scored.join(rev.select(F.col("idx").alias("id1"), F.col("id").alias("_id1")), "id1").join(
+        rev.select(F.col("idx").alias("id2"), F.col("id").alias("_id2")), "id2"
+    )
+    return out.select(F.col("_id1").alias("id1"), F.col("_id2").alias("id2"), *rest)
+
+
 def minhash_lsh(
     pairs: DataFrame,
     family=None,
@@ -80,15 +114,20 @@ def minhash_lsh(
     user_col: str = "user_id",
     item_col: str = "item_id",
 ):
-    """Index, baskets, signatures and candidates in one call.
+    """Index, coded baskets, signatures and candidates in one call.
 
-    Returns ``(index, basket_df, signature_df, candidates)``.  ``universe``
+    Returns ``(items, coded, signature_df, candidates)``: the item index
+    (``None`` when item ids are integers and used as they are), the coded
+    characteristic matrix ``item_id, user_id`` (BIGINT), the signatures and
+    candidate pairs, both keyed by item code.  ``universe``
     defaults to the users of ``pairs``; pass a wider index (e.g. over train
     and validation users) to hash over a larger universe.
     """
     family = family or hash_family()
-    index = universe or dense_index(pairs, user_col)
-    basket_df = baskets(pairs, index, user_col, item_col)
-    sig = signatures(basket_df, family, index.size)
+    users = universe or dense_index(pairs, user_col)
+    integral = isinstance(pairs.schema[item_col].dataType, T.IntegralType)
+    items = None if integral else dense_index(pairs, item_col)
+    coded = encode_pairs(pairs, users, items, user_col, item_col)
+    sig = signatures(coded.select("item_id", F.col("user_id").alias("idx")), family, users.size)
     candidates = lsh_candidates(band_keys(sig, len(family), bands, rows))
-    return index, basket_df, sig, candidates
+    return items, coded, sig, candidates

@@ -36,23 +36,40 @@ def item_users(pairs: DataFrame, user_col: str = "user_id", item_col: str = "ite
 
 
 def candidate_jaccard(
-    candidates: DataFrame, pairs: DataFrame, user_col: str = "user_id", item_col: str = "item_id"
+    candidates: DataFrame,
+    pairs: DataFrame,
+    user_col: str = "user_id",
+    item_col: str = "item_id",
+    pairs_distinct: bool = False,
+    min_sim: float | None = None,
 ) -> DataFrame:
     """``id1, id2, similarity``: exact Jaccard of the two items' sets of users.
 
-    Every candidate is kept (similarity 0 when no user is shared).
+    Every candidate is kept (similarity 0 when no user is shared) unless
+    ``min_sim`` is given: then pairs whose size ratio ``min(n1,n2)/max(n1,n2)``
+    is below ``min_sim`` are dropped before the expansion, an exact bound
+    since Jaccard never exceeds that ratio (the caller still applies the
+    threshold).  Pass ``pairs_distinct=True`` when ``pairs`` has no duplicate
+    rows already.
     """
-    d = item_users(pairs, user_col, item_col)
+    if pairs_distinct:
+        d = pairs.select(F.col(item_col).alias("item"), F.col(user_col).alias("user"))
+    else:
+        d = item_users(pairs, user_col, item_col)
     sizes = d.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     c = _oriented(candidates, sizes)
-    expanded = c.join(d.select(F.col("item").alias("small"), "user"), "small")
-    probe = d.select(F.col("item").alias("large"), "user", F.lit(1).alias("_hit"))
-    counted = (
-        expanded.join(probe, ["large", "user"], "left")
-        .groupBy("id1", "id2", "n1", "n2")
-        .agg(F.count("_hit").alias("inter"))
+    if min_sim is not None:
+        lo, hi = F.least("n1", "n2").cast("double"), F.greatest("n1", "n2").cast("double")
+        c = c.where(lo >= F.lit(float(min_sim)) * hi - F.lit(1e-9))
+    # expansion rows carry only (small, large, user): the pair is (small, large)
+    expanded = c.select("small", "large").join(d.select(F.col("item").alias("small"), "user"), "small")
+    probe = d.select(F.col("item").alias("large"), "user")
+    inter = expanded.join(probe, ["large", "user"], "left_semi").groupBy("small", "large").agg(
+        F.count(F.lit(1)).alias("inter")
     )
-    return counted.select("id1", "id2", jaccard(F.col("inter"), F.col("n1"), F.col("n2")).alias("similarity"))
+    counted = c.join(inter, ["small", "large"], "left")
+    shared = F.coalesce(F.col("inter"), F.lit(0))
+    return counted.select("id1", "id2", jaccard(shared, F.col("n1"), F.col("n2")).alias("similarity"))
 
 
 def threshold(scored: DataFrame, min_sim: float, strict: bool = False) -> DataFrame:
@@ -78,19 +95,31 @@ def corating_moments(
         F.col(item_col).alias("item"), F.col(user_col).alias("user"), F.col(rating_col).cast("double").alias("r")
     )
     sizes = r.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    c = _oriented(pair_df.select("id1", "id2").distinct(), sizes)
-    expanded = c.join(r.select(F.col("item").alias("small"), "user", F.col("r").alias("r_small")), "small")
-    common = expanded.join(r.select(F.col("item").alias("large"), "user", F.col("r").alias("r_large")), ["large", "user"])
-    first_small = F.col("small") == F.col("id1")
-    r1 = F.when(first_small, F.col("r_small")).otherwise(F.col("r_large"))
-    r2 = F.when(first_small, F.col("r_large")).otherwise(F.col("r_small"))
-    return common.groupBy("id1", "id2").agg(
+    c = _oriented(pair_df.select("id1", "id2").distinct(), sizes).select("small", "large")
+    expanded = c.join(r.select(F.col("item").alias("small"), "user", F.col("r").alias("rs")), "small")
+    common = expanded.join(r.select(F.col("item").alias("large"), "user", F.col("r").alias("rl")), ["large", "user"])
+    m = common.groupBy("small", "large").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(r1).alias("s1"),
-        F.sum(r2).alias("s2"),
-        F.sum(r1 * r2).alias("s12"),
-        F.sum(r1 * r1).alias("s11"),
-        F.sum(r2 * r2).alias("s22"),
+        F.sum("rs").alias("ss"),
+        F.sum("rl").alias("sl"),
+        F.sum(F.col("rs") * F.col("rl")).alias("s12"),
+        F.sum(F.col("rs") * F.col("rs")).alias("sss"),
+        F.sum(F.col("rl") * F.col("rl")).alias("sll"),
+    )
+    first_small = F.col("small") < F.col("large")
+
+    def pick(if_small: str, if_large: str, name: str):
+        return F.when(first_small, F.col(if_small)).otherwise(F.col(if_large)).alias(name)
+
+    return m.select(
+        F.least("small", "large").alias("id1"),
+        F.greatest("small", "large").alias("id2"),
+        "n",
+        pick("ss", "sl", "s1"),
+        pick("sl", "ss", "s2"),
+        "s12",
+        pick("sss", "sll", "s11"),
+        pick("sll", "sss", "s22"),
     )
 
 

@@ -57,7 +57,7 @@ def q_union_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _doc_lsh(spark: SparkSession, sf_dir: str):
-    pairs = fixtures.document_tokens(spark, sf_dir)
+    pairs = _doc_tokens(spark, sf_dir)
     family = hash_family()
     index = dense_index(pairs, "user_id")
     bk = baskets(pairs, index)
@@ -91,12 +91,17 @@ def q_lsh_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(candidate_jaccard(lsh_candidates(band_keys(sig, len(family))), pairs))
 
 
+def _doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokenise every document once; the index, encoding and Jaccard steps all read it."""
+    return materialize(fixtures.document_tokens(spark, sf_dir), "tokens")
+
+
 def q_similar_pairs_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(similar_pairs(fixtures.document_tokens(spark, sf_dir), min_sim=DOC_MIN_SIM))
+    return _scored(similar_pairs(_doc_tokens(spark, sf_dir), min_sim=DOC_MIN_SIM))
 
 
 def q_top_pairs_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = similar_pairs(fixtures.document_tokens(spark, sf_dir), min_sim=DOC_MIN_SIM)
+    pairs = similar_pairs(_doc_tokens(spark, sf_dir), min_sim=DOC_MIN_SIM)
     return pairs.orderBy("id1", "id2").select(
         F.col("id1").alias("business_id_1"),
         F.col("id2").alias("business_id_2"),
@@ -105,7 +110,7 @@ def q_top_pairs_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_similar_pairs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(similar_pairs(fixtures.event_pairs(spark, sf_dir), min_sim=EVENT_MIN_SIM))
+    return _scored(similar_pairs(materialize(fixtures.event_pairs(spark, sf_dir)), min_sim=EVENT_MIN_SIM))
 
 
 def q_similar_pairs_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +120,7 @@ def q_similar_pairs_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_similar_pairs_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    purchases = fixtures.purchases_fixture(spark, sf_dir).select("user_id", "item_id")
+    purchases = materialize(fixtures.purchases_fixture(spark, sf_dir).select("user_id", "item_id"))
     return _scored(similar_pairs(purchases, min_sim=PURCHASE_MIN_SIM))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corate.functions.hashing import DEFAULT_BANDS, DEFAULT_ROWS, hash_family
 from corate.operators.index import DenseIndex
-from corate.operators.minhash import minhash_lsh
+from corate.operators.minhash import decode_pairs, minhash_lsh
 from corate.operators.similarity import candidate_jaccard, threshold
 
 
@@ -25,11 +25,12 @@ def similar_pairs(
     """Item pairs ``id1 < id2`` whose user sets have Jaccard >= ``min_sim``.
 
     LSH decides which pairs are compared; the reported similarity is exact.
+    All heavy steps run on dense BIGINT codes; only the result is decoded.
     """
     family = family or hash_family()
-    _, _, _, candidates = minhash_lsh(pairs, family, bands, rows, universe, user_col, item_col)
-    scored = candidate_jaccard(candidates, pairs, user_col, item_col)
-    return threshold(scored, min_sim, strict)
+    items, coded, _, candidates = minhash_lsh(pairs, family, bands, rows, universe, user_col, item_col)
+    scored = threshold(candidate_jaccard(candidates, coded, pairs_distinct=True, min_sim=min_sim), min_sim, strict)
+    return scored if items is None else decode_pairs(scored, items)
 
 
 def sorted_pairs(scored: DataFrame) -> DataFrame:

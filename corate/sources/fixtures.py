@@ -89,10 +89,11 @@ def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     The whole text of every document is tokenised.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # maximal runs of [a-z]: split on everything else, drop the empty edges
     tokens = docs.select(
         F.col("doc_id").alias("item_id"),
-        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)).alias("user_id"),
-    )
+        F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("user_id"),
+    ).where(F.col("user_id") != "")
     return tokens.select("user_id", "item_id").distinct()
 
 
