@@ -62,8 +62,9 @@ def candidate_jaccard(
         lo, hi = F.least("n1", "n2").cast("double"), F.greatest("n1", "n2").cast("double")
         c = c.where(lo >= F.lit(float(min_sim)) * hi - F.lit(1e-9))
     # expansion rows carry only (small, large, user): the pair is (small, large)
-    expanded = c.select("small", "large").join(d.select(F.col("item").alias("small"), "user"), "small")
-    probe = d.select(F.col("item").alias("large"), "user")
+    expanded = c.select("small", "large").hint("shuffle_hash").join(d.select(F.col("item").alias("small"), "user"), "small")
+    # hash the (smaller) basket table per partition instead of sorting the expansion
+    probe = d.select(F.col("item").alias("large"), "user").hint("shuffle_hash")
     inter = expanded.join(probe, ["large", "user"], "left_semi").groupBy("small", "large").agg(
         F.count(F.lit(1)).alias("inter")
     )
@@ -95,9 +96,10 @@ def corating_moments(
         F.col(item_col).alias("item"), F.col(user_col).alias("user"), F.col(rating_col).cast("double").alias("r")
     )
     sizes = r.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    c = _oriented(pair_df.select("id1", "id2").distinct(), sizes).select("small", "large")
+    c = _oriented(pair_df.select("id1", "id2").distinct(), sizes).select("small", "large").hint("shuffle_hash")
     expanded = c.join(r.select(F.col("item").alias("small"), "user", F.col("r").alias("rs")), "small")
-    common = expanded.join(r.select(F.col("item").alias("large"), "user", F.col("r").alias("rl")), ["large", "user"])
+    probe = r.select(F.col("item").alias("large"), "user", F.col("r").alias("rl")).hint("shuffle_hash")
+    common = expanded.join(probe, ["large", "user"])
     m = common.groupBy("small", "large").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("rs").alias("ss"),
