@@ -13,6 +13,8 @@ from corate.functions.hashing import hash_family
 from corate.operators.index import dense_index, union_index
 from corate.operators.minhash import baskets, band_keys, lsh_candidates, signature_long, signatures
 from corate.operators.similarity import candidate_jaccard, threshold
+from corate.operators.evaluate import precision_recall
+from corate.operators.exact import exact_similar_pairs
 from corate.plans.similar import similar_pairs
 from corate.session import materialize
 from corate.sources import fixtures
@@ -124,6 +126,19 @@ def q_similar_pairs_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(similar_pairs(purchases, min_sim=PURCHASE_MIN_SIM))
 
 
+def q_jaccard_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(exact_similar_pairs(_doc_tokens(spark, sf_dir), DOC_MIN_SIM))
+
+
+def q_lsh_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = _doc_tokens(spark, sf_dir)
+    found = similar_pairs(tokens, min_sim=DOC_MIN_SIM)
+    truth = exact_similar_pairs(tokens, DOC_MIN_SIM)
+    return precision_recall(found, truth).select(
+        "n_found", "n_truth", "hits", _r6("precision"), _r6("recall")
+    )
+
+
 QUERIES = {
     "ratings_fixture": q_ratings_fixture,
     "dense_index": q_dense_index,
@@ -137,6 +152,8 @@ QUERIES = {
     "similar_pairs_events": q_similar_pairs_events,
     "similar_pairs_ratings": q_similar_pairs_ratings,
     "similar_pairs_purchases": q_similar_pairs_purchases,
+    "jaccard_exact": q_jaccard_exact,
+    "lsh_quality": q_lsh_quality,
 }
 
 

@@ -172,6 +172,38 @@ def sql_similar_pairs_purchases(min_sim: float = 0.1) -> str:
 SELECT id1, id2, round(similarity, 6) AS similarity FROM pu_jac WHERE similarity >= {min_sim}"""
 
 
+BRUTE_DOC_CTE = """
+d_exact AS (
+  SELECT a.item_id AS id1, b.item_id AS id2,
+         CAST(count(*) AS DOUBLE) / CAST(s1.n + s2.n - count(*) AS DOUBLE) AS similarity
+  FROM d_iu a JOIN d_iu b ON a.user_id = b.user_id AND a.item_id < b.item_id
+  JOIN d_size s1 ON s1.item_id = a.item_id JOIN d_size s2 ON s2.item_id = b.item_id
+  GROUP BY a.item_id, b.item_id, s1.n, s2.n
+)"""
+
+
+def sql_jaccard_exact(min_sim: float = 0.5) -> str:
+    return with_(
+        DOC_PAIRS_CTE,
+        "d_iu AS (SELECT DISTINCT item_id, user_id FROM doc_pairs)",
+        "d_size AS (SELECT item_id, count(*) AS n FROM d_iu GROUP BY item_id)",
+        BRUTE_DOC_CTE,
+    ) + f"""
+SELECT id1, id2, round(similarity, 6) AS similarity FROM d_exact WHERE similarity >= {min_sim}"""
+
+
+def sql_lsh_quality(min_sim: float = 0.5) -> str:
+    return with_(DOC_PAIRS_CTE, family_values(), lsh_ctes("doc_pairs", "d"), BRUTE_DOC_CTE) + f""",
+found AS (SELECT id1, id2 FROM d_jac WHERE similarity >= {min_sim}),
+truth AS (SELECT id1, id2 FROM d_exact WHERE similarity >= {min_sim}),
+counts AS (SELECT (SELECT count(*) FROM found) AS n_found, (SELECT count(*) FROM truth) AS n_truth,
+                  (SELECT count(*) FROM found JOIN truth USING (id1, id2)) AS hits)
+SELECT n_found, n_truth, hits,
+       round(CASE WHEN n_found > 0 THEN hits / n_found END, 6) AS precision,
+       round(CASE WHEN n_truth > 0 THEN hits / n_truth END, 6) AS recall
+FROM counts"""
+
+
 RATING_USERS = "SELECT user_id, 0 AS src_order FROM train UNION ALL SELECT user_id, 1 AS src_order FROM valid"
 
 
@@ -409,6 +441,8 @@ ORACLE = {
     "similar_pairs_events": sql_similar_pairs_events(),
     "similar_pairs_ratings": sql_similar_pairs_ratings(),
     "similar_pairs_purchases": sql_similar_pairs_purchases(),
+    "jaccard_exact": sql_jaccard_exact(),
+    "lsh_quality": sql_lsh_quality(),
     "exclude_pairs": sql_exclude_pairs(),
     "swap_roles": sql_swap_roles(),
     "user_mean": sql_user_mean(),

@@ -126,3 +126,19 @@ def test_rank_within_matches_python(spark):
         members = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], -r[1]))
         want.update({(g, r[1]): n + 1 for n, r in enumerate(members)})
     assert got == want
+
+
+@SETTINGS
+@given(st.integers(min_value=0, max_value=10**6), st.sampled_from([0.2, 0.34, 0.5, 0.8, 1.0]))
+def test_prefix_filter_finds_every_exact_pair(spark, seed, min_sim):
+    from corate.operators.exact import exact_similar_pairs
+
+    rng = random.Random(seed)
+    rows = [(f"u{rng.randrange(25)}", f"i{rng.randrange(10)}") for _ in range(90)]
+    rows += [(u, "copy") for u, i in rows if i == "i0"]  # an exact duplicate basket
+    df = spark.createDataFrame(rows, "user_id string, item_id string")
+    got = {(r.id1, r.id2): r.similarity for r in exact_similar_pairs(df, min_sim).collect()}
+    exact = _brute_pairs(rows, min_sim)
+    assert set(got) == set(exact)
+    for key, value in got.items():
+        assert value == pytest.approx(exact[key])

@@ -23,6 +23,8 @@ CHECKED = [
     "knn_items",
     "knn_users",
     "rmse_item_based",
+    "jaccard_exact",
+    "lsh_quality",
 ]
 
 
