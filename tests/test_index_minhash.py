@@ -142,3 +142,13 @@ def test_prefix_filter_finds_every_exact_pair(spark, seed, min_sim):
     assert set(got) == set(exact)
     for key, value in got.items():
         assert value == pytest.approx(exact[key])
+
+
+def test_hot_buckets_give_the_same_pairs(spark):
+    # a small user universe makes buckets large; splitting them off must not change the result
+    rng = random.Random(11)
+    rows = [(f"u{rng.randrange(8)}", f"i{rng.randrange(60)}") for _ in range(400)]
+    df = spark.createDataFrame(rows, "user_id string, item_id string")
+    plain = {(r.id1, r.id2, r.similarity) for r in similar_pairs(df, min_sim=0.4, max_bucket=None).collect()}
+    split = {(r.id1, r.id2, r.similarity) for r in similar_pairs(df, min_sim=0.4, max_bucket=3).collect()}
+    assert plain and plain == split
