@@ -77,3 +77,27 @@ def _split_hot_buckets(keys: DataFrame, coded: DataFrame, min_sim: float, max_bu
 def sorted_pairs(scored: DataFrame) -> DataFrame:
     """The sink order: ``(id1, id2)`` ascending."""
     return scored.orderBy(F.col("id1"), F.col("id2"))
+
+
+def main(argv=None) -> None:
+    """``spark-submit -m corate.plans.similar ratings.csv out_dir [--min-sim 0.5]``.
+
+    Reads the first two columns (user, item) of a CSV with header and writes
+    the similar item pairs, sorted, as ``business_id_1,business_id_2,similarity``.
+    """
+    import argparse
+
+    from corate.session import build_session
+    from corate.sources.io import read_pairs, write_pairs
+
+    parser = argparse.ArgumentParser(description="similar items by MinHash/LSH and exact Jaccard")
+    parser.add_argument("input")
+    parser.add_argument("output")
+    parser.add_argument("--min-sim", type=float, default=0.5)
+    args = parser.parse_args(argv)
+    spark = build_session()
+    write_pairs(similar_pairs(read_pairs(spark, args.input), min_sim=args.min_sim), args.output)
+
+
+if __name__ == "__main__":
+    main()
