@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from corate.functions.hashing import hash_family
 from corate.operators.index import dense_index, union_index
 from corate.operators.minhash import baskets, band_keys, lsh_candidates, signature_long, signatures
-from corate.operators.similarity import candidate_jaccard, threshold
+from corate.operators.similarity import candidate_jaccard
 from corate.operators.evaluate import precision_recall
 from corate.operators.exact import exact_similar_pairs
 from corate.plans.similar import similar_pairs
@@ -160,7 +160,7 @@ QUERIES = {
 # ------------------------------------------------------------ collaborative filtering
 
 from corate.operators.basic import exclude_pairs, swap_roles  # noqa: E402
-from corate.operators.evaluate import precision_recall, rmse  # noqa: E402
+from corate.operators.evaluate import rmse  # noqa: E402
 from corate.operators.knn import knn_items, knn_users  # noqa: E402
 from corate.operators.neighbours import neighbour_table  # noqa: E402
 from corate.operators.predict import item_stats, predict_mean, user_stats  # noqa: E402
