@@ -39,24 +39,48 @@ def _csv(spark: SparkSession, mode: str):
     )
 
 
+def _without_header_lines(raw: DataFrame) -> DataFrame:
+    """Drop every row equal to the header (files concatenated with their headers)."""
+    same = None
+    for name in raw.columns:
+        cond = F.col(f"`{name}`") == F.lit(name)
+        same = cond if same is None else same & cond
+    return raw.where(~same) if same is not None else raw
+
+
+def _raw(spark: SparkSession, path: str, mode: str) -> DataFrame:
+    """All columns as strings (no inference pass), header lines removed."""
+    return _without_header_lines(_csv(spark, mode).csv(path))
+
+
 def read_ratings(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
-    """``user_id, item_id, rating`` with an explicit schema (no inference).
+    """``user_id, item_id, rating`` from the first three columns of a CSV with header.
 
-    Quoted fields keep embedded commas (one id, not two columns).  A rating
-    that is not a number fails the job under ``FAILFAST``.
+    Quoted fields keep embedded commas (one id, not two columns).  Lines equal
+    to the header are dropped wherever they occur.  A rating that is not a
+    number fails the job (whatever the session's ANSI setting).
     """
-    return _csv(spark, mode).schema(RATING_SCHEMA).csv(path)
+    raw = _raw(spark, path, mode)
+    user, item, stars = raw.columns[0], raw.columns[1], raw.columns[2]
+    parsed = F.col(f"`{stars}`").try_cast("double")
+    rating = F.when(
+        F.col(f"`{stars}`").isNotNull() & parsed.isNull(),
+        F.raise_error(F.concat(F.lit("malformed rating: "), F.col(f"`{stars}`"))),
+    ).otherwise(parsed)
+    return raw.select(
+        F.col(f"`{user}`").alias("user_id"), F.col(f"`{item}`").alias("item_id"), rating.cast("double").alias("rating")
+    )
 
 
 def read_pairs(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
     """First two columns of a CSV with header, as ``user_id, item_id`` strings.
 
-    Further columns are ignored.  Every column is read as a string, so no
-    schema inference pass runs over the data.
+    Further columns are ignored; lines equal to the header are dropped.  Every
+    column is read as a string, so no schema inference pass runs over the data.
     """
-    raw = _csv(spark, mode).csv(path)
+    raw = _raw(spark, path, mode)
     first, second = raw.columns[0], raw.columns[1]
-    return raw.select(F.col(first).alias("user_id"), F.col(second).alias("item_id"))
+    return raw.select(F.col(f"`{first}`").alias("user_id"), F.col(f"`{second}`").alias("item_id"))
 
 
 def read_truth_pairs(spark: SparkSession, path: str) -> DataFrame:

@@ -38,3 +38,28 @@ def test_sinks_write_reference_headers(spark):
     back = spark.read.option("header", True).csv(os.path.join(out, "pred"))
     assert back.columns == ["user_id", "business_id", "prediction"]
     assert [tuple(r) for r in back.collect()] == [("u", "i", "3.14")]
+
+
+def test_repeated_header_lines_are_dropped(spark):
+    path = _write("user_id,business_id,stars\nu1,b1,5\nuser_id,business_id,stars\nu2,b1,3.5\n")
+    rows = sorted(tuple(r) for r in read_ratings(spark, path).collect())
+    assert rows == [("u1", "b1", 5.0), ("u2", "b1", 3.5)]
+    assert sorted(tuple(r) for r in read_pairs(spark, path).collect()) == [("u1", "b1"), ("u2", "b1")]
+
+
+def test_malformed_rating_fails(spark):
+    import pytest
+
+    path = _write("user_id,business_id,stars\nu1,b1,five\n")
+    with pytest.raises(Exception, match="malformed rating"):
+        read_ratings(spark, path).collect()
+
+
+def test_truth_file_feeds_precision_recall(spark):
+    from corate.operators.evaluate import precision_recall
+    from corate.sources.io import read_truth_pairs
+
+    path = _write("business_id_1,business_id_2,similarity\nb1,b2,0.9\nb3,b4,0.7\n")
+    found = spark.createDataFrame([("b2", "b1"), ("b5", "b6")], "id1 string, id2 string")
+    r = precision_recall(found, read_truth_pairs(spark, path)).first()
+    assert (r.n_found, r.n_truth, r.hits, r.precision, r.recall) == (2, 2, 1, 0.5, 0.5)
