@@ -1,6 +1,6 @@
 """Rating and pair tables derived from the driver's parquet tables.
 
-The reference reads a Yelp ``user,business,stars`` CSV that is not shipped;
+The reference reads a ``user,business,stars`` CSV that is not shipped;
 these fixtures give the same shapes from the TPC-H-like tables so that every
 query grows with the data.  Definitions mirror ``FIXTURES.md``.
 """
