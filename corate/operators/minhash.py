@@ -79,20 +79,24 @@ def encode_pairs(
     items: DenseIndex | None,
     user_col: str = "user_id",
     item_col: str = "item_id",
+    pairs_distinct: bool = False,
 ) -> DataFrame:
     """Distinct ``(item_id, user_id)`` with dense BIGINT codes, written once.
 
     Joins, shuffles and aggregations downstream then move 8-byte keys instead
     of id strings.  Codes follow the sorted id order, so ``id1 < id2`` on
     codes is ``id1 < id2`` on ids.  With ``items=None`` the item ids are kept
-    (they are integers already).
+    (they are integers already).  ``pairs_distinct=True`` skips the
+    de-duplication shuffle when the input has no repeated ``(user, item)``.
     """
     coded = attach_index(pairs.select(user_col, item_col), users, user_col, "_u")
     if items is not None:
         coded = attach_index(coded, items, item_col, "_i")
     else:
         coded = coded.withColumn("_i", F.col(item_col))
-    return materialize(coded.select(F.col("_i").alias("item_id"), F.col("_u").alias("user_id")).distinct(), "coded")
+    coded = coded.select(F.col("_i").alias("item_id"), F.col("_u").alias("user_id"))
+    # codes are one-to-one with ids, so distinct input pairs give distinct codes
+    return materialize(coded if pairs_distinct else coded.distinct(), "coded")
 
 
 def decode_pairs(scored: DataFrame, items: DenseIndex) -> DataFrame:

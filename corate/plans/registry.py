@@ -99,11 +99,11 @@ def _doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_similar_pairs_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(similar_pairs(_doc_tokens(spark, sf_dir), min_sim=DOC_MIN_SIM))
+    return _scored(similar_pairs(_doc_tokens(spark, sf_dir), min_sim=DOC_MIN_SIM, pairs_distinct=True))
 
 
 def q_top_pairs_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = similar_pairs(_doc_tokens(spark, sf_dir), min_sim=DOC_MIN_SIM)
+    pairs = similar_pairs(_doc_tokens(spark, sf_dir), min_sim=DOC_MIN_SIM, pairs_distinct=True)
     return pairs.orderBy("id1", "id2").select(
         F.col("id1").alias("business_id_1"),
         F.col("id2").alias("business_id_2"),
@@ -112,7 +112,7 @@ def q_top_pairs_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_similar_pairs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(similar_pairs(materialize(fixtures.event_pairs(spark, sf_dir)), min_sim=EVENT_MIN_SIM))
+    return _scored(similar_pairs(materialize(fixtures.event_pairs(spark, sf_dir)), min_sim=EVENT_MIN_SIM, pairs_distinct=True))
 
 
 def q_similar_pairs_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +123,7 @@ def q_similar_pairs_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_similar_pairs_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     purchases = materialize(fixtures.purchases_fixture(spark, sf_dir).select("user_id", "item_id"))
-    return _scored(similar_pairs(purchases, min_sim=PURCHASE_MIN_SIM))
+    return _scored(similar_pairs(purchases, min_sim=PURCHASE_MIN_SIM, pairs_distinct=True))
 
 
 def q_jaccard_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +132,7 @@ def q_jaccard_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_lsh_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = _doc_tokens(spark, sf_dir)
-    found = similar_pairs(tokens, min_sim=DOC_MIN_SIM)
+    found = similar_pairs(tokens, min_sim=DOC_MIN_SIM, pairs_distinct=True)
     truth = exact_similar_pairs(tokens, DOC_MIN_SIM)
     return precision_recall(found, truth).select(
         "n_found", "n_truth", "hits", _r6("precision"), _r6("recall")

@@ -28,6 +28,7 @@ def similar_pairs(
     user_col: str = "user_id",
     item_col: str = "item_id",
     max_bucket: int | None = DEFAULT_MAX_BUCKET,
+    pairs_distinct: bool = False,
 ) -> DataFrame:
     """Item pairs ``id1 < id2`` whose user sets have Jaccard >= ``min_sim``.
 
@@ -39,13 +40,14 @@ def similar_pairs(
     enumerated; the pairs inside them that can reach ``min_sim`` are exactly
     the pairs sharing a prefix user (see ``operators.exact``), so those are
     taken instead and the result is the same.  ``max_bucket=None`` (or
-    ``min_sim == 0``) enumerates every bucket.
+    ``min_sim == 0``) enumerates every bucket.  ``pairs_distinct=True``
+    declares that ``pairs`` has no repeated ``(user, item)`` row.
     """
     family = family or hash_family()
     users = universe or dense_index(pairs, user_col)
     integral = isinstance(pairs.schema[item_col].dataType, T.IntegralType)
     items = None if integral else dense_index(pairs, item_col)
-    coded = encode_pairs(pairs, users, items, user_col, item_col)
+    coded = encode_pairs(pairs, users, items, user_col, item_col, pairs_distinct)
     sig = signatures(coded.select("item_id", F.col("user_id").alias("idx")), family, users.size)
     keys = band_keys(sig, len(family), bands, rows)
     if max_bucket is not None and min_sim > 0:
