@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corate.llm.common import table
 from corate.llm.exact import exact_groups
+from corate.llm.html_text import extract_main_text
 from corate.llm.lines import line_dedup
 from corate.llm.mixing import mix_sources
 from corate.llm.url_rules import filter_urls
@@ -39,6 +40,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict"
@@ -49,5 +54,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_html_text": op7_html_text,
     "op9_url_filter": op9_url_filter,
 }
