@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corate.llm.common import table
+from corate.llm.common import table, with_columns_last
 from corate.llm.exact import exact_groups
 from corate.llm.html_text import extract_main_text
 from corate.llm.lines import line_dedup
 from corate.llm.mixing import mix_sources
+from corate.llm.quality import fit_quality, score_quality
 from corate.llm.url_rules import filter_urls
 
 # Fixed values of the URL contract: verdict, host, path.
@@ -22,6 +23,7 @@ URL_RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
+QUALITY_THRESHOLD = 0.3
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +42,26 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def remainder(parts: int) -> Column:
+    """crc32 of the id as text, modulo ``parts``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+def quality_scores(docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with score and predicted, learned from the training rows of documents."""
+    spark = docs.sparkSession
+    train = table(spark, sf_dir, "documents").where(remainder(5) != 0).select("doc_id", "text")
+    model = fit_quality(train, table(spark, sf_dir, "labels"))
+    scored = score_quality(docs, model)
+    return with_columns_last(scored, {"predicted": (F.col("score") >= QUALITY_THRESHOLD).cast("int")})
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(remainder(5) == 0, F.lit(False))
+    return quality_scores(docs, sf_dir).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
@@ -54,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality": op5_quality,
     "op7_html_text": op7_html_text,
     "op9_url_filter": op9_url_filter,
 }
