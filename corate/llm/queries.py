@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corate.llm.common import table, with_columns_last
 from corate.llm.exact import exact_groups
 from corate.llm.html_text import extract_main_text
+from corate.llm.langid import fit_language, predict_language
 from corate.llm.lines import line_dedup
 from corate.llm.mixing import mix_sources
 from corate.llm.quality import fit_quality, score_quality
@@ -62,6 +63,15 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, sf_dir).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_language(docs.where(remainder(4) != 2).select("doc_id", "text", "lang"))
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False))
+    return predict_language(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
@@ -77,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality": op5_quality,
+    "op6_language": op6_language,
     "op7_html_text": op7_html_text,
     "op9_url_filter": op9_url_filter,
 }
