@@ -98,9 +98,10 @@ class Words:
     text; ``first``: for each text the index of its first word, plus the total.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACES):
+        """``between``: which of the 256 bytes part words."""
         self.data, self.n_docs = data, len(offsets) - 1
-        inside = ~_SPACES[data]
+        inside = ~between[data]
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
         edge = offsets[1:-1]
@@ -115,15 +116,16 @@ class Words:
         self.first = np.searchsorted(self.start, offsets)
         self.doc = np.repeat(np.arange(self.n_docs), np.diff(self.first))
 
-    def hashes(self, fold: np.ndarray = LOWER) -> np.ndarray:
-        """A 64-bit hash of each word after mapping its bytes by ``fold``."""
+    def hashes(self, fold: np.ndarray = LOWER, upto: int | None = None) -> np.ndarray:
+        """A 64-bit hash of each word, or of its first ``upto`` bytes, after mapping its bytes by ``fold``."""
         if len(self.start) == 0:
             return np.empty(0, np.uint64)
-        within = np.arange(self.length.sum()) - np.repeat(np.cumsum(self.length) - self.length, self.length)
-        at = within + np.repeat(self.start, self.length)
-        power = np.multiply.accumulate(np.full(int(self.length.max()), _STEP, np.uint64))
-        parts = _BYTE[fold[self.data[at]]] * power[within]
-        return mix(np.add.reduceat(parts, np.cumsum(self.length) - self.length))
+        length = self.length if upto is None else np.minimum(self.length, upto)
+        begin = np.cumsum(length) - length
+        within = np.arange(length.sum()) - np.repeat(begin, length)
+        at = within + np.repeat(self.start, length)
+        power = np.multiply.accumulate(np.full(int(length.max()), _STEP, np.uint64))
+        return mix(np.add.reduceat(_BYTE[fold[self.data[at]]] * power[within], begin))
 
 
 def distinct_per_doc(doc: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corate.llm.common import table, with_columns_last
+from corate.llm.decontaminate import find_contamination
 from corate.llm.exact import exact_groups
 from corate.llm.html_text import extract_main_text
 from corate.llm.langid import fit_language, predict_language
 from corate.llm.lines import line_dedup
 from corate.llm.mixing import mix_sources
 from corate.llm.quality import fit_quality, score_quality
+from corate.llm.toxicity import fit_toxicity, score_toxicity
 from corate.llm.url_rules import filter_urls
 
 # Fixed values of the URL contract: verdict, host, path.
@@ -25,6 +27,23 @@ URL_RULES = (
     ("block", "net", "/fr/"),
 )
 QUALITY_THRESHOLD = 0.3
+TOXIC_THRESHOLD = 0.2
+# Seed words of the categories before ``toxic``.
+TOXIC_SEEDS = {
+    "insult": ("idiot", "moron", "stupid", "clown"),
+    "contempt": ("scum", "trash", "disgusting", "pathetic", "worthless", "loser"),
+}
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        (F.size("matches") > 0).alias("contaminated"),
+        F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item"]))).alias("item_ids"),
+        "matches",
+    )
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +101,17 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = fit_toxicity(docs, table(spark, sf_dir, "labels"), TOXIC_SEEDS)
+    scored = score_toxicity(docs, chain, names=[*TOXIC_SEEDS, "toxic"])
+    return scored.select(
+        "doc_id", "p_insult", "p_contempt", F.col("p_toxic").alias("score"), (F.col("p_toxic") >= TOXIC_THRESHOLD).alias("toxic")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
@@ -90,4 +119,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language": op6_language,
     "op7_html_text": op7_html_text,
     "op9_url_filter": op9_url_filter,
+    "op10_toxicity": op10_toxicity,
 }
