@@ -14,6 +14,7 @@ from corate.llm.html_text import extract_main_text
 from corate.llm.langid import fit_language, predict_language
 from corate.llm.lines import line_dedup
 from corate.llm.mixing import mix_sources
+from corate.llm.near import near_groups
 from corate.llm.quality import fit_quality, score_quality
 from corate.llm.toxicity import fit_toxicity, score_toxicity
 from corate.llm.url_rules import filter_urls
@@ -95,6 +96,10 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict"
@@ -118,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_language": op6_language,
     "op7_html_text": op7_html_text,
+    "op8_near_dedup": op8_near_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
 }

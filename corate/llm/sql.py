@@ -44,6 +44,31 @@ SELECT doc_id, count(*) FILTER (t <> '') AS n_lines, count(*) FILTER (gone) AS n
 FROM marked GROUP BY doc_id
 """
 
+OP8 = r"""
+WITH RECURSIVE
+words AS (
+  SELECT doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM words
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM words w JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = w.doc_id
+LEFT JOIN sizes s ON s.doc_id = w.doc_id
+"""
+
 OP9 = r"""
 WITH u AS (
   SELECT page_id,
@@ -140,5 +165,6 @@ ORACLE: dict[str, str] = {
     "op2_line_dedup": OP2,
     "op3_mixing": OP3,
     "op4_exact_dedup": OP4,
+    "op8_near_dedup": OP8,
     "op9_url_filter": OP9,
 }
