@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corate.session import materialize
+
 # White space of the contracts, as a regular expression of both engines.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,6 +51,18 @@ def bounded_sample(df: DataFrame, label: str, per_label: int, key: str, seed: in
     )
 
 
+def without_ids(docs: DataFrame, id_col: str, gone: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """``docs`` without the rows whose id is in the one column of ``gone`` (null is an id too).
+
+    Up to ``broadcast_rows`` ids, which are counted first, go to every task, so
+    that the texts stay where they are; more are joined by a shuffle.
+    """
+    gone = materialize(gone.toDF("_gone").distinct(), "gone")
+    if gone.count() <= broadcast_rows:
+        gone = F.broadcast(gone)
+    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
+
+
 # --- texts of an Arrow batch as flat byte arrays ---------------------------
 
 _RNG = np.random.default_rng(20240229)

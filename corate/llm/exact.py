@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corate.llm.common import SPACE, text_of
+from corate.llm.common import SPACE, text_of, without_ids
 from corate.session import materialize
 
 
@@ -97,10 +97,7 @@ def exact_groups(
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
-
-    Rows that share their id are kept if one of them is; null ids are dropped
-    unless they are the keeper.
-    """
-    kept = exact_groups(docs, id_col, text_col, **options).where("kept").select(F.col(id_col).alias("_keep")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("_keep")), "left_semi")
+    """The rows of ``docs`` that stay, with all their columns; the rows of one id stay if any of them is kept."""
+    rows = exact_groups(docs, id_col, text_col, **options)
+    gone = rows.groupBy(id_col).agg(F.max("kept").alias("stays")).where("NOT stays").select(id_col)
+    return without_ids(docs, id_col, gone)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corate.llm.common import Words, distinct_per_doc, mix, text_of, text_slices
+from corate.llm.common import Words, distinct_per_doc, mix, text_of, text_slices, without_ids
 from corate.llm.components import connected_components
 from corate.session import materialize
 
@@ -269,5 +269,4 @@ def near_groups(
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay, one document of each component, with all their columns."""
-    dropped = near_groups(docs, id_col, text_col, **options).where("NOT kept").select(F.col(id_col).alias("_drop")).distinct()
-    return docs.join(dropped, docs[id_col] == F.col("_drop"), "left_anti")
+    return without_ids(docs, id_col, near_groups(docs, id_col, text_col, **options).where("NOT kept").select(id_col))
