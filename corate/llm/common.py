@@ -40,14 +40,23 @@ def with_columns_last(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 def bounded_sample(df: DataFrame, label: str, per_label: int, key: str, seed: int) -> DataFrame:
     """At most ``per_label`` rows of each label, the same ones in every run.
 
-    Spark turns ``row_number() <= n`` into a group limit before the shuffle, so
-    a hot label sends ``per_label`` rows from each task, not all of them.
+    A count of the labels (which are few) sets the range of a hash of the key that
+    holds about twice as many rows as wanted; only those are ranked.  So no
+    task sees more than some 2 * per_label rows of a label, however many there are.
     """
-    order = Window.partitionBy(label).orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key))
+    counts = {k: n for k, n in df.groupBy(label).count().collect() if k is not None}
+    if not counts:
+        return df.where(F.lit(False))
+    spot = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 24)  # 40 bits
+    parts = [F.struct(F.lit(k), F.lit(min(1 << 40, (2 * per_label + 100 << 40) // n))) for k, n in sorted(counts.items())]
+    limits = F.map_from_entries(F.array(*parts))
+    order = Window.partitionBy(label).orderBy("_spot", F.col(key))
     return (
-        df.withColumn("_nth", F.row_number().over(order))
+        df.withColumn("_spot", spot)
+        .where(F.col("_spot") < F.element_at(limits, F.col(label)))
+        .withColumn("_nth", F.row_number().over(order))
         .where(F.col("_nth") <= per_label)
-        .drop("_nth")
+        .drop("_nth", "_spot")
     )
 
 

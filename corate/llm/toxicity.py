@@ -161,7 +161,7 @@ def fit_toxicity(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    per_label: int = 3000,
+    per_label: int = 2000,
     max_words: int = 20_000,
     seed: int = 42,
 ) -> Chain | None:
