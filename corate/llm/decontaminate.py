@@ -207,14 +207,11 @@ def _verify(
     pattern: np.ndarray, text: np.ndarray, j0: int, j1: int, low: int, high: int, window: int, rate: float, slack: int
 ) -> tuple[int, int, int, int, int] | None:
     """Align a stretch of the item, widened to ``window`` signs, with the text: begin, end, item begin, item end, edits."""
-    if j1 - j0 < window:  # edits near its ends may hide q-grams of the stretch
-        missing = window - (j1 - j0)
-        before = min(j0, missing)
-        spans = [(j0 - before, min(len(pattern), j0 - before + window)), (j0, min(len(pattern), j0 + window))]
-        spans += [(max(0, min(j0 - missing // 2, len(pattern) - window)), 0)]
-        spans[-1] = (spans[-1][0], spans[-1][0] + window)
-    else:
-        spans = [(0, len(pattern)), (j0, j1)]
+    # All of the item, then the region, then each window that holds the region or lies in it:
+    # edits near its ends may hide q-grams of a match, and a long region may match in part.
+    spans = [(0, len(pattern)), (j0, j1)]
+    starts = range(max(0, min(j0, j1 - window)), min(max(j0, j1 - window), len(pattern) - window) + 1)
+    spans += [(a, a + window) for a in starts]
     for a, b in dict.fromkeys(spans):
         if b - a < window:
             continue
