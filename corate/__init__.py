@@ -1,13 +1,13 @@
 """corate: collaborative filtering and similar-item search as Spark DataFrame operators.
 
-Every public function takes DataFrames and returns a lazy DataFrame; nothing
-data-sized is collected on the driver. Sub-packages:
+Every public function takes DataFrames and returns DataFrames; nothing data-sized
+is collected on the driver. Some write intermediate tables while the plan is
+built (``corate.session.materialize``). Sub-packages:
 
 * ``sources``   -- CSV readers/writers and fixtures derived from the test tables
 * ``functions`` -- column expressions (hash family, co-rating similarity)
 * ``operators`` -- dense index, MinHash/LSH, Jaccard, neighbours, predictions, ALS, metrics
 * ``plans``     -- end-to-end compositions (similar pairs, recommend)
-* ``streaming`` -- intentionally empty: the reference has no streaming operator
 """
 
 from corate.session import build_session, ensure_checkpoint_dir

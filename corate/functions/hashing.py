@@ -38,13 +38,6 @@ def hash_family(
     return family
 
 
-def hash_value(index: Column, a: int, b: int, p: int, m: int) -> Column:
-    """``((a * index + b) mod p) mod m`` on BIGINT; all operands are non-negative."""
-    return ((F.lit(a).cast("bigint") * index + F.lit(b).cast("bigint")) % F.lit(p).cast("bigint")) % F.lit(
-        m
-    ).cast("bigint")
-
-
 def signature_columns(index_col: str, family, m: int) -> list[Column]:
     """One ``min`` aggregate per hash function, named ``h0 .. h{n-1}``.
 

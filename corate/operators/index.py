@@ -114,12 +114,6 @@ def attach_index(df: DataFrame, index: DenseIndex, id_col: str, idx_col: str = "
     return df.join(idx, id_col)
 
 
-def decode_index(df: DataFrame, index: DenseIndex, idx_col: str, id_col: str) -> DataFrame:
-    """Reverse lookup ``idx -> id`` by an equi-join with the same index table."""
-    rev = index.frame.select(F.col("idx").alias(idx_col), F.col("id").alias(id_col))
-    return df.join(rev, idx_col).drop(idx_col)
-
-
 def rank_within(df: DataFrame, group_cols: list[str], order: list[Column], rank_col: str = "rank") -> DataFrame:
     """1-based rank of each row inside its group under ``order``, for groups of any size.
 

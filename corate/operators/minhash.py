@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corate.functions.hashing import (
     DEFAULT_BANDS,
@@ -22,9 +21,12 @@ from corate.functions.hashing import (
     hash_family,
     signature_columns,
 )
-from corate.operators.index import DenseIndex, attach_index, dense_index
+from corate.operators.index import DenseIndex, attach_index
 from corate.session import materialize
 
+# Members of a bucket that meet in one task: a constant of the plan, not a limit on buckets.
+TILE = 1024
+
 
 def baskets(pairs: DataFrame, index: DenseIndex, user_col: str = "user_id", item_col: str = "item_id"):
     """Distinct ``(item_id, idx)``: the users of each item as dense indexes."""
@@ -60,17 +62,34 @@ def band_keys(signature_df: DataFrame, num_hashes: int, bands: int = DEFAULT_BAN
     )
 
 
-def lsh_candidates(band_df: DataFrame) -> DataFrame:
+def lsh_candidates(band_df: DataFrame, tile: int = TILE) -> DataFrame:
     """Distinct unordered pairs ``(id1, id2)``, ``id1 < id2``, equal in at least one band.
 
-    An equi self-join on ``(band, key)`` with a range residual; the planner
-    picks sort-merge or hash join and AQE splits skewed buckets.  The pair
-    ``distinct`` is a partial + final aggregation.
+    A bucket's members are dealt over chunks of about ``tile`` by a hash of the
+    item, and each pair of chunks is a key of its own: a bucket of any
+    size is many small joins, none of more than about ``tile`` squared pairs, and
+    a bucket of one item is none.  A member is copied once per chunk of its
+    bucket.  The pair ``distinct`` is a partial + final aggregation.
     """
-    left = band_df.select(F.col("item_id").alias("id1"), "band", "key")
-    right = band_df.select(F.col("item_id").alias("id2"), "band", "key")
-    joined = left.join(right, ["band", "key"]).where(F.col("id1") < F.col("id2"))
-    return joined.select("id1", "id2").distinct()
+    sizes = band_df.groupBy("band", "key").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1")
+    chunks = F.ceil(F.col("_size") / F.lit(float(tile))).cast("int")
+    member = (
+        band_df.join(sizes, ["band", "key"])
+        .withColumn("_chunks", chunks)
+        .withColumn("_chunk", F.pmod(F.xxhash64("item_id"), "_chunks").cast("int"))
+    )
+    left = member.select(
+        F.col("item_id").alias("_a"), "band", "key", F.col("_chunk").alias("_i"),
+        F.explode(F.sequence("_chunk", F.col("_chunks") - 1)).alias("_j"),
+    )
+    right = member.select(
+        F.col("item_id").alias("_b"), "band", "key", F.col("_chunk").alias("_j"),
+        F.explode(F.sequence(F.lit(0), "_chunk")).alias("_i"),
+    )
+    met = left.join(right, ["band", "key", "_i", "_j"]).where(
+        (F.col("_a") != F.col("_b")) & ((F.col("_i") != F.col("_j")) | (F.col("_a") < F.col("_b")))
+    )
+    return met.select(F.least("_a", "_b").alias("id1"), F.greatest("_a", "_b").alias("id2")).distinct()
 
 
 def encode_pairs(
@@ -107,31 +126,3 @@ def decode_pairs(scored: DataFrame, items: DenseIndex) -> DataFrame:
         rev.select(F.col("idx").alias("id2"), F.col("id").alias("_id2")), "id2"
     )
     return out.select(F.col("_id1").alias("id1"), F.col("_id2").alias("id2"), *rest)
-
-
-def minhash_lsh(
-    pairs: DataFrame,
-    family=None,
-    bands: int = DEFAULT_BANDS,
-    rows: int = DEFAULT_ROWS,
-    universe: DenseIndex | None = None,
-    user_col: str = "user_id",
-    item_col: str = "item_id",
-):
-    """Index, coded baskets, signatures and candidates in one call.
-
-    Returns ``(items, coded, signature_df, candidates)``: the item index
-    (``None`` when item ids are integers and used as they are), the coded
-    characteristic matrix ``item_id, user_id`` (BIGINT), the signatures and
-    candidate pairs, both keyed by item code.  ``universe``
-    defaults to the users of ``pairs``; pass a wider index (e.g. over train
-    and validation users) to hash over a larger universe.
-    """
-    family = family or hash_family()
-    users = universe or dense_index(pairs, user_col)
-    integral = isinstance(pairs.schema[item_col].dataType, T.IntegralType)
-    items = None if integral else dense_index(pairs, item_col)
-    coded = encode_pairs(pairs, users, items, user_col, item_col)
-    sig = signatures(coded.select("item_id", F.col("user_id").alias("idx")), family, users.size)
-    candidates = lsh_candidates(band_keys(sig, len(family), bands, rows))
-    return items, coded, sig, candidates

@@ -7,14 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corate.functions.hashing import DEFAULT_BANDS, DEFAULT_ROWS, hash_family
-from corate.operators.exact import prefix_candidates
 from corate.operators.index import DenseIndex, dense_index
 from corate.operators.minhash import band_keys, decode_pairs, encode_pairs, lsh_candidates, signatures
 from corate.operators.similarity import candidate_jaccard, threshold
-from corate.session import materialize
-
-
-DEFAULT_MAX_BUCKET = 2000
 
 
 def similar_pairs(
@@ -27,7 +22,6 @@ def similar_pairs(
     universe: DenseIndex | None = None,
     user_col: str = "user_id",
     item_col: str = "item_id",
-    max_bucket: int | None = DEFAULT_MAX_BUCKET,
     pairs_distinct: bool = False,
 ) -> DataFrame:
     """Item pairs ``id1 < id2`` whose user sets have Jaccard >= ``min_sim``.
@@ -35,13 +29,8 @@ def similar_pairs(
     LSH decides which pairs are compared; the reported similarity is exact.
     All heavy steps run on dense BIGINT codes; only the result is decoded.
 
-    Hot buckets: a bucket of ``k`` items would emit ``k(k-1)/2`` candidates.
-    With ``min_sim > 0``, buckets larger than ``max_bucket`` are not
-    enumerated; the pairs inside them that can reach ``min_sim`` are exactly
-    the pairs sharing a prefix user (see ``operators.exact``), so those are
-    taken instead and the result is the same.  ``max_bucket=None`` (or
-    ``min_sim == 0``) enumerates every bucket.  ``pairs_distinct=True``
-    declares that ``pairs`` has no repeated ``(user, item)`` row.
+    ``pairs_distinct=True`` declares that ``pairs`` has no repeated
+    ``(user, item)`` row.
     """
     family = family or hash_family()
     users = universe or dense_index(pairs, user_col)
@@ -50,46 +39,20 @@ def similar_pairs(
     coded = encode_pairs(pairs, users, items, user_col, item_col, pairs_distinct)
     sig = signatures(coded.select("item_id", F.col("user_id").alias("idx")), family, users.size)
     keys = band_keys(sig, len(family), bands, rows)
-    if max_bucket is not None and min_sim > 0:
-        candidates = _split_hot_buckets(keys, coded, min_sim, max_bucket)
-    else:
-        candidates = lsh_candidates(keys)
-    scored = threshold(candidate_jaccard(candidates, coded, pairs_distinct=True, min_sim=min_sim), min_sim, strict)
+    scored = threshold(candidate_jaccard(lsh_candidates(keys), coded, pairs_distinct=True, min_sim=min_sim), min_sim, strict)
     return scored if items is None else decode_pairs(scored, items)
 
 
-def _split_hot_buckets(keys: DataFrame, coded: DataFrame, min_sim: float, max_bucket: int) -> DataFrame:
-    """Candidates from ordinary buckets plus the prefix-sharing pairs of hot buckets."""
-    keys = materialize(keys, "band_keys")
-    sizes = keys.groupBy("band", "key").agg(F.count(F.lit(1)).alias("_k"))
-    hot = sizes.where(F.col("_k") > max_bucket).select("band", "key")
-    if hot.isEmpty():
-        return lsh_candidates(keys)
-    hot = materialize(hot, "hot_buckets")
-    normal = lsh_candidates(keys.join(hot, ["band", "key"], "left_anti"))
-    members = keys.join(hot, ["band", "key"], "left_semi")
-    d = coded.select(F.col("item_id").alias("item"), F.col("user_id").alias("user"))
-    prefix_pairs = prefix_candidates(d, min_sim)
-    m1 = members.select(F.col("item_id").alias("id1"), "band", "key")
-    m2 = members.select(F.col("item_id").alias("id2"), "band", "key")
-    in_hot = prefix_pairs.join(m1, "id1").join(m2, ["id2", "band", "key"]).select("id1", "id2")
-    return normal.unionByName(in_hot).distinct()
-
-
-def sorted_pairs(scored: DataFrame) -> DataFrame:
-    """The sink order: ``(id1, id2)`` ascending."""
-    return scored.orderBy(F.col("id1"), F.col("id2"))
-
-
 def main(argv=None) -> None:
-    """``spark-submit -m corate.plans.similar ratings.csv out_dir [--min-sim 0.5]``.
+    """``spark-submit corate/plans/similar.py ratings.csv out_dir [--min-sim 0.5]``.
 
     Reads the first two columns (user, item) of a CSV with header and writes
     the similar item pairs, sorted, as ``business_id_1,business_id_2,similarity``.
+    The package must be importable (``--py-files`` or ``PYTHONPATH``).
     """
     import argparse
 
-    from corate.session import build_session
+    from corate.session import build_session, scratch_scope
     from corate.sources.io import read_pairs, write_pairs
 
     parser = argparse.ArgumentParser(description="similar items by MinHash/LSH and exact Jaccard")
@@ -98,7 +61,8 @@ def main(argv=None) -> None:
     parser.add_argument("--min-sim", type=float, default=0.5)
     args = parser.parse_args(argv)
     spark = build_session()
-    write_pairs(similar_pairs(read_pairs(spark, args.input), min_sim=args.min_sim), args.output)
+    with scratch_scope(spark):
+        write_pairs(similar_pairs(read_pairs(spark, args.input), min_sim=args.min_sim), args.output)
 
 
 if __name__ == "__main__":

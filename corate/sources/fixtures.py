@@ -84,15 +84,15 @@ def purchases_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F-D: distinct ``(token, doc_id)`` pairs; token = ``[a-z]+`` of the lower-cased text.
+    """F-D: distinct ``(token, doc_id)`` pairs; token = a run of letters and digits of any script, lower-cased.
 
     The whole text of every document is tokenised.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    # maximal runs of [a-z]: split on everything else, drop the empty edges
+    # maximal runs of letters and digits: split on everything else, drop the empty edges
     tokens = docs.select(
         F.col("doc_id").alias("item_id"),
-        F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("user_id"),
+        F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("user_id"),
     ).where(F.col("user_id") != "")
     return tokens.select("user_id", "item_id").distinct()
 

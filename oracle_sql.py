@@ -27,10 +27,10 @@ ratings AS (
 train AS (SELECT user_id, item_id, CAST(rating AS DOUBLE) AS rating FROM ratings WHERE val = 0),
 valid AS (SELECT user_id, item_id, CAST(rating AS DOUBLE) AS rating FROM ratings WHERE val = 1)"""
 
-DOC_PAIRS_CTE = """
+DOC_PAIRS_CTE = r"""
 doc_pairs AS (
   SELECT DISTINCT tok AS user_id, doc_id AS item_id
-  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS tok FROM documents)
+  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS tok FROM documents)
 )"""
 
 EVENT_PAIRS_CTE = """
