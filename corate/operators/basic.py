@@ -1,4 +1,4 @@
-"""Role swap and the validation leak guard."""
+"""Role swap, the validation leak guard and the rule for repeated ratings."""
 
 from __future__ import annotations
 
@@ -18,3 +18,10 @@ def exclude_pairs(
     """Training rows whose ``(user, item)`` does not occur in ``other`` (anti equi-join)."""
     keys = other.select(user_col, item_col)
     return train.join(keys, [user_col, item_col], "left_anti")
+
+
+def one_rating(
+    ratings: DataFrame, user_col: str = "user_id", item_col: str = "item_id", rating_col: str = "rating"
+) -> DataFrame:
+    """One rating per ``(user, item)``: of repeated ones the highest, whatever their order.  Other columns go."""
+    return ratings.groupBy(user_col, item_col).agg(F.max(rating_col).alias(rating_col))

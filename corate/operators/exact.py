@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from corate.operators.index import attach_index, dense_index, rank_within
 from corate.operators.similarity import candidate_jaccard, item_users, threshold
+from corate.operators.spread import pairs_within
 from corate.session import materialize
 
 
@@ -32,9 +33,7 @@ def prefix_candidates(d: DataFrame, min_sim: float) -> DataFrame:
     # a slightly longer prefix (the epsilon) never loses a pair; the check below is exact
     keep = F.col("_n") - F.ceil(F.lit(float(min_sim)) * F.col("_n") - F.lit(1e-9)) + 1
     prefix = positioned.where(F.col("_pos") <= keep).select("item", "_rank")
-    left = prefix.select(F.col("item").alias("id1"), "_rank")
-    right = prefix.select(F.col("item").alias("id2"), "_rank")
-    return left.join(right, "_rank").where(F.col("id1") < F.col("id2")).select("id1", "id2").distinct()
+    return pairs_within(prefix, ["_rank"], "item")
 
 
 def exact_similar_pairs(

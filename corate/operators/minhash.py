@@ -22,11 +22,9 @@ from corate.functions.hashing import (
     signature_columns,
 )
 from corate.operators.index import DenseIndex, attach_index
+from corate.operators.spread import TILE, pairs_within
 from corate.session import materialize
 
-# Members of a bucket that meet in one task: a constant of the plan, not a limit on buckets.
-TILE = 1024
-
 
 def baskets(pairs: DataFrame, index: DenseIndex, user_col: str = "user_id", item_col: str = "item_id"):
     """Distinct ``(item_id, idx)``: the users of each item as dense indexes."""
@@ -65,31 +63,9 @@ def band_keys(signature_df: DataFrame, num_hashes: int, bands: int = DEFAULT_BAN
 def lsh_candidates(band_df: DataFrame, tile: int = TILE) -> DataFrame:
     """Distinct unordered pairs ``(id1, id2)``, ``id1 < id2``, equal in at least one band.
 
-    A bucket's members are dealt over chunks of about ``tile`` by a hash of the
-    item, and each pair of chunks is a key of its own: a bucket of any
-    size is many small joins, none of more than about ``tile`` squared pairs, and
-    a bucket of one item is none.  A member is copied once per chunk of its
-    bucket.  The pair ``distinct`` is a partial + final aggregation.
+    One path for buckets of every size: see ``pairs_within``.
     """
-    sizes = band_df.groupBy("band", "key").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1")
-    chunks = F.ceil(F.col("_size") / F.lit(float(tile))).cast("int")
-    member = (
-        band_df.join(sizes, ["band", "key"])
-        .withColumn("_chunks", chunks)
-        .withColumn("_chunk", F.pmod(F.xxhash64("item_id"), "_chunks").cast("int"))
-    )
-    left = member.select(
-        F.col("item_id").alias("_a"), "band", "key", F.col("_chunk").alias("_i"),
-        F.explode(F.sequence("_chunk", F.col("_chunks") - 1)).alias("_j"),
-    )
-    right = member.select(
-        F.col("item_id").alias("_b"), "band", "key", F.col("_chunk").alias("_j"),
-        F.explode(F.sequence(F.lit(0), "_chunk")).alias("_i"),
-    )
-    met = left.join(right, ["band", "key", "_i", "_j"]).where(
-        (F.col("_a") != F.col("_b")) & ((F.col("_i") != F.col("_j")) | (F.col("_a") < F.col("_b")))
-    )
-    return met.select(F.least("_a", "_b").alias("id1"), F.greatest("_a", "_b").alias("id2")).distinct()
+    return pairs_within(band_df, ["band", "key"], "item_id", tile)
 
 
 def encode_pairs(

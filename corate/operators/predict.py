@@ -4,6 +4,9 @@ Each predictor is aggregations plus a ``CASE`` ladder over joins; no
 per-row Python.  Output: one row per distinct test key,
 ``user_id, item_id, prediction``.
 
+Repeated training ratings of one ``(user, item)`` count once (``one_rating``);
+``unique=True`` declares that there are none.
+
 Fallback ladder shared by the predictors (first match wins):
 
 1. user unknown in training -> mean rating of the item, else the global mean;
@@ -17,6 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corate.operators.basic import one_rating
+from corate.operators.spread import bucketed, copied
+
 ZERO = 1e-9
 
 
@@ -50,7 +56,7 @@ def _cold_start(keys: DataFrame, train: DataFrame) -> DataFrame:
     return with_item.withColumn("cold", F.coalesce(F.col("item_mean"), global_mean(train))).drop("item_mean")
 
 
-def predict_item_based(train: DataFrame, test: DataFrame, neighbours: DataFrame) -> DataFrame:
+def predict_item_based(train: DataFrame, test: DataFrame, neighbours: DataFrame, unique: bool = False) -> DataFrame:
     """Weighted average ``|sum w*r(u,j) / sum |w||`` over neighbours ``j`` of the item that ``u`` rated.
 
     ``neighbours`` is ``target_id, neighbour_id, weight`` (see
@@ -58,9 +64,11 @@ def predict_item_based(train: DataFrame, test: DataFrame, neighbours: DataFrame)
     when ``u`` rated ``t`` in training.  A list holding only the placeholder
     gives the user's mean.
     """
-    keys = test_keys(test)
-    nb = neighbours.select(F.col("target_id").alias("item_id"), "neighbour_id", "weight")
-    lists = keys.join(nb, "item_id", "left")
+    train = train if unique else one_rating(train)
+    # An item's test rows are dealt over buckets of users, and its list is copied to each.
+    keys = bucketed(test_keys(test), "user_id")
+    nb = copied(neighbours.select(F.col("target_id").alias("item_id"), "neighbour_id", "weight"))
+    lists = keys.join(nb, ["item_id", "_bucket"], "left")
     ratings = train.select("user_id", F.col("item_id").alias("neighbour_id"), F.col("rating").alias("_r"))
     rated = lists.join(ratings, ["user_id", "neighbour_id"], "left")
     usable = F.col("_r").isNotNull()
@@ -83,7 +91,7 @@ def predict_item_based(train: DataFrame, test: DataFrame, neighbours: DataFrame)
 
 
 def predict_user_based(
-    train: DataFrame, test: DataFrame, neighbours: DataFrame, include_active: bool = False
+    train: DataFrame, test: DataFrame, neighbours: DataFrame, include_active: bool = False, unique: bool = False
 ) -> DataFrame:
     """``mean(u) + sum w*(r(v,i) - mean(v)) / sum |w|`` over neighbours ``v`` of ``u`` who rated ``i``.
 
@@ -92,11 +100,12 @@ def predict_user_based(
     (``include_active=True`` keeps it); a neighbour whose only rating is
     ``i`` is then skipped.
     """
+    train = train if unique else one_rating(train)
     keys = test_keys(test)
     nb = neighbours.select(F.col("target_id").alias("user_id"), "neighbour_id", "weight")
-    lists = keys.join(nb, "user_id", "left")
     ratings = train.select(F.col("user_id").alias("neighbour_id"), "item_id", F.col("rating").alias("_r"))
-    rated = lists.join(ratings, ["neighbour_id", "item_id"], "left")
+    # Only neighbours that rated the item go on; a key without any comes back as a null below.
+    rated = keys.join(nb, "user_id").join(ratings, ["neighbour_id", "item_id"])
     stats = user_stats(train).select(
         F.col("user_id").alias("neighbour_id"), F.col("user_n").alias("_vn"), F.col("user_sum").alias("_vs")
     )
@@ -106,12 +115,12 @@ def predict_user_based(
     else:
         v_mean = F.when(F.col("_vn") > 1, (F.col("_vs") - F.col("_r")) / (F.col("_vn") - 1))
     dev = F.col("_r") - v_mean
-    usable = F.col("_r").isNotNull() & v_mean.isNotNull()
+    usable = v_mean.isNotNull()
     agg = rated.groupBy("user_id", "item_id").agg(
         F.sum(F.when(usable, F.col("weight") * dev)).alias("num"),
         F.sum(F.when(usable, F.abs("weight"))).alias("den"),
     )
-    base = _cold_start(agg, train)
+    base = _cold_start(keys.join(agg, ["user_id", "item_id"], "left"), train)
     num, den = F.col("num"), F.col("den")
     prediction = (
         F.when(F.col("user_mean").isNull(), F.col("cold"))
@@ -121,11 +130,12 @@ def predict_user_based(
     return base.select("user_id", "item_id", prediction.alias("prediction"))
 
 
-def predict_mean(train: DataFrame, test: DataFrame) -> DataFrame:
+def predict_mean(train: DataFrame, test: DataFrame, unique: bool = False) -> DataFrame:
     """Mean baseline: the item's mean, else the user's mean, else the global mean.
 
     This is what the reference's user-based case outputs in practice.
     """
+    train = train if unique else one_rating(train)
     keys = test_keys(test)
     with_item = keys.join(item_stats(train), "item_id", "left")
     with_user = with_item.join(user_stats(train).select("user_id", "user_mean"), "user_id", "left")

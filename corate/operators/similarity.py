@@ -1,9 +1,8 @@
 """Exact pair measures for candidate pairs: Jaccard of rater sets, co-rating moments.
 
-Both walk the *smaller* basket of each pair and probe the larger one with an
-equi-join on ``(item, user)``, so the cost is the sum over candidates of the
-shorter basket.  No basket is collected into an array and nothing goes
-through the driver.
+Both are equi-joins of the pairs with the long basket table, whose rows are
+dealt over buckets of users, so that an item with many raters is many
+tasks.  Nothing goes through the driver, and no join is forced to build a hash table.
 """
 
 from __future__ import annotations
@@ -12,6 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corate.functions.similarity import corated_similarity, jaccard
+from corate.operators.basic import one_rating
+from corate.operators.spread import bucketed, copied
+
+# Users of one piece of a basket, which is an array.
+PIECE_USERS = 20_000
 
 
 def _oriented(candidates: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -35,6 +39,17 @@ def item_users(pairs: DataFrame, user_col: str = "user_id", item_col: str = "ite
     return pairs.select(F.col(item_col).alias("item"), F.col(user_col).alias("user")).distinct()
 
 
+def _pieces(d: DataFrame, sizes: DataFrame, piece_users: int) -> DataFrame:
+    """``item, _bucket, users``: baskets as arrays, cut by a hash of the user.
+
+    The number of buckets, the same for all items, follows the largest
+    basket, so that no array holds more than about ``piece_users`` users.
+    """
+    largest = sizes.agg(F.max("n")).first()[0] or 1
+    buckets = -(-largest // piece_users)
+    return bucketed(d, "user", buckets).groupBy("item", "_bucket").agg(F.collect_list("user").alias("users"))
+
+
 def candidate_jaccard(
     candidates: DataFrame,
     pairs: DataFrame,
@@ -42,6 +57,7 @@ def candidate_jaccard(
     item_col: str = "item_id",
     pairs_distinct: bool = False,
     min_sim: float | None = None,
+    piece_users: int = PIECE_USERS,
 ) -> DataFrame:
     """``id1, id2, similarity``: exact Jaccard of the two items' sets of users.
 
@@ -61,12 +77,13 @@ def candidate_jaccard(
     if min_sim is not None:
         lo, hi = F.least("n1", "n2").cast("double"), F.greatest("n1", "n2").cast("double")
         c = c.where(lo >= F.lit(float(min_sim)) * hi - F.lit(1e-9))
-    # expansion rows carry only (small, large, user): the pair is (small, large)
-    expanded = c.select("small", "large").hint("shuffle_hash").join(d.select(F.col("item").alias("small"), "user"), "small")
-    # hash the (smaller) basket table per partition instead of sorting the expansion
-    probe = d.select(F.col("item").alias("large"), "user").hint("shuffle_hash")
-    inter = expanded.join(probe, ["large", "user"], "left_semi").groupBy("small", "large").agg(
-        F.count(F.lit(1)).alias("inter")
+    pieces = _pieces(d, sizes, piece_users)
+    inter = (
+        c.select("small", "large")
+        .join(pieces.select(F.col("item").alias("small"), "_bucket", F.col("users").alias("_s")), "small")
+        .join(pieces.select(F.col("item").alias("large"), "_bucket", F.col("users").alias("_l")), ["large", "_bucket"])
+        .groupBy("small", "large")
+        .agg(F.sum(F.size(F.array_intersect("_s", "_l"))).alias("inter"))
     )
     counted = c.join(inter, ["small", "large"], "left")
     shared = F.coalesce(F.col("inter"), F.lit(0))
@@ -85,21 +102,24 @@ def corating_moments(
     user_col: str = "user_id",
     item_col: str = "item_id",
     rating_col: str = "rating",
+    unique: bool = False,
 ) -> DataFrame:
     """Moments over common raters for each pair ``(id1, id2)``.
 
     Columns ``id1, id2, n, s1, s2, s12, s11, s22`` where ``s1 = sum r(u, id1)``
     etc. over users who rated both.  Pairs without common raters are absent.
-    Ratings are expected to be unique per ``(user, item)``.
+    Repeated ratings of one ``(user, item)`` count once (``one_rating``);
+    ``unique=True`` declares that there are none.
     """
     r = ratings.select(
         F.col(item_col).alias("item"), F.col(user_col).alias("user"), F.col(rating_col).cast("double").alias("r")
     )
+    r = bucketed(r if unique else one_rating(r, "user", "item", "r"), "user")
     sizes = r.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    c = _oriented(pair_df.select("id1", "id2").distinct(), sizes).select("small", "large").hint("shuffle_hash")
-    expanded = c.join(r.select(F.col("item").alias("small"), "user", F.col("r").alias("rs")), "small")
-    probe = r.select(F.col("item").alias("large"), "user", F.col("r").alias("rl")).hint("shuffle_hash")
-    common = expanded.join(probe, ["large", "user"])
+    c = copied(_oriented(pair_df.select("id1", "id2").distinct(), sizes).select("small", "large"))
+    small = r.select(F.col("item").alias("small"), "_bucket", "user", F.col("r").alias("rs"))
+    large = r.select(F.col("item").alias("large"), "_bucket", "user", F.col("r").alias("rl"))
+    common = c.join(small, ["small", "_bucket"]).join(large, ["large", "_bucket", "user"])
     m = common.groupBy("small", "large").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("rs").alias("ss"),
@@ -156,6 +176,7 @@ def pair_similarity(
     user_col: str = "user_id",
     item_col: str = "item_id",
     rating_col: str = "rating",
+    unique: bool = False,
 ) -> DataFrame:
     """Directed co-rating similarity for the given unordered pairs."""
-    return directed_similarity(corating_moments(ratings, pair_df, user_col, item_col, rating_col), center)
+    return directed_similarity(corating_moments(ratings, pair_df, user_col, item_col, rating_col, unique), center)

@@ -4,11 +4,12 @@
 validation key with one of:
 
 * ``"item"``: item-based CF, LSH neighbourhood (Jaccard >= min_sim), co-rating weights;
-* ``"user"``: user-based CF, the same machinery on swapped roles (Jaccard > 0);
+* ``"user"``: user-based CF, the same machinery on swapped roles (Jaccard >= USER_MIN_SIM);
 * ``"mean"``: item mean, else user mean (what the reference's user case outputs);
 * ``"als"``:  ALS matrix factorisation.
 
 Validation keys are removed from training first (``exclude_validation``).
+Repeated ratings of one ``(user, item)`` count once, at their highest.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corate.functions.hashing import DEFAULT_BANDS, DEFAULT_ROWS
-from corate.operators.basic import exclude_pairs, swap_roles
+from corate.operators.basic import exclude_pairs, one_rating, swap_roles
 from corate.operators.evaluate import rmse
 from corate.operators.factor import als_fit, als_predict
 from corate.operators.index import union_index
@@ -31,6 +32,12 @@ from corate.session import materialize
 
 METHODS = ("item", "user", "mean", "als")
 
+# User-based CF: least Jaccard of two users' item sets, and the LSH shape that proposes them.
+# Four rows to a band propose few of the many pairs far below the threshold.
+USER_MIN_SIM = 0.25
+USER_BANDS = 30
+USER_ROWS = 4
+
 
 @dataclass(frozen=True)
 class Result:
@@ -47,27 +54,47 @@ def item_neighbours(
     family=None,
     bands: int = DEFAULT_BANDS,
     rows: int = DEFAULT_ROWS,
+    unique: bool = False,
 ) -> DataFrame:
     """Neighbour lists of the test items: LSH pairs over training, co-rating weights."""
     universe = union_index(train, test, "user_id")
     pairs = similar_pairs(train, min_sim, strict, family, bands, rows, universe)
-    return neighbour_table(pairs, train, targets=test.select("item_id"), center=center)
+    return neighbour_table(pairs, train, targets=test.select("item_id"), center=center, unique=unique)
+
+
+def item_based(
+    train: DataFrame, test: DataFrame, min_sim: float = 0.5, center: str = "active", unique: bool = False, **lsh
+) -> DataFrame:
+    train = train if unique else materialize(one_rating(train), "ratings")
+    neighbours = item_neighbours(train, test, min_sim, False, center, unique=True, **lsh)
+    return predict_item_based(train, test, neighbours, unique=True)
 
 
-def item_based(train: DataFrame, test: DataFrame, min_sim: float = 0.5, center: str = "active", **lsh) -> DataFrame:
-    return predict_item_based(train, test, item_neighbours(train, test, min_sim, False, center, **lsh))
+def similar_users(
+    train: DataFrame, test: DataFrame, min_sim: float = USER_MIN_SIM, bands: int = USER_BANDS, rows: int = USER_ROWS, family=None
+) -> DataFrame:
+    """Pairs of users by LSH over their items.  ``min_sim`` must be positive: at 0 nearly all pairs would do."""
+    if not 0 < min_sim <= 1:
+        raise ValueError("user-based neighbourhoods need a min_sim in (0, 1]")
+    swapped = swap_roles(train)
+    universe = union_index(swapped, swap_roles(test), "user_id")
+    return similar_pairs(swapped, min_sim, False, family, bands, rows, universe)
 
 
 def user_based(
     train: DataFrame,
     test: DataFrame,
-    min_sim: float = 0.0,
+    min_sim: float = USER_MIN_SIM,
     center: str = "active",
     include_active: bool = False,
+    unique: bool = False,
     **lsh,
 ) -> DataFrame:
-    nb = item_neighbours(swap_roles(train), swap_roles(test), min_sim, True, center, **lsh)
-    return predict_user_based(train, test, nb, include_active)
+    train = train if unique else materialize(one_rating(train), "ratings")
+    pairs = similar_users(train, test, min_sim, **lsh)
+    targets = test.select(F.col("user_id").alias("item_id"))
+    neighbours = neighbour_table(pairs, swap_roles(train), targets=targets, center=center, unique=True)
+    return predict_user_based(train, test, neighbours, include_active, unique=True)
 
 
 def als_based(train: DataFrame, test: DataFrame, implicit: bool = False, **params) -> DataFrame:
@@ -86,21 +113,24 @@ def recommend(
         raise ValueError(f"method must be one of {METHODS}, got {method!r}")
     if exclude_validation:
         train = exclude_pairs(train, validation)
-    train = materialize(train)  # read by every branch of the plan
+    train = materialize(one_rating(train), "ratings")  # read by every branch of the plan
     if method == "item":
-        pred = item_based(train, validation, **params)
+        pred = item_based(train, validation, unique=True, **params)
     elif method == "user":
-        pred = user_based(train, validation, **params)
+        pred = user_based(train, validation, unique=True, **params)
     elif method == "mean":
-        pred = predict_mean(train, validation)
+        pred = predict_mean(train, validation, unique=True)
     else:
         pred = als_based(train, validation, **params)
     return Result(pred, rmse(pred, validation))
 
 
 def main(argv=None) -> None:
-    """``spark-submit -m corate.plans.recommend train.csv val.csv method out_dir``."""
-    from corate.session import build_session
+    """``spark-submit corate/plans/recommend.py train.csv val.csv method out_dir``.
+
+    The package must be importable (``--py-files`` or ``PYTHONPATH``).
+    """
+    from corate.session import build_session, scratch_scope
     from corate.sources.io import read_ratings, write_predictions
 
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
@@ -111,11 +141,12 @@ def main(argv=None) -> None:
     parser.add_argument("--keep-validation-in-train", action="store_true")
     args = parser.parse_args(argv)
     spark = build_session()
-    train, valid = read_ratings(spark, args.train), read_ratings(spark, args.validation)
-    result = recommend(train, valid, args.method, exclude_validation=not args.keep_validation_in_train)
-    result.predictions.persist()
-    write_predictions(result.predictions, args.output)
-    print("RMSE:", result.rmse.select(F.col("rmse")).first()[0])
+    with scratch_scope(spark):
+        train, valid = read_ratings(spark, args.train), read_ratings(spark, args.validation)
+        result = recommend(train, valid, args.method, exclude_validation=not args.keep_validation_in_train)
+        predictions = materialize(result.predictions, "predictions")
+        write_predictions(predictions, args.output)
+        print("RMSE:", rmse(predictions, valid).first()["rmse"])
 
 
 if __name__ == "__main__":

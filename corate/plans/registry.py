@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corate.functions.hashing import hash_family
-from corate.operators.index import dense_index, union_index
+from corate.operators.index import dense_index, number_rows, union_index
 from corate.operators.minhash import baskets, band_keys, lsh_candidates, signature_long, signatures
 from corate.operators.similarity import candidate_jaccard
 from corate.operators.evaluate import precision_recall
@@ -104,10 +104,12 @@ def q_similar_pairs_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_top_pairs_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = similar_pairs(_doc_tokens(spark, sf_dir), min_sim=DOC_MIN_SIM, pairs_distinct=True)
-    return pairs.orderBy("id1", "id2").select(
+    # The place of each pair in the sorted output, so that a comparison of rows sees the order.
+    return number_rows(pairs, ["id1", "id2"], pos_col="position").frame.select(
         F.col("id1").alias("business_id_1"),
         F.col("id2").alias("business_id_2"),
         F.round("similarity", 6).alias("similarity"),
+        "position",
     )
 
 
@@ -139,6 +141,14 @@ def q_lsh_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_lsh_quality_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall of the rating neighbourhoods, on which the item-based queries rest."""
+    train, valid = _train_valid(spark, sf_dir)
+    found = similar_pairs(train, min_sim=RATING_MIN_SIM, universe=union_index(train, valid, "user_id"))
+    truth = exact_similar_pairs(train, RATING_MIN_SIM)
+    return precision_recall(found, truth).select("n_found", "n_truth", "hits", _r6("precision"), _r6("recall"))
+
+
 QUERIES = {
     "ratings_fixture": q_ratings_fixture,
     "dense_index": q_dense_index,
@@ -154,6 +164,7 @@ QUERIES = {
     "similar_pairs_purchases": q_similar_pairs_purchases,
     "jaccard_exact": q_jaccard_exact,
     "lsh_quality": q_lsh_quality,
+    "lsh_quality_ratings": q_lsh_quality_ratings,
 }
 
 
@@ -161,11 +172,14 @@ QUERIES = {
 
 from corate.operators.basic import exclude_pairs, swap_roles  # noqa: E402
 from corate.operators.evaluate import rmse  # noqa: E402
+from corate.operators.factor import als_fit, als_predict, factor_checks, normal_equations  # noqa: E402
 from corate.operators.knn import knn_items, knn_users  # noqa: E402
 from corate.operators.neighbours import neighbour_table  # noqa: E402
 from corate.operators.predict import item_stats, predict_mean, user_stats  # noqa: E402
 from corate.operators.similarity import pair_similarity  # noqa: E402
 from corate.plans import recommend as rec  # noqa: E402
+from corate.session import delete_at_exit, scratch_path  # noqa: E402
+from corate.sources import io  # noqa: E402
 
 
 def _prediction(df: DataFrame) -> DataFrame:
@@ -200,7 +214,7 @@ def _rating_pairs(spark: SparkSession, sf_dir: str):
 
 def _similarity(spark: SparkSession, sf_dir: str, center: str) -> DataFrame:
     train, _, pairs = _rating_pairs(spark, sf_dir)
-    sims = pair_similarity(train, pairs.select("id1", "id2"), center)
+    sims = pair_similarity(train, pairs.select("id1", "id2"), center, unique=True)
     return sims.select("target_id", "neighbour_id", _r6("similarity"))
 
 
@@ -214,33 +228,34 @@ def q_similarity_own(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid, pairs = _rating_pairs(spark, sf_dir)
-    nb = neighbour_table(pairs, train, targets=valid.select("item_id"))
+    nb = neighbour_table(pairs, train, targets=valid.select("item_id"), unique=True)
     return nb.select("target_id", "neighbour_id", _r6("weight"))
 
 
 def q_predict_item_based(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    return _prediction(rec.item_based(train, valid, min_sim=RATING_MIN_SIM))
+    return _prediction(rec.item_based(train, valid, min_sim=RATING_MIN_SIM, unique=True))
 
 
 def q_predict_user_based(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    return _prediction(rec.user_based(train, valid))
+    return _prediction(rec.user_based(train, valid, unique=True))
 
 
 def q_predict_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    return _prediction(predict_mean(train, valid))
+    return _prediction(predict_mean(train, valid, unique=True))
 
 
 def q_knn_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    return knn_items(train, valid, k=5).select("user_id", "item_id", "neighbour_id", _r6("similarity"), "rank")
+    return knn_items(train, valid, k=5, unique=True).select("user_id", "item_id", "neighbour_id", _r6("similarity"), "rank")
 
 
 def q_knn_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    return knn_users(train, valid).select("user_id", "item_id", "neighbour_id", _r6("similarity"), "rank")
+    pairs = rec.similar_users(train, valid)
+    return knn_users(train, valid, pairs, unique=True).select("user_id", "item_id", "neighbour_id", _r6("similarity"), "rank")
 
 
 def _rmse(result: DataFrame) -> DataFrame:
@@ -249,27 +264,113 @@ def _rmse(result: DataFrame) -> DataFrame:
 
 def q_rmse_item_based(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    return _rmse(rmse(rec.item_based(train, valid, min_sim=RATING_MIN_SIM), valid))
+    return _rmse(rmse(rec.item_based(train, valid, min_sim=RATING_MIN_SIM, unique=True), valid))
 
 
 def q_rmse_user_based(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    return _rmse(rmse(rec.user_based(train, valid), valid))
+    return _rmse(rmse(rec.user_based(train, valid, unique=True), valid))
 
 
 def q_rmse_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    return _rmse(rmse(predict_mean(train, valid), valid))
+    return _rmse(rmse(predict_mean(train, valid, unique=True), valid))
 
 
-def q_als_explicit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _als(spark: SparkSession, sf_dir: str, implicit: bool):
     train, valid = _train_valid(spark, sf_dir)
-    return rec.als_based(train, valid)
+    return train, valid, als_fit(train, valid, implicit=implicit)
+
+
+def _als_scores(spark: SparkSession, sf_dir: str, implicit: bool) -> DataFrame:
+    """The validation keys that the model knows; is each prediction the product of its factors?"""
+    _, valid, fitted = _als(spark, sf_dir, implicit)
+    return factor_checks(fitted, als_predict(fitted, valid)).select("user_id", "item_id", "is_product")
+
+
+def _als_factors(spark: SparkSession, sf_dir: str, implicit: bool) -> DataFrame:
+    """The training users; does each factor solve its regularised normal equations?"""
+    train, _, fitted = _als(spark, sf_dir, implicit)
+    return normal_equations(fitted, train, implicit=implicit).select("user_id", "solves")
+
+
+def q_als_explicit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _als_scores(spark, sf_dir, False)
 
 
 def q_als_implicit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _als_scores(spark, sf_dir, True)
+
+
+def q_als_explicit_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _als_factors(spark, sf_dir, False)
+
+
+def q_als_implicit_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _als_factors(spark, sf_dir, True)
+
+
+def q_rmse_als(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows scored by explicit ALS; is its error below the spread of a five-step scale?"""
+    _, valid, fitted = _als(spark, sf_dir, False)
+    return rmse(als_predict(fitted, valid), valid).select("n", ((F.col("rmse") > 0) & (F.col("rmse") < 4)).alias("plausible"))
+
+
+def q_recommend_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dispatch with its leak guard: the input holds the validation rows."""
+    train, valid = _train_valid(spark, sf_dir)
+    return _prediction(rec.recommend(train.unionByName(valid), valid, "item", min_sim=RATING_MIN_SIM).predictions)
+
+
+def q_recommend_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, valid = _train_valid(spark, sf_dir)
+    return _rmse(rec.recommend(train.unionByName(valid), valid, "mean").rmse)
+
+
+def q_repeated_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item-based predictions from a table with a rating per purchase line, so many of one user and item."""
+    lines, valid = fixtures.repeated_ratings(spark, sf_dir)
+    return _prediction(rec.recommend(materialize(lines, "lines"), valid, "item", min_sim=RATING_MIN_SIM).predictions)
+
+
+def _csv(df: DataFrame, name: str) -> str:
+    """``df`` as CSV files with a header in the shared folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("header", True).csv(path)
+    delete_at_exit(df.sparkSession, path)
+    return path
+
+
+def q_csv_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings written as CSV, ids with a comma among them, and read again."""
+    train, _ = _train_valid(spark, sf_dir)
+    quoted = train.select("user_id", F.concat("item_id", F.lit(", x")).alias("item_id"), "rating")
+    return io.read_ratings(spark, _csv(quoted, "ratings-csv"))
+
+
+def q_csv_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two columns of such a file."""
+    train, _ = _train_valid(spark, sf_dir)
+    return io.read_pairs(spark, _csv(train, "pairs-csv"))
+
+
+def q_csv_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs through the sink and the truth-file source."""
+    _, _, pairs = _rating_pairs(spark, sf_dir)
+    path = scratch_path(spark, "truth-csv")
+    io.write_pairs(pairs, path)
+    delete_at_exit(spark, path)
+    return io.read_truth_pairs(spark, path)
+
+
+def q_csv_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions through their sink, to two decimals, read as text."""
     train, valid = _train_valid(spark, sf_dir)
-    return rec.als_based(train, valid, implicit=True)
+    path = scratch_path(spark, "predictions-csv")
+    io.write_predictions(predict_mean(train, valid, unique=True), path)
+    delete_at_exit(spark, path)
+    back = spark.read.option("header", True).csv(path)
+    return back.select("user_id", "business_id", F.col("prediction").cast("decimal(10,2)").cast("string").alias("prediction"))
 
 
 QUERIES.update(
@@ -291,5 +392,15 @@ QUERIES.update(
         "rmse_mean": q_rmse_mean,
         "als_explicit": q_als_explicit,
         "als_implicit": q_als_implicit,
+        "als_explicit_factors": q_als_explicit_factors,
+        "als_implicit_factors": q_als_implicit_factors,
+        "rmse_als": q_rmse_als,
+        "recommend_item": q_recommend_item,
+        "recommend_mean": q_recommend_mean,
+        "repeated_ratings": q_repeated_ratings,
+        "csv_ratings": q_csv_ratings,
+        "csv_pairs": q_csv_pairs,
+        "csv_truth": q_csv_truth,
+        "csv_predictions": q_csv_predictions,
     }
 )

@@ -20,6 +20,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.maxFields": "200",
+    # A shuffled hash join only where every partition of the built side was measured to fit.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -92,6 +94,19 @@ def _hadoop_path(spark: SparkSession, path: str):
     return found, found.getFileSystem(sc._jsc.hadoopConfiguration())
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint directory, which its owner (see ``materialize``) deletes."""
+    path = f"{ensure_checkpoint_dir(spark)}/corate-{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system delete a written path when the application ends."""
+    found, system = _hadoop_path(spark, path)
+    system.deleteOnExit(found)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet under the checkpoint directory and read it back.
 
@@ -105,11 +120,9 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     of any scope to the application, at whose end the file system deletes it.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/corate-{name}-{uuid.uuid4().hex}"
-    _written.append(path)
+    path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    found, system = _hadoop_path(spark, path)
-    system.deleteOnExit(found)
+    delete_at_exit(spark, path)
     return spark.read.parquet(path)
 
 

@@ -60,6 +60,26 @@ def split_ratings(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return train, validation
 
 
+def repeated_ratings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(lines, validation): a rating per purchase line, many of one (user, item), and F-R's validation part.
+
+    A line's rating is its quantity in tens, rounded up.  Lines of validation keys are among them.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
+    lines = (
+        orders.join(lineitem, orders.o_orderkey == lineitem.l_orderkey)
+        .join(part, lineitem.l_partkey == part.p_partkey)
+        .select(
+            F.col("o_custkey").alias("user_id"),
+            _item_key().alias("item_id"),
+            F.ceil(F.col("l_quantity") / 10).cast("double").alias("rating"),
+        )
+    )
+    return lines, split_ratings(ratings_fixture(spark, sf_dir))[1]
+
+
 def purchases_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-P: customer x part ratings, same rating rule, for ALS at scale."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")

@@ -154,8 +154,9 @@ SELECT id1, id2, round(similarity, 6) AS similarity FROM d_jac WHERE similarity
 
 def sql_top_pairs_sorted(min_sim: float = 0.5) -> str:
     return with_(DOC_PAIRS_CTE, family_values(), lsh_ctes("doc_pairs", "d")) + f"""
-SELECT id1 AS business_id_1, id2 AS business_id_2, round(similarity, 6) AS similarity
-FROM d_jac WHERE similarity >= {min_sim} ORDER BY id1, id2"""
+SELECT id1 AS business_id_1, id2 AS business_id_2, round(similarity, 6) AS similarity,
+       row_number() OVER (ORDER BY id1, id2) - 1 AS position
+FROM d_jac WHERE similarity >= {min_sim}"""
 
 
 def sql_similar_pairs_events(min_sim: float = 0.4) -> str:
@@ -320,8 +321,8 @@ def _user_based_ctes() -> list[str]:
         RATINGS_CTE,
         SWAPPED,
         family_values(),
-        lsh_ctes("strain", "s", SWAPPED_USERS),
-        "s_sp AS (SELECT id1, id2 FROM s_jac WHERE similarity > 0)",
+        lsh_ctes("strain", "s", SWAPPED_USERS, bands=30, rows=4),
+        "s_sp AS (SELECT id1, id2 FROM s_jac WHERE similarity >= 0.25)",
         neighbour_ctes("u", "s_sp", "strain", "svalid"),
         STATS_CTES,
         USER_PRED_CTES,
@@ -417,8 +418,12 @@ def sql_knn_users() -> str:
         RATINGS_CTE,
         STATS_CTES,
         SWAPPED,
-        """cand AS (SELECT k.user_id, k.item_id, tr.user_id AS neighbour_id FROM keys k
-                 JOIN train tr ON tr.item_id = k.item_id WHERE tr.user_id <> k.user_id)""",
+        family_values(),
+        lsh_ctes("strain", "s", SWAPPED_USERS, bands=30, rows=4),
+        """near AS (SELECT id1 AS u, id2 AS v FROM s_jac WHERE similarity >= 0.25
+                    UNION ALL SELECT id2, id1 FROM s_jac WHERE similarity >= 0.25)""",
+        """cand AS (SELECT k.user_id, k.item_id, near.v AS neighbour_id FROM keys k JOIN near ON near.u = k.user_id
+                 JOIN train tr ON tr.item_id = k.item_id AND tr.user_id = near.v)""",
         "kp AS (SELECT DISTINCT user_id AS t, neighbour_id AS n FROM cand)",
         directed_sims_cte("ks", "kp", "strain"),
     ) + """
@@ -428,6 +433,74 @@ FROM (SELECT c.user_id, c.item_id, c.neighbour_id, s.sim AS similarity
       FROM cand c JOIN ks s ON s.t = c.user_id AND s.n = c.neighbour_id WHERE s.sim IS NOT NULL)"""
 
 
+def sql_lsh_quality_ratings(min_sim: float = 0.2) -> str:
+    exact = BRUTE_DOC_CTE.replace("d_", "r_")
+    return with_(RATINGS_CTE, family_values(), lsh_ctes("train", "r", RATING_USERS), exact) + f""",
+found AS (SELECT id1, id2 FROM r_jac WHERE similarity >= {min_sim}),
+truth AS (SELECT id1, id2 FROM r_exact WHERE similarity >= {min_sim}),
+counts AS (SELECT (SELECT count(*) FROM found) AS n_found, (SELECT count(*) FROM truth) AS n_truth,
+                  (SELECT count(*) FROM found JOIN truth USING (id1, id2)) AS hits)
+SELECT n_found, n_truth, hits,
+       round(CASE WHEN n_found > 0 THEN hits / n_found END, 6) AS precision,
+       round(CASE WHEN n_truth > 0 THEN hits / n_truth END, 6) AS recall
+FROM counts"""
+
+
+KNOWN_KEYS = """known AS (
+  SELECT DISTINCT user_id, item_id FROM valid
+  WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)
+)"""
+
+
+def sql_als_scores() -> str:
+    return with_(RATINGS_CTE, KNOWN_KEYS) + "\nSELECT user_id, item_id, true AS is_product FROM known"
+
+
+def sql_als_factors() -> str:
+    return with_(RATINGS_CTE) + "\nSELECT DISTINCT user_id, true AS solves FROM train"
+
+
+def sql_rmse_als() -> str:
+    return with_(RATINGS_CTE, KNOWN_KEYS) + """
+SELECT count(*) AS n, true AS plausible FROM known k JOIN valid v ON v.user_id = k.user_id AND v.item_id = k.item_id"""
+
+
+REPEATED_CTE = """
+train AS (
+  SELECT user_id, item_id, max(rating) AS rating FROM (
+    SELECT o_custkey AS user_id, p_brand || '|' || p_type AS item_id, CAST(ceil(l_quantity / 10) AS DOUBLE) AS rating
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey) l
+  WHERE NOT EXISTS (SELECT 1 FROM valid v WHERE v.user_id = l.user_id AND v.item_id = l.item_id)
+  GROUP BY user_id, item_id)"""
+
+
+def sql_repeated_ratings() -> str:
+    ratings = RATINGS_CTE[: RATINGS_CTE.index("train AS")] + RATINGS_CTE[RATINGS_CTE.index("valid AS") :]
+    ctes = [ratings + "," + REPEATED_CTE, *_item_based_ctes()[1:]]
+    return with_(*ctes) + "\nSELECT user_id, item_id, round(prediction, 6) AS prediction FROM ipred"
+
+
+def sql_csv_ratings() -> str:
+    return with_(RATINGS_CTE) + "\nSELECT CAST(user_id AS VARCHAR) AS user_id, item_id || ', x' AS item_id, rating FROM train"
+
+
+def sql_csv_pairs() -> str:
+    return with_(RATINGS_CTE) + "\nSELECT CAST(user_id AS VARCHAR) AS user_id, item_id FROM train"
+
+
+def sql_csv_truth(min_sim: float = 0.2) -> str:
+    return with_(RATINGS_CTE, family_values(), lsh_ctes("train", "r", RATING_USERS)) + f"""
+SELECT id1, id2 FROM r_jac WHERE similarity >= {min_sim}"""
+
+
+def sql_csv_predictions() -> str:
+    # Through a decimal, so that a tie is one of the printed number and not of its binary form.
+    return with_(RATINGS_CTE, STATS_CTES, MEAN_PRED_CTE) + """
+SELECT CAST(user_id AS VARCHAR) AS user_id, item_id AS business_id,
+       CAST(CAST(round(CAST(prediction AS DECIMAL(18, 13)), 2) AS DECIMAL(10, 2)) AS VARCHAR) AS prediction
+FROM mpred"""
+
+
 ORACLE = {
     "ratings_fixture": sql_ratings_fixture(),
     "dense_index": sql_dense_index(),
@@ -458,4 +531,17 @@ ORACLE = {
     "rmse_item_based": sql_rmse_item_based(),
     "rmse_user_based": sql_rmse_user_based(),
     "rmse_mean": sql_rmse_mean(),
+    "lsh_quality_ratings": sql_lsh_quality_ratings(),
+    "als_explicit": sql_als_scores(),
+    "als_implicit": sql_als_scores(),
+    "als_explicit_factors": sql_als_factors(),
+    "als_implicit_factors": sql_als_factors(),
+    "rmse_als": sql_rmse_als(),
+    "recommend_item": sql_predict_item_based(),
+    "recommend_mean": sql_rmse_mean(),
+    "repeated_ratings": sql_repeated_ratings(),
+    "csv_ratings": sql_csv_ratings(),
+    "csv_pairs": sql_csv_pairs(),
+    "csv_truth": sql_csv_truth(),
+    "csv_predictions": sql_csv_predictions(),
 }
