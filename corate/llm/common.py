@@ -60,15 +60,19 @@ def bounded_sample(df: DataFrame, label: str, per_label: int, key: str, seed: in
     )
 
 
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, written and counted: marked for broadcast if it has at most ``rows`` rows, else left to a shuffle join."""
+    df = materialize(df, "small-side")
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def without_ids(docs: DataFrame, id_col: str, gone: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
     """``docs`` without the rows whose id is in the one column of ``gone`` (null is an id too).
 
-    Up to ``broadcast_rows`` ids, which are counted first, go to every task, so
-    that the texts stay where they are; more are joined by a shuffle.
+    Up to ``broadcast_rows`` ids go to every task, so that the texts stay where
+    they are; more are joined by a shuffle.
     """
-    gone = materialize(gone.toDF("_gone").distinct(), "gone")
-    if gone.count() <= broadcast_rows:
-        gone = F.broadcast(gone)
+    gone = small_side(gone.toDF("_gone").distinct(), broadcast_rows)
     return docs.join(gone, docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
 
 
@@ -90,7 +94,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def text_slices(column: pa.Array, limit: int = 1 << 20):
+def text_slices(column: pa.Array, limit: int = 1 << 18):
     """Yield (first row, bytes, offsets) for runs of rows of about ``limit`` bytes.
 
     A run holds whole texts, at least one; a null text has no bytes.

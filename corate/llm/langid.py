@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corate.llm.common import LOWER, bounded_sample, text_of, text_slices, with_columns_last
+from corate.llm.common import LOWER, bounded_sample, small_side, text_of, text_slices, with_columns_last
 
 UNDETERMINED = "und"
 _PAD = 256  # the symbol after the end of a text
@@ -74,23 +74,38 @@ class ByteGru:
     def hidden(self) -> int:
         return self.weights["Uf"].shape[0]
 
+    def _gates(self, side: str) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Tables and state weights of the update gate, the reset gate and the candidate, each in one piece."""
+        split = lambda w: [np.ascontiguousarray(part) for part in np.split(w, 3, 1)]
+        return split(self.weights["X" + side]), split(self.weights["U" + side])
+
     def _run(self, side: str, symbols: np.ndarray, keep: list | None = None) -> np.ndarray:
         """States after each step (steps x pieces x hidden); with ``keep`` the gates too."""
-        h_dim = self.hidden
-        table, u = self.weights["X" + side], self.weights["U" + side]
+        (xz, xr, xc), (uz, ur, uc) = self._gates(side)
         steps, n = symbols.shape
-        out = np.empty((steps, n, h_dim), np.float32)
-        h = np.zeros((n, h_dim), np.float32)
+        out = np.empty((steps, n, self.hidden), xz.dtype)
+        h = np.zeros((n, self.hidden), xz.dtype)
+        m = np.empty_like(h)
+
+        def gate(x: np.ndarray, u: np.ndarray, s: np.ndarray) -> np.ndarray:
+            g = np.take(x, s, axis=0, mode="clip")
+            g += np.matmul(h, u, out=m)
+            g *= 0.5
+            np.tanh(g, out=g)
+            g *= 0.5
+            g += 0.5
+            return g
+
         for t in range(steps) if side == "f" else range(steps - 1, -1, -1):
-            x = table[symbols[t]]
-            m = h @ u
-            gates = np.tanh(0.5 * (x[:, : 2 * h_dim] + m[:, : 2 * h_dim])) * 0.5 + 0.5
-            z, r = gates[:, :h_dim], gates[:, h_dim:]
-            inner = m[:, 2 * h_dim :]
-            c = np.tanh(x[:, 2 * h_dim :] + r * inner)
-            before = h
-            h = c + z * (before - c)
-            out[t] = h
+            z, r = gate(xz, uz, symbols[t]), gate(xr, ur, symbols[t])
+            inner = h @ uc
+            c = r * inner
+            c += np.take(xc, symbols[t], axis=0, mode="clip")
+            np.tanh(c, out=c)
+            before, h = h, out[t]
+            np.subtract(before, c, out=h)
+            h *= z
+            h += c
             if keep is not None:
                 keep.append((t, before, z, r, inner, c))
         return out
@@ -146,7 +161,7 @@ def train_gru(
     symbols: np.ndarray,
     valid: np.ndarray,
     label: np.ndarray,
-    hidden: int = 12,
+    hidden: int = 8,
     steps: int = 400,
     batch: int = 256,
     rate: float = 0.03,
@@ -173,8 +188,8 @@ def document_probabilities(model: ByteGru, data: np.ndarray, offsets: np.ndarray
     """The mean over all positions of each text; zeros for an empty one."""
     symbols, valid, doc = pieces(data, offsets, piece)
     totals = np.zeros((len(offsets) - 1, len(model.languages)))
-    for at in range(0, len(doc), 4096):
-        end = at + 4096
+    for at in range(0, len(doc), 2048):  # small enough for the processor's cache
+        end = at + 2048
         y = model.probabilities(symbols[:, at:end])
         y *= (np.arange(piece)[:, None] < valid[None, at:end])[:, :, None]
         np.add.at(totals, doc[at:end], y.sum(0))
@@ -197,7 +212,7 @@ def fit_language(
     """
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     chosen = bounded_sample(known.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang")), "_lang", per_label, "_id", seed)
-    chosen = chosen.distinct()
+    chosen = small_side(chosen.distinct(), 1_000_000)  # per_label rows of each language
     sample = known.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), text_of(text_col).alias("_text"))
     sample = sample.join(chosen, ["_id", "_lang"]).select("_lang", "_text")
 
