@@ -25,19 +25,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (the smallest node reachable) for every node that is not its own component.
 
-    Alternates large-star and small-star steps until nothing changes, which takes
+    Alternates large-star and small-star steps until only stars are left, which takes
     a number of rounds logarithmic in the longest path.  Rows with a null end and
     loops are ignored.  A hub's edges are combined by a partial minimum; the joins
     are ones that Spark splits when skewed.  Each round is written to the shared folder.
     """
     edges = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     edges = materialize(edges, "edges")
-    state = None
-    while True:
-        mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(mark) == state:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        state = tuple(mark)
-        if state[0] == 0:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    while not _settled(edges):
         edges = materialize(_small_star(_large_star(edges)), "edges")
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Is every node joined to one other, which is joined to no smaller one?"""
+    several = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
+    inner = edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u")
+    return several.unionByName(inner).isEmpty()

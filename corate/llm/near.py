@@ -9,15 +9,19 @@ shingle a 64-bit value, and the sketch retains the ``k`` smallest.
    one among the k - o + 1 of either sketch that come first in any common order
    (the prefix principle).  The order is by list length, then value: values of
    common passages come last, and a value that only one class retains needs no list.
-3. Each list compares its members with one of them, the smallest.  In a group of
-   near copies that links nearly all, however many they are.
-4. Lists that still hold several components compare the members outside the
-   largest one with all others.  Jaccard distance is a metric: if the distances of x and y to
-   the list's first member differ by more than the threshold, x and y are not linked,
-   so most such pairs need no look at their sets.
-5. Candidate pairs are filtered by their sizes and by the estimate of the union's sketch
-   (the k smallest values of both sketches together), then checked on full sets.
-6. Links give connected components.
+3. Each list compares its members with one of them, its pivot: the one whose
+   retained values are the most common, so in a group of near copies the text that
+   they were made from.  That links most of them, however many they are.
+4. Near copies that are not linked to their pivot may still be linked to each other
+   or to one that is.  They are found by how they differ from the pivot: let D_x be the symmetric
+   difference of the sets of x and the pivot.  The one of x and y is |D_x| + |D_y| - 2 |D_x & D_y|, so
+   a link asks for a large common part of D_x and D_y; independent edits share
+   little.  The prefix principle is applied once more, to the differences.
+5. Members far from the pivot are compared with each other if they share a list.  Jaccard
+   distance is a metric: their distances to the pivot must be about equal.
+6. Candidates of 4 and 5 are filtered by their sizes and by the estimate of the union's
+   sketch (the k smallest values of both sketches together), then checked on full sets.
+7. Links give connected components.
 
 ``o`` and the estimate's margin are ``sigmas`` standard deviations off the
 threshold, so a pair at the threshold is lost with a probability of some 1e-8
@@ -39,6 +43,8 @@ from corate.llm.common import Words, distinct_per_doc, mix, text_of, text_slices
 from corate.llm.components import connected_components
 from corate.session import materialize
 
+# Distance to its pivot up to which a member is known by how it differs from it.
+REACH = 0.9
 SET = "struct<n: bigint, key: binary, sketch: array<bigint>>"
 
 
@@ -97,11 +103,10 @@ class NearDuplicates:
     """The steps above over one table of documents; ``percent``: least similarity in hundredths."""
 
     def __init__(self, percent: int, words: int, k: int, sigmas: float):
-        self.percent, self.words, self.k = percent, words, k
+        self.percent, self.words, self.k, self.sigmas = percent, words, k, sigmas
         t = percent / 100
         self.margin = sigmas * math.sqrt(t * (1 - t) / k)
         self.whole = percent * k // 100  # sets up to this size, and all that are as similar, lie in their sketches
-        self.least_shared = max(1, math.floor(k * (t - self.margin)))
 
     def describe(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """id, n, key, sketch of every document."""
@@ -119,114 +124,148 @@ class NearDuplicates:
         entries = classes.select("node", "n", F.explode("sketch").alias("value"))
         shared = entries.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
         kept = F.least(F.col("n"), F.lit(self.k))
-        overlap = F.when(F.col("n") <= self.whole, F.expr(f"({self.percent} * n + 99) div 100")).otherwise(self.least_shared)
+        # The union's k smallest values are a sample of the union, which has n / t values at most.
+        t, union = self.percent / 100, F.col("n") * (100 / self.percent)
+        spread = self.sigmas * F.sqrt(self.k * t * (1 - t) * F.greatest(F.lit(0), union - self.k) / (union - 1))
+        sampled = F.greatest(F.lit(1), F.floor(self.k * t - spread))
+        overlap = F.when(F.col("n") <= self.whole, F.expr(f"({self.percent} * n + 99) div 100")).otherwise(sampled)
         listed = (
             entries.join(shared, "value")
             .groupBy("node", "n")
-            .agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared"))
+            .agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared"), F.sum("df").alias("weight"))
             .withColumn("prefix", kept - overlap + 1 - (kept - F.size("shared")))
             .where("prefix > 0")
-            .select("node", "n", F.transform(F.slice("shared", 1, F.col("prefix").cast("int")), lambda x: x["value"]).alias("values"))
+            .select("node", "n", "weight", F.transform(F.slice("shared", 1, F.col("prefix").cast("int")), lambda x: x["value"]).alias("values"))
         )
         listed = materialize(listed, "near-lists")
-        values = listed.select("node", "n", F.explode("values").alias("value"))
-        alone = values.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("value")
-        values = materialize(values.join(alone, "value"), "near-postings")
+        values = listed.select("node", "n", "weight", F.explode("values").alias("value"))
+        central = F.min(F.struct((-F.col("weight")).alias("weight"), F.col("node")))
+        lists = values.groupBy("value").agg(F.count(F.lit(1)).alias("members"), central.alias("central")).where("members > 1")
+        values = materialize(values.join(lists.select("value", F.col("central.node").alias("pivot")), "value"), "near-postings")
         nodes = values.select("node", "n").distinct()
         return values, materialize(classes.select("node", "n", "sketch").join(nodes, ["node", "n"]), "near-sketches")
 
-    def compare(self, pairs: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
-        """a, b, linked, and bounds low and high of the Jaccard distance of each pair."""
-        side = lambda x: sketches.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
-        small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-        union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, self.k)
-        estimate = F.size(F.array_intersect("union", F.array_intersect("s_a", "s_b"))) / F.size("union")
-        told = (
-            pairs.join(side("a"), "a")
-            .join(side("b"), "b")
-            .select("a", "b", (1 - small / large).alias("low"), (100 * small >= self.percent * large).alias("sized"), union.alias("union"), "s_a", "s_b")
-            .select("a", "b", "low", "sized", estimate.alias("estimate"))
-        )
-        told = materialize(told, "near-estimates")
-        likely = F.col("sized") & (F.col("estimate") >= self.percent / 100 - self.margin)
-        apart = told.where(~likely).select(
-            "a", "b", F.lit(False).alias("linked"), F.greatest("low", 1 - F.col("estimate") - self.margin).alias("low"), F.lit(1.0).alias("high")
-        )
+    def to_pivots(self, values: DataFrame, sets: DataFrame) -> DataFrame:
+        """pivot, node, n, n_pivot, linked, distance and, up to REACH, diff (the sets' symmetric difference)."""
+        pairs = values.where("node <> pivot").select("pivot", "node").distinct()
         both = F.size(F.array_intersect("x", "y"))
-        checked = (
-            told.where(likely)
-            .select("a", "b")
-            .join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-            .select("a", "b", both.alias("shared"), (F.size("x") + F.size("y")).alias("sizes"))
-            .withColumn("total", F.col("sizes") - F.col("shared"))
+        found = (
+            pairs.join(sets.select(F.col("node").alias("pivot"), F.col("set").alias("x")), "pivot")
+            .join(sets.select("node", F.col("set").alias("y")), "node")
+            .select("pivot", "node", "x", "y", both.alias("shared"))
+            .withColumn("total", F.size("x") + F.size("y") - F.col("shared"))
             .select(
-                "a",
-                "b",
-                (100 * F.col("shared") >= self.percent * F.col("total")).alias("linked"),
-                (1 - F.col("shared") / F.col("total")).alias("low"),
-                (1 - F.col("shared") / F.col("total")).alias("high"),
+                "pivot",
+                "node",
+                F.struct(
+                    (1 - F.col("shared") / F.col("total")).alias("distance"),
+                    F.size("y").alias("n"),
+                    F.size("x").alias("n_pivot"),
+                    (100 * F.col("shared") >= self.percent * F.col("total")).alias("linked"),
+                    F.when(
+                        F.col("shared") >= (1 - REACH) * F.col("total"),
+                        F.concat(F.array_except("x", "y"), F.array_except("y", "x")),
+                    ).alias("diff"),
+                ).alias("found"),
             )
         )
-        # An id with several texts is one node: linked if any of them are, at any of their distances.
-        found = apart.unionByName(checked).groupBy("a", "b")
-        return materialize(
-            found.agg(F.max("linked").alias("linked"), F.min("low").alias("low"), F.max("high").alias("high")), "near-compared"
+        # An id with several texts is one node: of its distances the least counts.
+        found = found.groupBy("pivot", "node").agg(F.min("found").alias("found"))
+        return materialize(found.select("pivot", "node", "found.*"), "near-pivots")
+
+    def by_difference(self, star: DataFrame) -> DataFrame:
+        """Pairs a < b around one pivot, at least one of them not linked to it, that may be linked."""
+        ratio = (100 - self.percent) / (100 + self.percent)  # sets are linked if |x ^ y| <= ratio * (|x| + |y|)
+        near = star.where("diff IS NOT NULL")
+        entries = near.select("pivot", "node", F.explode("diff").alias("value"))
+        shared = entries.groupBy("pivot", "value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+        size = F.size("diff")
+        # Least common part of the differences: with a partner that is not linked, and of a node that is not, with one that is.
+        excess = F.greatest(F.lit(0), F.col("n") - F.col("n_pivot"))
+        half = F.ceil((size - ratio * excess) / 2 - 1e-9)
+        long = F.ceil(size - ratio * F.col("n") * (1 + 100 / self.percent) - 1e-9)
+        nodes = (
+            entries.join(shared, ["pivot", "value"])
+            .groupBy("pivot", "node")
+            .agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared"))
+            .join(near, ["pivot", "node"])
+            .select("pivot", "node", "n", "linked", size.alias("size"), F.size("shared").alias("common"), "shared",
+                    F.greatest(F.lit(1), half).alias("half"), F.greatest(F.lit(1), long).alias("long"))
+        )
+        nodes = materialize(nodes.where("common >= least(half, long)"), "near-differences")
+
+        def lists(rows: DataFrame, least: str, name: str) -> DataFrame:
+            take = (F.col("common") - F.col(least) + 1).cast("int")
+            values = F.transform(F.slice("shared", 1, take), lambda x: x["value"])
+            cut = rows.where(take > 0).withColumn("value", F.explode(values))
+            return cut.select("pivot", "value", "node", "n", "size", "common").alias(name)
+
+        loose, tied = nodes.where("NOT linked"), nodes.where("linked")
+        need = (F.col("x.size") + F.col("y.size") - ratio * (F.col("x.n") + F.col("y.n"))) / 2 - 1e-9
+        maybe = (
+            (F.col("x.pivot") == F.col("y.pivot"))
+            & (F.col("x.value") == F.col("y.value"))
+            & (100 * F.col("x.n") >= self.percent * F.col("y.n"))
+            & (100 * F.col("y.n") >= self.percent * F.col("x.n"))
+            & (need <= F.least("x.common", "y.common"))
         )
+        first = lists(loose, "half", "x").join(lists(loose, "half", "y"), maybe & (F.col("x.node") < F.col("y.node")))
+        second = lists(loose, "long", "x").join(lists(tied, "half", "y"), maybe)
+        pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
+        return first.select(*pair).unionByName(second.select(*pair)).distinct()
 
-    def rest(self, values: DataFrame, firsts: DataFrame, compared: DataFrame, components: DataFrame) -> DataFrame:
-        """Pairs a < b that share a list, are not yet in one component, and may be linked."""
+    def far_apart(self, values: DataFrame, star: DataFrame) -> DataFrame:
+        """Pairs a < b of a list, at least one of them beyond REACH of its pivot, that may be linked."""
+        far = 1 - self.percent / 100 + 1e-9
+        away = star.where(F.col("distance") >= REACH - far).select("pivot", "node", "n", "distance")
         known = (
-            values.join(firsts, "value")
-            .join(compared.select(F.col("a").alias("first"), F.col("b").alias("node"), "low", "high"), ["first", "node"], "left")
-            .join(components, "node", "left")
-            .select(
-                "value",
-                "node",
-                "n",
-                F.coalesce("component", "node").alias("part"),
-                F.coalesce("low", F.lit(0.0)).alias("low"),
-                F.coalesce("high", F.when(F.col("node") == F.col("first"), 0.0), F.lit(1.0)).alias("high"),
-                (F.col("node") == F.col("first")).alias("is_first"),
-            )
-        )
-        known = materialize(known, "near-known")
-        largest = (
-            known.groupBy("value", "part")
-            .agg(F.count(F.lit(1)).alias("size"))
-            .groupBy("value")
-            .agg(F.max_by("part", F.struct("size", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
-            .where("parts > 1")
-            .select("value", "main")
+            values.select("value", "pivot", "node")
+            .join(away, ["pivot", "node"])
+            .select("value", "node", "n", "distance")
         )
-        open_ = known.where(~F.col("is_first")).join(largest, "value")
-        x, y = open_.where("part <> main").alias("x"), open_.alias("y")
-        far = 1 - self.percent / 100 + 1e-9
+        x, y = known.alias("x"), known.alias("y")
         maybe = (
             (F.col("x.value") == F.col("y.value"))
-            & (F.col("x.part") != F.col("y.part"))
+            & (F.col("x.node") < F.col("y.node"))
             & (100 * F.col("x.n") >= self.percent * F.col("y.n"))
             & (100 * F.col("y.n") >= self.percent * F.col("x.n"))
-            & (F.col("x.low") - F.col("y.high") <= far)
-            & (F.col("y.low") - F.col("x.high") <= far)
+            & (F.greatest("x.distance", "y.distance") >= REACH - 1e-9)
+            & (F.abs(F.col("x.distance") - F.col("y.distance")) <= far)
+        )
+        return x.join(y, maybe).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+    def check(self, pairs: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
+        """The linked ones of some pairs: by the estimate of the union's sketch, then on full sets."""
+        side = lambda x: sketches.select(F.col("node").alias(x), F.col("sketch").alias(f"s_{x}"))
+        union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, self.k)
+        estimate = F.size(F.array_intersect("union", F.array_intersect("s_a", "s_b"))) / F.size("union")
+        likely = (
+            pairs.join(side("a"), "a")
+            .join(side("b"), "b")
+            .withColumn("union", union)
+            .where(estimate >= self.percent / 100 - self.margin)
+            .select("a", "b")
+        )
+        shared = F.size(F.array_intersect("x", "y"))
+        return (
+            materialize(likely, "near-likely")
+            .join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
+            .where(100 * shared >= self.percent * (F.size("x") + F.size("y") - shared))
+            .select("a", "b")
         )
-        pairs = x.join(y, maybe).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-        return pairs.distinct()
 
     def components(self, docs: DataFrame, sets: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """node, component for the nodes that are not their own component."""
         values, sketches = self.postings(classes)
-        firsts = materialize(values.groupBy("value").agg(F.min("node").alias("first")), "near-firsts")
         texts = docs.select(F.col(id_col).alias("node"), text_of(text_col).alias("text"))
         wanted = sketches.select("node").distinct()
         full = texts.join(wanted, "node").select("node", full_sets(F.col("text"), self.words).alias("set"))
         full = materialize(full.distinct(), "near-full")
-        star = values.join(firsts, "value").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-        compared = self.compare(star, sketches, full)
-        links = compared.where("linked").select("a", "b")
-        parts = connected_components(links)
-        more = self.compare(self.rest(values, firsts, compared, parts), sketches, full).where("linked").select("a", "b")
-        return connected_components(links.unionByName(more))
+        star = self.to_pivots(values, full)
+        links = star.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+        more = self.by_difference(star).unionByName(self.far_apart(values, star))
+        return connected_components(links.unionByName(self.check(more.distinct(), sketches, full)))
 
 
 def near_groups(
