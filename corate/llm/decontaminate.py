@@ -253,7 +253,7 @@ def find_contamination(
     rate: float = 0.05,
     window: int = 64,
     least: int = 32,
-    block_bytes: int = 16 << 20,
+    block_bytes: int = 2 << 20,
     name: str = "matches",
 ) -> DataFrame:
     """``docs`` with an array of matches (item, begin, end, item_begin, item_end, edits).

@@ -48,8 +48,8 @@ _RAW = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(script|style|textarea|title|noscript|iframe|template)\b[^>]*>.*?(?:</\1\s*>|\Z)",
     re.I | re.S,
 )
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[/!?][^>]*>""")
-_LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+# A quoted value may hold a ">"; a quote that opens no value, or is never closed, is a sign like others.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>])*+)>|<[/!?][^>]*+>""")
 _ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _TOKEN = re.compile(r"[a-z0-9]+")
@@ -99,13 +99,13 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
             if in_link:
                 linked += len(text.strip())
 
-    at = 0
+    at, last = 0, page.rfind(">")
     while True:
         start = page.find("<", at)
-        if start < 0:
+        if start < 0 or start > last:
             read(page[at:])
             break
-        found = _TAG.match(page, start) or _LOOSE.match(page, start)
+        found = _TAG.match(page, start)
         if found is None:  # a bare sign, part of the text
             read(page[at : start + 1])
             at = start + 1

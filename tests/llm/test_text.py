@@ -28,6 +28,9 @@ LONG = "A paragraph of the article with so many words that its text surges over
         ("<article>1 < 2 &lt; 3 &#233; &am</article>", "1 < 2 < 3 é &am"),
         ("<article><p>a<div hidden>no</div><p role='navigation'>no<p>b", "a\n\nb"),
         ("<p>un<i>brok</i>en</p>", "unbroken"),
+        ("<article><p title=don't>x</p><p>it's</p></article>", "x\n\nit's"),
+        ("<article><p>x</p></article>" + "<a" * 50000, "x"),
+        ("<a" * 50000, "<a" * 50000),
         ("<article><p title='a > b'>x</p><p title=\"open>y</p></article>", "x\n\ny"),
     ],
 )
