@@ -24,9 +24,16 @@ def test_topk_uses_window_group_limit(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_probe_is_hash_join_and_scans_are_pruned(spark):
+def test_no_forced_hash_joins_and_pruned_scans(spark):
     plan = _plan(entry.queries()["similar_pairs_docs"](spark, SF_SMALL))
-    assert "ShuffledHashJoin" in plan or "BroadcastHashJoin" in plan
+    assert "shuffle_hash" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     for line in plan.splitlines():
         if "FileScan parquet" in line and "corate-coded" in line:
             assert "ReadSchema: struct<item_id:bigint,user_id:bigint>" in line or "ReadSchema: struct<item_id:bigint>" in line
+
+
+def test_rating_joins_are_keyed_by_a_bucket_of_users(spark):
+    for name in ("similarity_active", "predict_item_based"):
+        query = entry.queries()[name](spark, SF_SMALL)
+        query.write.format("noop").mode("overwrite").save()
+        assert "_bucket" in query._jdf.queryExecution().optimizedPlan().toString()

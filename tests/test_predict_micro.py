@@ -25,6 +25,38 @@ def test_negative_weight_gives_absolute_value(spark, ratings_df):
     assert out[("u", "t")] == pytest.approx(4.0)
 
 
+def test_repeated_ratings_count_once(spark, ratings_df):
+    """Of several ratings of one user and item the highest counts, in predictions and similarities."""
+    from corate.operators.knn import knn_items
+    from corate.operators.similarity import pair_similarity
+
+    rows = [("u", "j", 5.0), ("u", "j", 5.0), ("u", "j", 2.0), ("u", "k", 1.0)]
+    nb = _nb(spark, [("t", "j", 1.0), ("t", "k", 1.0)])
+    out = _pred(predict_item_based(ratings_df(rows), _test(spark, [("u", "t")]), nb))
+    assert out[("u", "t")] == pytest.approx(3.0)
+    users = _nb(spark, [("a", "u", 1.0)])
+    out = _pred(predict_user_based(ratings_df([*rows, ("a", "x", 3.0)]), _test(spark, [("a", "j")]), users))
+    assert out[("a", "j")] == pytest.approx(3.0 + (5.0 - 1.0))
+    out = _pred(predict_mean(ratings_df(rows), _test(spark, [("u", "zz"), ("q", "j")])))
+    assert out == {("u", "zz"): pytest.approx(3.0), ("q", "j"): pytest.approx(5.0)}
+
+    plain = [("u", "a", 1.0), ("v", "a", 4.0), ("w", "a", 2.0), ("u", "b", 2.0), ("v", "b", 5.0), ("w", "b", 1.0)]
+    pairs = spark.createDataFrame([("a", "b")], "id1 string, id2 string")
+    want = sorted(map(tuple, pair_similarity(ratings_df(plain), pairs).collect()))
+    again = sorted(map(tuple, pair_similarity(ratings_df([*plain, ("v", "a", 4.0), ("v", "a", 3.0)]), pairs).collect()))
+    assert again == want
+    keys = _test(spark, [("u", "b")])
+    assert knn_items(ratings_df([*plain, plain[0]]), keys).collect() == knn_items(ratings_df(plain), keys).collect()
+
+
+def test_user_neighbourhoods_need_a_threshold(spark, ratings_df):
+    from corate.plans.recommend import user_based
+
+    train = ratings_df([("u", "j", 5.0)])
+    with pytest.raises(ValueError, match="min_sim"):
+        user_based(train, _test(spark, [("u", "t")]), min_sim=0.0)
+
+
 def test_placeholder_only_gives_user_mean(spark, ratings_df):
     train = ratings_df([("u", "t", 5.0), ("u", "x", 1.0)])
     out = _pred(predict_item_based(train, _test(spark, [("u", "t")]), _nb(spark, [("t", "t", 1.0)])))
