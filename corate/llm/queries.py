@@ -28,7 +28,7 @@ URL_RULES = (
     ("block", "net", "/fr/"),
 )
 QUALITY_THRESHOLD = 0.3
-TOXIC_THRESHOLD = 0.2
+TOXIC_THRESHOLD = 0.1
 # Seed words of the categories before ``toxic``.
 TOXIC_SEEDS = {
     "insult": ("idiot", "moron", "stupid", "clown"),

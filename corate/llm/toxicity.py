@@ -109,8 +109,8 @@ def choose_features(doc: np.ndarray, key: np.ndarray, labels: np.ndarray, least:
     """Keys in at least ``least`` texts that mark some category.
 
     Their chi-squared statistic is over ``level``, and the category's share among
-    texts with the key is at least half way from its overall share to one: common
-    words that merely go with long texts, or with clean ones, are no evidence.
+    texts with the key is at least four fifths of the way from its overall share to
+    one: common words that merely go with long texts, or with clean ones, are no evidence.
     """
     doc, key = distinct_per_doc(doc, key)
     keys, inverse = np.unique(key, return_inverse=True)
@@ -121,7 +121,7 @@ def choose_features(doc: np.ndarray, key: np.ndarray, labels: np.ndarray, least:
         share = y.mean()
         expected = df * share
         spread = np.maximum(1e-9, df * (1 - df / n) * share * (1 - share))
-        keep |= (both - expected >= (df - expected) / 2) & ((both - expected) ** 2 / spread > level)
+        keep |= (both - expected >= 0.8 * (df - expected)) & ((both - expected) ** 2 / spread > level)
     return keys[keep & (df >= least)]
 
 
