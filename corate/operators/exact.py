@@ -11,7 +11,7 @@ every order, so they rarely enter a prefix.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corate.operators.index import attach_index, dense_index, rank_within
@@ -32,8 +32,16 @@ def prefix_candidates(d: DataFrame, min_sim: float) -> DataFrame:
     positioned = rank_within(ranked, ["item"], [F.col("_rank")], rank_col="_pos").join(sizes, "item")
     # a slightly longer prefix (the epsilon) never loses a pair; the check below is exact
     keep = F.col("_n") - F.ceil(F.lit(float(min_sim)) * F.col("_n") - F.lit(1e-9)) + 1
-    prefix = positioned.where(F.col("_pos") <= keep).select("item", "_rank")
-    return pairs_within(prefix, ["_rank"], "item")
+    prefix = positioned.where(F.col("_pos") <= keep).select("item", "_rank", "_pos", "_n")
+
+    def may_reach(a: str, b: str) -> Column:
+        """At the first shared user of a pair all later ones may be shared, and that must be enough."""
+        sizes = F.col(f"{a}_n") + F.col(f"{b}_n")
+        rest = 1 + F.least(F.col(f"{a}_n") - F.col(f"{a}_pos"), F.col(f"{b}_n") - F.col(f"{b}_pos"))
+        ratio = F.least(f"{a}_n", f"{b}_n") >= F.lit(float(min_sim)) * F.greatest(f"{a}_n", f"{b}_n") - F.lit(1e-9)
+        return ratio & (rest >= F.lit(min_sim / (1 + min_sim)) * sizes - F.lit(1e-9))
+
+    return pairs_within(prefix, ["_rank"], "item", keep=may_reach, carry=("_pos", "_n"))
 
 
 def exact_similar_pairs(

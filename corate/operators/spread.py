@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Members of a group that meet in one task, and pieces of a key: constants of the plan, not limits.
@@ -10,9 +12,19 @@ TILE = 1024
 BUCKETS = 16
 
 
-def pairs_within(rows: DataFrame, group: list[str], id_col: str, tile: int = TILE) -> DataFrame:
+def pairs_within(
+    rows: DataFrame,
+    group: list[str],
+    id_col: str,
+    tile: int = TILE,
+    keep: Callable[[str, str], Column] | None = None,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
     """Distinct unordered pairs ``(id1, id2)``, ``id1 < id2``, of ids that share a group.
 
+    ``keep``, a symmetric condition on the ``carry`` columns of both sides (given the
+    prefixes of their names), drops pairs inside the join.
+
     A group's members are dealt over chunks of about ``tile`` by a hash of the id,
     and each pair of chunks is a join key of its own: a group of any size is
     many small joins, none of more than about ``tile`` squared pairs, and a group
@@ -26,16 +38,18 @@ def pairs_within(rows: DataFrame, group: list[str], id_col: str, tile: int = TIL
         .withColumn("_chunk", F.pmod(F.xxhash64(id_col), "_chunks").cast("int"))
     )
     left = member.select(
-        F.col(id_col).alias("_a"), *group, F.col("_chunk").alias("_i"),
+        F.col(id_col).alias("_a"), *group, *[F.col(c).alias(f"_a_{c}") for c in carry], F.col("_chunk").alias("_i"),
         F.explode(F.sequence("_chunk", F.col("_chunks") - 1)).alias("_j"),
     )
     right = member.select(
-        F.col(id_col).alias("_b"), *group, F.col("_chunk").alias("_j"),
+        F.col(id_col).alias("_b"), *group, *[F.col(c).alias(f"_b_{c}") for c in carry], F.col("_chunk").alias("_j"),
         F.explode(F.sequence(F.lit(0), "_chunk")).alias("_i"),
     )
     met = left.join(right, [*group, "_i", "_j"]).where(
         (F.col("_a") != F.col("_b")) & ((F.col("_i") != F.col("_j")) | (F.col("_a") < F.col("_b")))
     )
+    if keep is not None:
+        met = met.where(keep("_a_", "_b_"))
     return met.select(F.least("_a", "_b").alias("id1"), F.greatest("_a", "_b").alias("id2")).distinct()
 
 
