@@ -124,11 +124,17 @@ class NearDuplicates:
         entries = classes.select("node", "n", F.explode("sketch").alias("value"))
         shared = entries.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
         kept = F.least(F.col("n"), F.lit(self.k))
-        # The union's k smallest values are a sample of the union, which has n / t values at most.
+        # The union's k smallest values are a sample of the union, which has n / t values at most.  A union of
+        # fewer than k values, which only a set of fewer has, lies in the sketches whole: the intersection is shared.
         t, union = self.percent / 100, F.col("n") * (100 / self.percent)
         spread = self.sigmas * F.sqrt(self.k * t * (1 - t) * F.greatest(F.lit(0), union - self.k) / (union - 1))
         sampled = F.greatest(F.lit(1), F.floor(self.k * t - spread))
-        overlap = F.when(F.col("n") <= self.whole, F.expr(f"({self.percent} * n + 99) div 100")).otherwise(sampled)
+        entire = F.expr(f"({self.percent} * n + 99) div 100")
+        overlap = (
+            F.when(F.col("n") <= self.whole, entire)
+            .when(F.col("n") < self.k, F.least(sampled, entire))
+            .otherwise(sampled)
+        )
         listed = (
             entries.join(shared, "value")
             .groupBy("node", "n")

@@ -69,6 +69,29 @@ def test_near_groups_equal_brute_force(spark):
         assert run(spark, rows) == brute(rows)
 
 
+def test_sets_about_the_size_of_a_sketch(spark):
+    """Trimmed and edge-edited copies of 45 to 75 shingles: unions on both sides of the 64 values of a sketch."""
+    rows = []
+    for n in range(45, 76):
+        for kind in ("front", "back", "edge"):
+            words = [f"{kind}{n}w{k}" for k in range(n + 4)]
+            least = -(-85 * n // 100)  # the shortest trimmed copy that is linked; the next is not
+            edits = max(d for d in range(n) if 100 * (n - d) >= 85 * (n + d))  # likewise of the edits at both ends
+            if kind == "edge":
+                copies = [["x"] * (e // 2) + words[e // 2 : n + 4 - (e - e // 2)] + ["y"] * (e - e // 2) for e in (edits, edits + 1)]
+                copies = [[f"{w}{n}{i}{k}" if w in "xy" else w for k, w in enumerate(c)] for i, c in enumerate(copies)]
+            elif kind == "front":
+                copies = [words[: m + 4] for m in (least, least - 1)]
+            else:
+                copies = [words[-m - 4 :] for m in (least, least - 1)]
+            for copy in copies:
+                base = [f"{w}of{len(rows)}" for w in words]
+                rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(f"{w}of{len(rows)}" for w in copy))]
+    want = brute(rows)
+    assert sum(not r[3] for r in want) == 3 * 31  # one of the two copies of each
+    assert run(spark, rows) == want
+
+
 def test_near_edge_cases(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "A b c d e f"), (5, None), (4, None)]
     got = sorted((tuple(r) for r in near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
