@@ -4,7 +4,7 @@
 validation key with one of:
 
 * ``"item"``: item-based CF, LSH neighbourhood (Jaccard >= min_sim), co-rating weights;
-* ``"user"``: user-based CF, the same machinery on swapped roles (Jaccard >= USER_MIN_SIM);
+* ``"user"``: user-based CF on swapped roles, all user pairs with Jaccard >= USER_MIN_SIM;
 * ``"mean"``: item mean, else user mean (what the reference's user case outputs);
 * ``"als"``:  ALS matrix factorisation.
 
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from corate.functions.hashing import DEFAULT_BANDS, DEFAULT_ROWS
 from corate.operators.basic import exclude_pairs, one_rating, swap_roles
 from corate.operators.evaluate import rmse
+from corate.operators.exact import exact_similar_pairs
 from corate.operators.factor import als_fit, als_predict
 from corate.operators.index import union_index
 from corate.operators.neighbours import neighbour_table
@@ -32,9 +33,9 @@ from corate.session import materialize
 
 METHODS = ("item", "user", "mean", "als")
 
-# User-based CF: least Jaccard of two users' item sets, and the LSH shape that proposes them.
-# Four rows to a band propose few of the many pairs far below the threshold.
+# User-based CF: least Jaccard of two users' item sets.  All such pairs are found, by the exact join.
 USER_MIN_SIM = 0.25
+# The LSH shape of the registered user queries, fixed by their SQL: it finds about half of those pairs.
 USER_BANDS = 30
 USER_ROWS = 4
 
@@ -71,12 +72,22 @@ def item_based(
 
 
 def similar_users(
-    train: DataFrame, test: DataFrame, min_sim: float = USER_MIN_SIM, bands: int = USER_BANDS, rows: int = USER_ROWS, family=None
+    train: DataFrame,
+    test: DataFrame,
+    min_sim: float = USER_MIN_SIM,
+    bands: int | None = None,
+    rows: int = DEFAULT_ROWS,
+    family=None,
 ) -> DataFrame:
-    """Pairs of users by LSH over their items.  ``min_sim`` must be positive: at 0 nearly all pairs would do."""
+    """All pairs of users whose item sets have Jaccard >= ``min_sim``; with ``bands``, those that LSH finds.
+
+    ``min_sim`` must be positive: at 0 nearly all pairs would do.
+    """
     if not 0 < min_sim <= 1:
         raise ValueError("user-based neighbourhoods need a min_sim in (0, 1]")
     swapped = swap_roles(train)
+    if bands is None:
+        return exact_similar_pairs(swapped, min_sim)
     universe = union_index(swapped, swap_roles(test), "user_id")
     return similar_pairs(swapped, min_sim, False, family, bands, rows, universe)
 

@@ -181,6 +181,9 @@ from corate.plans import recommend as rec  # noqa: E402
 from corate.session import delete_at_exit, scratch_path  # noqa: E402
 from corate.sources import io  # noqa: E402
 
+# The shape in the SQL of the user queries; without it all pairs are found (README, "User-based").
+USER_LSH = {"bands": rec.USER_BANDS, "rows": rec.USER_ROWS}
+
 
 def _prediction(df: DataFrame) -> DataFrame:
     return df.select("user_id", "item_id", _r6("prediction"))
@@ -239,7 +242,7 @@ def q_predict_item_based(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_predict_user_based(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    return _prediction(rec.user_based(train, valid, unique=True))
+    return _prediction(rec.user_based(train, valid, unique=True, **USER_LSH))
 
 
 def q_predict_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,7 +257,7 @@ def q_knn_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_knn_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    pairs = rec.similar_users(train, valid)
+    pairs = rec.similar_users(train, valid, **USER_LSH)
     return knn_users(train, valid, pairs, unique=True).select("user_id", "item_id", "neighbour_id", _r6("similarity"), "rank")
 
 
@@ -269,7 +272,7 @@ def q_rmse_item_based(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_rmse_user_based(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    return _rmse(rmse(rec.user_based(train, valid, unique=True), valid))
+    return _rmse(rmse(rec.user_based(train, valid, unique=True, **USER_LSH), valid))
 
 
 def q_rmse_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
