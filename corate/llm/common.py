@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corate.operators.index import number_rows
 from corate.session import materialize
 
 # White space of the contracts, as a regular expression of both engines.
@@ -76,6 +77,27 @@ def without_ids(docs: DataFrame, id_col: str, gone: DataFrame, broadcast_rows: i
     return docs.join(gone, docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
 
 
+def keyed_rows(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """``docs`` and the column that tells its rows apart: ``id_col``, or ``_row_key`` if ids repeat or are null.
+
+    Row keys follow the ids, null ones last, then a hash of the row.  Only a table that needs
+    them is written with them; of the others the ids alone are shuffled.
+    """
+    found = docs.groupBy(F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_rows"))
+    if found.where("_id IS NULL OR _rows > 1").isEmpty():
+        return docs, id_col
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    rows = docs.select(
+        "*",
+        F.col(id_col).isNull().alias("_no_id"),
+        F.xxhash64(*hashed).alias("_hash"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    rows = materialize(rows, "rows")
+    keyed = number_rows(rows, ["_no_id", id_col, "_hash", "_at"], "_row_key").frame
+    return keyed.drop("_no_id", "_hash", "_at"), "_row_key"
+
+
 # --- texts of an Arrow batch as flat byte arrays ---------------------------
 
 _RNG = np.random.default_rng(20240229)

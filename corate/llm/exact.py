@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corate.llm.common import SPACE, text_of, without_ids
+from corate.llm.common import SPACE, keyed_rows, text_of, without_ids
 from corate.session import materialize
 
 
@@ -97,7 +97,7 @@ def exact_groups(
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; the rows of one id stay if any of them is kept."""
-    rows = exact_groups(docs, id_col, text_col, **options)
-    gone = rows.groupBy(id_col).agg(F.max("kept").alias("stays")).where("NOT stays").select(id_col)
-    return without_ids(docs, id_col, gone)
+    """One row of each text, with all its columns: the keeper's, and of its rows with that text the first by a row key."""
+    keyed, key = keyed_rows(docs, id_col)
+    rows = exact_groups(keyed, key, text_col, **options)
+    return without_ids(keyed, key, rows.where("NOT kept").select(key)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corate.llm.common import table
+from corate.llm.common import keyed_rows, table
 from corate.llm.decontaminate import decontaminate
 from corate.llm.exact import exact_dedup
 from corate.llm.mixing import mixed_documents
@@ -29,8 +29,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return near_dedup(docs)
+    """One row of each group of near copies, also of rows that repeat an id or have none."""
+    rows, key = keyed_rows(docs, "doc_id")
+    return near_dedup(rows, key).select(*docs.columns)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,3 +50,30 @@ def test_stages_take_odd_rows(spark):
         assert stage(spark, docs, SF).columns[:5] == docs.columns
         stage(spark, docs, SF).collect()
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_dedup_stages_drop_rows_not_ids(spark):
+    """Repeated rows, null ids, and ids with one text that stays and one that goes."""
+    near = [f"n{k}" for k in range(100)]
+    texts = {
+        "a": "one text of a few words",
+        "b": "another text of a few other words",
+        "c": "a  text\nwithout any id",
+        "n": " ".join(near),
+        "m": " ".join([*near[:-1], "edited"]),
+    }
+    ids = [(1, "a"), (1, "a"), (2, "a"), (2, "b"), (2, "b"), (3, "b"), (None, "c"), (None, "c"), (None, "c"), (None, "a"),
+           (5, "n"), (5, "n"), (None, "n"), (None, "m"), (5, "m"), (6, "m")]
+    rows = [(i, texts[t], None, None, k) for k, (i, t) in enumerate(ids)]
+    rows += [(7, "a text without any  id\n", None, None, 100)]  # longer, so it stays instead of the null ids
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    exact = corpus_pipeline.exact(spark, docs, SF)
+    assert exact.columns == docs.columns
+    got = sorted((r.doc_id, r.text) for r in exact.collect())
+    assert got == sorted([(1, texts["a"]), (2, texts["b"]), (7, rows[-1][1]), (5, texts["n"]), (5, texts["m"])])
+    one = corpus_pipeline.near(spark, docs.where("n_chars >= 10 AND n_chars < 100"), SF)
+    assert one.columns == docs.columns and [r.doc_id for r in one.collect()] == [5]
+    same = sorted((str(r.doc_id), r.text) for r in corpus_pipeline.near(spark, exact, SF).collect())
+    assert [i for i, _ in same] == ["1", "2", "5", "7"]
+    nameless = spark.createDataFrame([(None, texts["n"], k) for k in range(50)], "doc_id long, text string, n_chars long")
+    assert corpus_pipeline.exact(spark, nameless, SF).count() == 1
