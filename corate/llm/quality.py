@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corate.llm.common import Words, bounded_sample, distinct_per_doc, mix, text_of, text_slices, with_columns_last
+from corate.session import materialize
 
 _IS = {
     "upper": slice(65, 91),
@@ -193,14 +194,17 @@ def fit_quality(
 ) -> AttentionModel | None:
     """Learn from ``docs`` with a 0/1 label in ``labels``; null if there are none.
 
-    Rows with a null id or label are left out.  Of several labels of one id the
-    highest counts.  The sample keeps the labels' true proportions by weights.
+    Rows with a null id or label are left out, and labels without a document in ``docs``.
+    Of several labels of one id the highest counts.  The sample keeps the labels' true
+    proportions by weights.
     """
     known = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
         .groupBy(F.col(id_col).alias("_id"))
         .agg(F.max(label_col).cast("int").alias("_label"))
     )
+    known = known.join(docs.select(F.col(id_col).alias("_id")), "_id", "left_semi")
+    known = materialize(known, "quality-labels")
     counts = dict(known.groupBy("_label").count().collect())
     chosen = F.broadcast(bounded_sample(known, "_label", per_label, "_id", seed))  # 2 * per_label rows at most
     sample = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text")).join(chosen, "_id").select("_label", "_text")

@@ -109,6 +109,18 @@ def test_quality_edge_cases(spark):
     assert quality.score_quality(table.limit(0), model).count() == 0
 
 
+def test_quality_learns_only_labels_of_its_documents(spark):
+    """Labels of other rows change neither the sample nor the weights of the loss."""
+    table = spark.createDataFrame([(k, f"word{k} " * (5 + k)) for k in range(40)], "doc_id long, text string")
+    own = [(k, k % 2) for k in range(40)]
+    others = [(k, 1) for k in range(1000, 1400)]
+    model, same = (
+        quality.fit_quality(table, spark.createDataFrame(rows, "doc_id long, quality int"), per_label=15)
+        for rows in (own, own + others)
+    )
+    assert all(np.array_equal(model.weights[k], same.weights[k]) for k in model.weights)
+
+
 # --- language --------------------------------------------------------------
 
 
