@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corate.llm.align import align_tokens, read_vocabularies
 from corate.llm.common import table, with_columns_last
 from corate.llm.decontaminate import find_contamination
 from corate.llm.exact import exact_groups
@@ -27,6 +28,8 @@ URL_RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
+# Folder of the public tokenizers' files.
+TOKENIZERS = "/opt/tokenizers"
 QUALITY_THRESHOLD = 0.3
 TOXIC_THRESHOLD = 0.1
 # Seed words of the categories before ``toxic``.
@@ -115,6 +118,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"), read_vocabularies(TOKENIZERS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
@@ -126,4 +133,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
+    "op11_token_alignment": op11_token_alignment,
 }
