@@ -17,6 +17,7 @@ from corate.llm.lines import line_dedup
 from corate.llm.mixing import mix_sources
 from corate.llm.near import near_groups
 from corate.llm.quality import fit_quality, score_quality
+from corate.llm.substrings import substring_dedup
 from corate.llm.toxicity import fit_toxicity, score_toxicity
 from corate.llm.url_rules import filter_urls
 
@@ -122,6 +123,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(table(spark, sf_dir, "documents"), read_vocabularies(TOKENIZERS))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
@@ -134,4 +139,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
     "op11_token_alignment": op11_token_alignment,
+    "op13_substring_dedup": op13_substring_dedup,
 }

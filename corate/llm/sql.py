@@ -161,10 +161,29 @@ SELECT doc_id, size, source_size, target,
 FROM cut
 """
 
+OP13 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 49), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words WHERE len(w) >= 50)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM windows) WHERE first < doc_id),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM later),
+each AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY i) AS s
+  FROM each ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(s, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_line_dedup": OP2,
     "op3_mixing": OP3,
     "op4_exact_dedup": OP4,
     "op8_near_dedup": OP8,
     "op9_url_filter": OP9,
+    "op13_substring_dedup": OP13,
 }
