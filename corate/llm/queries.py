@@ -16,6 +16,7 @@ from corate.llm.langid import fit_language, predict_language
 from corate.llm.lines import line_dedup
 from corate.llm.mixing import mix_sources
 from corate.llm.near import near_groups
+from corate.llm.prefix_trie import prefix_trie
 from corate.llm.quality import fit_quality, score_quality
 from corate.llm.substrings import substring_dedup
 from corate.llm.toxicity import fit_toxicity, score_toxicity
@@ -123,6 +124,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(table(spark, sf_dir, "documents"), read_vocabularies(TOKENIZERS))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
@@ -139,5 +144,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
     "op11_token_alignment": op11_token_alignment,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_substring_dedup": op13_substring_dedup,
 }

@@ -161,6 +161,40 @@ SELECT doc_id, size, source_size, target,
 FROM cut
 """
 
+OP12 = r"""
+WITH turns AS (
+  SELECT conv_id, sha256(strlen(role) || ':' || role || text) AS id,
+         CAST(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS BIGINT) AS words,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS i
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL)),
+heads AS (  -- CRC-32 bit by bit: a byte, then eight shifts (-1)
+  SELECT conv_id, xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+             lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END)) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT h.conv_id, t.i, t.id, t.words FROM heads h JOIN turns t ON t.conv_id = h.conv_id - h.conv_id % 20 AND t.i <= h.h
+  UNION ALL
+  SELECT conv_id, 1000000 + i, id, words FROM heads JOIN turns USING (conv_id) WHERE i > h),
+paths AS (
+  SELECT conv_id, words, count(*) OVER c AS depth, string_agg(id, '') OVER c AS path
+  FROM rebuilt WINDOW c AS (PARTITION BY conv_id ORDER BY i)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM heads),
+lengths AS (SELECT conv_id, max(depth) AS n FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT path, depth, any_value(words) AS words, min(conv_id) AS conv_id, count(*) AS n_convs, max(n) = depth AS leaf,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+  FROM paths JOIN lengths USING (conv_id) GROUP BY path, depth),
+under AS (
+  SELECT v.path, count(*) FILTER (u.depth = v.depth + 1) AS n_children, count(*) FILTER (u.leaf) AS n_leaves,
+         CAST(sum((u.n_convs - 1) * u.words) AS BIGINT) AS saved_tokens
+  FROM nodes v JOIN nodes u ON starts_with(u.path, v.path) GROUP BY v.path)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM nodes v JOIN under USING (path) LEFT JOIN nodes p ON v.depth > 0 AND p.path = left(v.path, -64)
+"""
+
 OP13 = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -185,5 +219,6 @@ ORACLE: dict[str, str] = {
     "op4_exact_dedup": OP4,
     "op8_near_dedup": OP8,
     "op9_url_filter": OP9,
+    "op12_prefix_trie": OP12,
     "op13_substring_dedup": OP13,
 }
