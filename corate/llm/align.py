@@ -11,20 +11,26 @@ byte range.
    rounds logarithmic in the longest chain.  Tokens with the same terminal are a group.
 3. A terminal and the B token that ends with it are a link.
 
+No token of either vocabulary reaches from a non-space over a space (checked when they are read), so a
+text falls into units, a word with the space before it, that are encoded and aligned for
+themselves: once for all times that a block of texts holds them.
+
 Links are counted corpus-wide.  A task cuts its texts into blocks and keeps a dictionary of each
 block's id pairs; documents hold codes of it.  Only the dictionaries are shuffled, by pair, for
 the counts, and the counts back to the blocks.  So a pair that a third of all texts hold costs one
 row a block, and no table of all pairs has to fit anywhere.
 
-A task holds one block of about ``block_bytes`` of text (whole texts, at least one) with its tokens,
-some 30 times its bytes.
+A task holds one block of about ``block_bytes`` of text (whole texts, at least one): its distinct
+units with their tokens and a number for each unit of a text.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, islice
 from pathlib import Path
 
 import numpy as np
@@ -37,6 +43,9 @@ from pyspark.sql import types as T
 from corate.llm.common import text_slices
 from corate.session import materialize
 
+# Before a space between two other characters no token goes on.
+UNITS = re.compile(r"(?<=\S) (?=\S)")
+SLICE = 1 << 18  # bytes that are aligned at once
 RESULT = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
@@ -77,6 +86,10 @@ class Vocabularies:
         pieces = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
         b = [bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a, self.b = Side(a, ",", "|"), Side(b, ",", ";")
+        self.by_units = not any(re.search(r"\S ", t.decode("utf-8", "replace")) for t in (*a, *b))
+
+    def units(self, text: str) -> list[str]:
+        return UNITS.split(text) if self.by_units else [text]
 
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """The ids of each text on both sides, with the space before it that B adds."""
@@ -107,83 +120,127 @@ def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nd
         target = doubled
 
 
-def align(vocabularies: Vocabularies, raw: list[bytes]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Of several texts: counts (rows of n_a, n_b, n_groups), digests, and the links as (text, A id, B id)."""
-    texts = [t.decode("utf-8", "replace") for t in raw]
+def _gives(side: Side, ids: list[list[int]], wanted: list[bytes]) -> bool:
+    """Do the tokens of each text give back its bytes?"""
+    flat = np.array(list(chain.from_iterable(ids)), np.int64)
+    ends = np.append(0, np.cumsum(side.length[flat]))[np.cumsum([len(i) for i in ids])]
+    return ends.tolist() == np.cumsum([len(w) for w in wanted]).tolist() and side.joined(flat.tolist()) == b"".join(wanted)
+
+
+def align(vocabularies: Vocabularies, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """Of several texts: counts (rows of n_a, n_b, n_groups), written groups, and the links as text and pair of ids.
+
+    A text whose bytes the tokens do not give back has no tokens.
+    """
     a, b = vocabularies.a, vocabularies.b
-    ids = []
-    for text, (x, y) in zip(raw, vocabularies.encode(texts), strict=True):
-        want = b" " + text
-        whole = len(text) > 0 and a.joined(x) == want and b.joined(y) == want
-        ids.append((x, y) if whole else ([], []))
+    ids = list(vocabularies.encode(texts))
+    wanted = [b" " + t.encode() for t in texts]
+    if not all(_gives(side, [i[k] for i in ids], wanted) for k, side in enumerate((a, b))):
+        ids = [i if _gives(a, [i[0]], [w]) and _gives(b, [i[1]], [w]) else ([], []) for i, w in zip(ids, wanted, strict=True)]
     n_a, n_b = (np.array([len(i[k]) for i in ids], np.int64) for k in (0, 1))
-    flat_a, flat_b = (np.fromiter((t for i in ids for t in i[k]), np.int64, n) for k, n in ((0, n_a.sum()), (1, n_b.sum())))
+    flat_a, flat_b = (np.array(list(chain.from_iterable(i[k] for i in ids)), np.int64) for k in (0, 1))
     ends_a, ends_b = np.cumsum(a.length[flat_a]), np.cumsum(b.length[flat_b])
     to_a, to_b = terminals(ends_a, ends_b)
     closes = to_a == np.arange(len(to_a))
     group = np.cumsum(closes) - closes  # of each A token; a terminal is the last one of its group
-    doc = np.repeat(np.arange(len(raw)), n_a)
     linked_a = np.flatnonzero(closes)
     linked_b = np.searchsorted(ends_b, ends_a[linked_a])
     # Written in order of groups, A before B: a token comes after the other side's tokens of earlier groups.
     upto_a, upto_b = np.append(0, linked_a + 1), np.append(0, linked_b + 1)
-    group_b = group[to_b] if len(to_b) else to_b
-    place = np.empty(len(flat_a) + len(flat_b), np.int64)
-    written = np.empty(len(place), object)
-    place_a = np.arange(len(flat_a)) + upto_b[group]
-    place_b = np.arange(len(flat_b)) + upto_a[group_b + 1]
     closes_b = np.zeros(len(flat_b), bool)
     closes_b[linked_b] = True
-    written[place_a] = a.written[flat_a + closes * len(a.bytes)]
-    written[place_b] = b.written[flat_b + closes_b * len(b.bytes)]
-    until = np.cumsum(n_a + n_b).tolist()
-    digests, at = [], 0
-    for end in until:
-        text = "".join(written[at:end].tolist())[:-1]  # without the last mark
-        digests.append(hashlib.sha256(text.encode()).hexdigest() if end > at else "")
+    written = np.empty(len(flat_a) + len(flat_b), object)
+    written[np.arange(len(flat_a)) + upto_b[group]] = a.written[flat_a + closes * len(a.bytes)]
+    written[np.arange(len(flat_b)) + upto_a[group[to_b] + 1]] = b.written[flat_b + closes_b * len(b.bytes)]
+    doc = np.repeat(np.arange(len(texts)), n_a)[linked_a]
+    groups, at = [], 0
+    for end in np.cumsum(n_a + n_b).tolist():
+        groups.append("".join(written[at:end].tolist())[:-1])  # without the last mark
         at = end
-    n_groups = np.bincount(doc[linked_a], minlength=len(raw))
-    counts = np.stack([n_a, n_b, n_groups], 1)
-    return counts, digests, doc[linked_a], flat_a[linked_a], flat_b[linked_b]
+    counts = np.stack([n_a, n_b, np.bincount(doc, minlength=len(texts))], 1)
+    return counts, groups, doc, flat_a[linked_a] * len(b.bytes) + flat_b[linked_b]
 
 
 class Block:
-    """Documents of a task until they are a block: their rows, and their links in three arrays."""
-
-    def __init__(self, width: int):
-        self.width = width  # B ids
-        self.ids, self.counts, self.digests, self.links, self.bytes = [], [], [], [], 0
-
-    def add(self, ids: pa.Array, aligned: tuple, size: int) -> None:
-        counts, digests, doc, a, b = aligned
-        self.links.append((doc + len(self.digests), a * self.width + b))
+    """Documents of a task until they are a block: the numbers of their units, and what is known of each unit."""
+
+    def __init__(self, vocabularies: Vocabularies):
+        self.vocabularies = vocabularies
+        self.number: dict[str, int] = {}  # of each distinct unit
+        self.counts, self.groups, self.links, self.edges = [], [], [], [np.zeros(1, np.int64)]
+        self.bad: set[int] = set()  # units without tokens
+        self.ids, self.docs, self.bytes, self.known = [], [], 0, 0
+
+    def add(self, ids: pa.Array, raw: list[bytes], size: int) -> None:
+        texts = [t.decode("utf-8", "replace") for t in raw]
+        docs = [self._numbers(self.vocabularies.units(t)) if t else [] for t in texts]
+        self._align_new()
+        for k, d in enumerate(docs):
+            if self.bad and not self.bad.isdisjoint(d):  # what counts is the whole text
+                docs[k] = self._numbers([texts[k]])
+            if texts[k].encode() != raw[k]:  # not UTF-8
+                docs[k] = []
+        self._align_new()
         self.ids.append(ids)
-        self.counts.append(counts)
-        self.digests += digests
+        self.docs += [np.array(d, np.int64) for d in docs]
         self.bytes += size
 
+    def _numbers(self, units: list[str]) -> list[int]:
+        put, known = self.number.setdefault, self.number
+        return [put(u, len(known)) for u in units]
+
+    def _align_new(self) -> None:
+        new = list(islice(self.number, self.known, None))
+        self.known = len(self.number)
+        at = 0
+        while at < len(new):
+            end, size = at, 0
+            while end < len(new) and size < SLICE:
+                size, end = size + len(new[end]), end + 1
+            counts, groups, unit, pair = align(self.vocabularies, new[at:end])
+            self.counts.append(counts)
+            self.bad.update(at + k for k, g in enumerate(groups) if not g)
+            self.groups += groups
+            self.links.append(pair)
+            self.edges.append(self.edges[-1][-1] + np.cumsum(np.bincount(unit, minlength=end - at)))
+            at = end
+
     def batch(self, number: int, schema: pa.Schema) -> pa.RecordBatch:
         """Its rows; the first carries the block's dictionary of pairs with their counts."""
-        n = len(self.digests)
-        doc, pair = (np.concatenate([x[k] for x in self.links]) for k in (0, 1))
-        pairs, count = np.unique(pair, return_counts=True)
+        n = len(self.docs)
+        unit = np.concatenate(self.docs)
+        upto = np.append(0, np.cumsum([len(d) for d in self.docs]))
+        counts = np.concatenate([*self.counts, np.zeros((1, 3), np.int64)])[unit]
+        counts = np.append(np.zeros((1, 3), np.int64), np.cumsum(counts, 0), 0)
+        counts = counts[upto[1:]] - counts[upto[:-1]]
+        digests = []
+        for d in self.docs:
+            groups = ";".join([self.groups[u] for u in d.tolist()])
+            digests.append(hashlib.sha256(groups.encode()).hexdigest() if groups else "")
         # The distinct pairs of each document, as codes of the dictionary.
-        own, times = np.unique(doc * max(1, len(pairs)) + np.searchsorted(pairs, pair), return_counts=True)
+        edges = np.concatenate(self.edges)
+        links = np.concatenate([*self.links, np.empty(0, np.int64)])
+        pairs, code = np.unique(links, return_inverse=True)
+        many = edges[unit + 1] - edges[unit] if len(unit) else unit
+        at = np.arange(many.sum()) + np.repeat((edges[unit] if len(unit) else unit) - (np.cumsum(many) - many), many)
+        doc = np.repeat(np.repeat(np.arange(n), np.diff(upto)), many)
+        own, times = np.unique(doc * max(1, len(pairs)) + code[at], return_counts=True)
         first = np.searchsorted(own, np.arange(n + 1) * max(1, len(pairs)))
         code = own % max(1, len(pairs))
+        total = np.zeros(len(pairs), np.int64)
+        np.add.at(total, code, times)
         lists = lambda values, kind: pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values, kind))
         once = np.minimum(np.arange(n + 1), 1) * len(pairs)
         dictionary = lambda values: pa.ListArray.from_arrays(pa.array(once, pa.int32()), pa.array(values, pa.int64()))
-        counts = np.concatenate(self.counts)
         columns = [
             pa.array(np.full(n, number), pa.int64()),
             pa.concat_arrays(self.ids),
             *[pa.array(counts[:, k], pa.int64()) for k in range(3)],
-            pa.array(self.digests, pa.string()),
+            pa.array(digests, pa.string()),
             lists(code, pa.int32()),
             lists(times, pa.int64()),
             dictionary(pairs),
-            dictionary(count),
+            dictionary(total),
         ]
         return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
@@ -207,7 +264,7 @@ def _encoded(docs: DataFrame, files: tuple[bytes, bytes], block_bytes: int) -> D
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabularies = _vocabularies(*shared.value)
         number = TaskContext.get().partitionId() << 32
-        arrow, block = None, Block(len(vocabularies.b.bytes))
+        arrow, block = None, Block(vocabularies)
         for batch in batches:
             ids = batch.column(0)
             arrow = arrow or pa.schema(
@@ -217,11 +274,11 @@ def _encoded(docs: DataFrame, files: tuple[bytes, bytes], block_bytes: int) -> D
             )
             for at, data, offsets in text_slices(batch.column(1)):
                 raw = [data[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-                block.add(ids.slice(at, len(raw)), align(vocabularies, raw), len(data))
+                block.add(ids.slice(at, len(raw)), raw, len(data))
                 if block.bytes >= block_bytes:
                     yield block.batch(number, arrow)
-                    number, block = number + 1, Block(block.width)
-        if block.digests:
+                    number, block = number + 1, Block(vocabularies)
+        if block.docs:
             yield block.batch(number, arrow)
 
     return docs.mapInArrow(encode, schema)
