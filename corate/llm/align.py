@@ -120,25 +120,43 @@ def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nd
         target = doubled
 
 
-def _gives(side: Side, ids: list[list[int]], wanted: list[bytes]) -> bool:
+def _gives(side: Side, flat: np.ndarray, count: np.ndarray, wanted: list[bytes]) -> bool:
     """Do the tokens of each text give back its bytes?"""
-    flat = np.array(list(chain.from_iterable(ids)), np.int64)
-    ends = np.append(0, np.cumsum(side.length[flat]))[np.cumsum([len(i) for i in ids])]
+    ends = np.append(0, np.cumsum(side.length[flat]))[np.cumsum(count)]
     return ends.tolist() == np.cumsum([len(w) for w in wanted]).tolist() and side.joined(flat.tolist()) == b"".join(wanted)
 
 
-def align(vocabularies: Vocabularies, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+def _apart(vocabularies: Vocabularies, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For both sides the tokens of texts encoded one by one, and each text's number of them: none if they do not give back its bytes."""
+    ids = list(vocabularies.encode(texts))
+    for k, text in enumerate(texts):
+        wanted = [b" " + text.encode()]
+        if not all(_gives(s, np.array(i, np.int64), [len(i)], wanted) for s, i in zip((vocabularies.a, vocabularies.b), ids[k], strict=True)):
+            ids[k] = ([], [])
+    return [(np.array(list(chain.from_iterable(i[k] for i in ids)), np.int64), np.array([len(i[k]) for i in ids], np.int64)) for k in (0, 1)]
+
+
+def _together(vocabularies: Vocabularies, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The same of units without a space at either end, encoded as one text."""
+    wanted = [b" " + t.encode() for t in texts]
+    until = np.cumsum([len(w) for w in wanted])
+    found = []
+    for side, ids in zip((vocabularies.a, vocabularies.b), next(vocabularies.encode([" ".join(texts)])), strict=True):
+        flat = np.array(ids, np.int64)
+        last = np.searchsorted(np.cumsum(side.length[flat]), until)
+        found.append((flat, np.diff(last + 1, prepend=0)))
+        if last[-1] >= len(flat) or not _gives(side, *found[-1], wanted):
+            return _apart(vocabularies, texts)
+    return found
+
+
+def align(vocabularies: Vocabularies, texts: list[str], encode=_apart) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
     """Of several texts: counts (rows of n_a, n_b, n_groups), written groups, and the links as text and pair of ids.
 
     A text whose bytes the tokens do not give back has no tokens.
     """
     a, b = vocabularies.a, vocabularies.b
-    ids = list(vocabularies.encode(texts))
-    wanted = [b" " + t.encode() for t in texts]
-    if not all(_gives(side, [i[k] for i in ids], wanted) for k, side in enumerate((a, b))):
-        ids = [i if _gives(a, [i[0]], [w]) and _gives(b, [i[1]], [w]) else ([], []) for i, w in zip(ids, wanted, strict=True)]
-    n_a, n_b = (np.array([len(i[k]) for i in ids], np.int64) for k in (0, 1))
-    flat_a, flat_b = (np.array(list(chain.from_iterable(i[k] for i in ids)), np.int64) for k in (0, 1))
+    (flat_a, n_a), (flat_b, n_b) = encode(vocabularies, texts)
     ends_a, ends_b = np.cumsum(a.length[flat_a]), np.cumsum(b.length[flat_b])
     to_a, to_b = terminals(ends_a, ends_b)
     closes = to_a == np.arange(len(to_a))
@@ -197,14 +215,28 @@ class Block:
             end, size = at, 0
             while end < len(new) and size < SLICE:
                 size, end = size + len(new[end]), end + 1
-            counts, groups, unit, pair = align(self.vocabularies, new[at:end])
-            self.counts.append(counts)
-            self.bad.update(at + k for k, g in enumerate(groups) if not g)
-            self.groups += groups
-            self.links.append(pair)
-            self.edges.append(self.edges[-1][-1] + np.cumsum(np.bincount(unit, minlength=end - at)))
+            self._align_units(new[at:end])
             at = end
 
+    def _align_units(self, units: list[str]) -> None:
+        outer = [u[0].isspace() or u[-1].isspace() for u in units] if self.vocabularies.by_units else [True] * len(units)
+        counts, groups = np.zeros((len(units), 3), np.int64), [""] * len(units)
+        unit, pair = np.empty(0, np.int64), np.empty(0, np.int64)
+        for encode, apart in ((_together, False), (_apart, True)):
+            which = [k for k, o in enumerate(outer) if o == apart]
+            if which:
+                c, written, u, p = align(self.vocabularies, [units[k] for k in which], encode)
+                counts[which] = c
+                for k, g in zip(which, written, strict=True):
+                    groups[k] = g
+                unit, pair = np.append(unit, np.array(which)[u]), np.append(pair, p)
+        first = len(self.groups)
+        self.bad.update(first + k for k, g in enumerate(groups) if not g)
+        self.counts.append(counts)
+        self.groups += groups
+        self.links.append(pair[np.argsort(unit, kind="stable")])
+        self.edges.append(self.edges[-1][-1] + np.cumsum(np.bincount(unit, minlength=len(units))))
+
     def batch(self, number: int, schema: pa.Schema) -> pa.RecordBatch:
         """Its rows; the first carries the block's dictionary of pairs with their counts."""
         n = len(self.docs)
@@ -229,6 +261,8 @@ class Block:
         code = own % max(1, len(pairs))
         total = np.zeros(len(pairs), np.int64)
         np.add.at(total, code, times)
+        used = total > 0  # not those of units whose texts have no tokens
+        code, pairs, total = (np.cumsum(used) - 1)[code], pairs[used], total[used]
         lists = lambda values, kind: pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values, kind))
         once = np.minimum(np.arange(n + 1), 1) * len(pairs)
         dictionary = lambda values: pa.ListArray.from_arrays(pa.array(once, pa.int32()), pa.array(values, pa.int64()))

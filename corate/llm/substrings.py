@@ -15,8 +15,9 @@ earlier document; what goes is judged on the input.
    more is a duplicate span: its home is an earlier document.
 4. Factor boundaries.  A window that reaches over the end of its anchor's factor is not in that home, but may be
    in another earlier document, where it is no match with the home either.  Such
-   windows, and those of anchors that a home repeats, are looked up by their 128-bit hash:
-   all but those of the first document with it are duplicate spans.
+   windows, and those of anchors that a home repeats, are open.  First the surroundings of their anchors, as far as
+   a window with the anchor reaches, are looked up by a 128-bit hash: a later document with the same ones has all the
+   windows.  The open windows of the others are looked up one by one in the same way.
 5. Spans of a document are merged, and their words go.
 
 Whole copies are set aside before: of documents with the same words the first is parsed, and the later
@@ -45,20 +46,21 @@ BYTES = np.arange(256, dtype=np.uint8)
 # Odd bases of the two run hashes.
 BASE, OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 PARSED = "struct<n: bigint, digest: binary, sha: string, pos: array<int>, key: array<bigint>>"
-SPANS = "array<struct<begin: int, end: int>>"
-ROWS = 256  # segments that are parsed at once
+FACTORS = "array<struct<begin: bigint, end: bigint>>"
+OPEN = "array<struct<c1: bigint, c2: bigint, windows: array<struct<at: bigint, h1: bigint, h2: bigint>>>>"
+ROWS = 1024  # segments that are parsed at once
 
 
-def run_hashes(key: np.ndarray, size: int, base: np.uint64) -> np.ndarray:
-    """A hash of every run of ``size`` word hashes: differences of a running sum, scaled to one power of ``base``."""
-    n = len(key) - size + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    inverse = np.uint64(pow(int(base), -1, 1 << 64))
-    power = np.multiply.accumulate(np.full(len(key), inverse))
-    upto = np.append(np.uint64(0), np.cumsum(key * power))
-    back = np.multiply.accumulate(np.full(n, base))
-    return mix((upto[size:] - upto[:n]) * back)
+class RunHashes:
+    """Hashes of runs of words: differences of a running sum, scaled to one power of ``base``."""
+
+    def __init__(self, key: np.ndarray, base: np.uint64):
+        inverse = np.uint64(pow(int(base), -1, 1 << 64))
+        self.upto = np.append(np.uint64(0), np.cumsum(key * np.multiply.accumulate(np.full(len(key), inverse))))
+        self.power = np.multiply.accumulate(np.full(len(key) + 1, base))
+
+    def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.upto[end] - self.upto[begin]) * self.power[begin])
 
 
 def own_anchors(gram: np.ndarray, width: int) -> np.ndarray:
@@ -80,7 +82,9 @@ class Text:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, window: int, gram: int):
         words = Words(data, offsets)
         self.key, self.first = words.hashes(BYTES), words.first
-        self.gram = run_hashes(self.key, gram, BASE)
+        self.hashes = RunHashes(self.key, BASE)
+        at = np.arange(max(0, len(self.key) - gram + 1))
+        self.gram = self.hashes(at, at + gram)
         n = np.maximum(np.diff(self.first) - window + 1, 0)
         self.doc = np.repeat(np.arange(len(n)), n)
         self.window = self.first[self.doc] + np.arange(len(self.doc)) - np.repeat(np.cumsum(n) - n, n)
@@ -138,18 +142,6 @@ def kept_words(text: Column, spans: Column) -> Column:
     return keep(text, spans)
 
 
-def factors(own: np.ndarray, home: np.ndarray, shift: int, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of the longest match around each anchor.
-
-    ``own`` and ``home`` are word hashes; word k of ``own`` lies on word k + ``shift`` of ``home``.
-    """
-    begin, end = max(0, -shift), min(len(own), len(home) - shift)
-    differs = begin + np.flatnonzero(own[begin:end] != home[begin + shift : end + shift])
-    after = np.searchsorted(differs, anchors)
-    stops = np.concatenate([[begin - 1], differs, [end]])
-    return stops[after] + 1, stops[after + 1]
-
-
 class RelativeParse:
     """The steps above over one table with columns node (the documents' order, unique) and text."""
 
@@ -236,35 +228,38 @@ class RelativeParse:
         return wanted.mapInArrow(_each_row(cut, schema), schema)
 
     def parsed(self, segments: DataFrame, blocks: DataFrame) -> DataFrame:
-        """node, spans (factors of a window or more) and at, h1, h2 of the windows that factors leave open."""
+        """node, factors (of a window or more) and open: anchors with open windows, the hash of their surroundings, and the windows."""
         columns = ["node", "start", "words", "pos", "shift", "home_start", "home_words"]
         met = segments.where("number IS NOT NULL").join(blocks, ["home", "number"]).select(*columns)
-        alone = segments.where("number IS NULL").withColumns(
-            {"home_start": F.lit(0), "home_words": F.lit(None).cast("string")}
-        )
+        alone = segments.where("number IS NULL").withColumns({"home_start": F.lit(0), "home_words": F.lit("")})
         window, gram = self.window, self.gram
-        kind = segments.schema["node"].dataType
-        lists = [T.StructField(c, T.ArrayType(T.LongType())) for c in ("begin", "end", "at", "h1", "h2")]
+        schema = f"node {segments.schema['node'].dataType.simpleString()}, factors {FACTORS}, open {OPEN}"
 
         def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for top in range(0, len(whole), ROWS):
                     batch = whole.slice(top, ROWS)
-                    rows = _parse_segments(batch, window, gram)
-                    arrays = [pa.array([r[k] for r in rows], pa.list_(pa.int64())) for k in range(5)]
-                    yield pa.RecordBatch.from_arrays([batch.column("node"), *arrays], names=["node", "begin", "end", "at", "h1", "h2"])
+                    yield pa.RecordBatch.from_arrays([batch.column("node"), *parse_segments(batch, window, gram)], names=["node", "factors", "open"])
 
         both = met.unionByName(alone.select(*columns))
-        return materialize(both.mapInArrow(parse, T.StructType([T.StructField("node", kind), *lists])), "factors")
+        return materialize(both.mapInArrow(parse, schema), "factors")
 
     def spans(self, parsed: DataFrame) -> DataFrame:
         """node, begin, end of the words that go."""
-        exact = parsed.select("node", F.explode(F.arrays_zip("begin", "end")).alias("s")).select("node", "s.begin", "s.end")
-        open_ = parsed.select("node", F.explode(F.arrays_zip("at", "h1", "h2")).alias("w")).select("node", "w.*")
-        first = open_.groupBy("h1", "h2").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
+        factors = parsed.select("node", F.explode("factors").alias("f")).select("node", "f.*")
+        open_ = parsed.select("node", F.explode("open").alias("o")).select("node", "o.*")
+        seen = open_.groupBy("c1", "c2").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
+        seen = materialize(seen.select("c1", "c2", "first"), "surroundings")
+        open_ = materialize(open_.join(seen, ["c1", "c2"], "left").select("node", "first", "windows"), "open-anchors")
+        reach = [F.array_min("windows.at").alias("begin"), (F.array_max("windows.at") + self.window).alias("end")]
+        same = open_.where("node > first").select("node", *reach)
+
+        rest = open_.where("first IS NULL OR node = first").select("node", F.explode("windows").alias("w")).select("node", "w.*")
+        first = rest.groupBy("h1", "h2").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
         first = materialize(first.select("h1", "h2", "first"), "open-windows")
-        hits = open_.join(first, ["h1", "h2"]).where("node > first")
-        return exact.unionByName(hits.select("node", F.col("at").alias("begin"), (F.col("at") + self.window).alias("end")))
+        hits = rest.join(first, ["h1", "h2"]).where("node > first")
+        hits = hits.select("node", F.col("at").alias("begin"), (F.col("at") + self.window).alias("end"))
+        return factors.unionByName(same).unionByName(hits)
 
 
 def _text(words: list[bytes]) -> str:
@@ -283,7 +278,7 @@ def _each_row(cut, schema: T.StructType):
             for node, text, more in zip(batch.column(0).to_pylist(), texts, batch.column(2), strict=True):
                 for row in cut(node, text.as_py(), more.as_py()):
                     out.append(row)
-                    if len(out) == 4 * ROWS:
+                    if len(out) == ROWS:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
                         out = []
             if out:
@@ -292,36 +287,63 @@ def _each_row(cut, schema: T.StructType):
     return run
 
 
-def _flat(column: pa.Array, window: int, gram: int) -> Text:
-    _, data, offsets = next(text_slices(column, 1 << 62))
-    return Text(data, offsets, window, gram)
-
-
-def _parse_segments(batch: pa.RecordBatch, window: int, gram: int) -> list[tuple]:
-    """begin and end of factors, and at, h1, h2 of open windows, of each row."""
-    mine, home = (_flat(batch.column(c), window, gram) for c in ("words", "home_words"))
-    keys = [run_hashes(mine.key, window, b).view(np.int64) for b in (BASE, OTHER)]
-    edge = np.searchsorted(mine.doc, np.arange(len(batch) + 1))
-    start, shift, home_start = (batch.column(c).to_numpy() for c in ("start", "shift", "home_start"))
-    with_home = batch.column("home_words").is_valid().to_numpy(zero_copy_only=False)
-    rows = []
-    for k, pos in enumerate(batch.column("pos")):
-        own = mine.key[mine.first[k] : mine.first[k + 1]]
-        anchors = pos.values.to_numpy() - start[k]
-        windows = mine.window[edge[k] : edge[k + 1]] - mine.first[k]
-        chosen = mine.own[edge[k] : edge[k + 1]] - mine.first[k]
-        if with_home[k]:
-            other = home.key[home.first[k] : home.first[k + 1]]
-            begin, end = factors(own, other, int(shift[k] + start[k] - home_start[k]), anchors)
-        else:
-            begin = end = anchors  # nothing to match with
-        nth = np.minimum(np.searchsorted(anchors, chosen), len(anchors) - 1)
-        mine_too = anchors[nth] == chosen
-        left = windows[mine_too & ~((windows >= begin[nth]) & (windows + window <= end[nth]))]
-        long = np.unique(begin[end - begin >= window]), np.unique(end[end - begin >= window])
-        at = left + mine.first[k]
-        rows.append((long[0] + start[k], long[1] + start[k], left + start[k], keys[0][at], keys[1][at]))
-    return rows
+def _lists(row: np.ndarray, n: int, values: pa.Array) -> pa.Array:
+    """One list for each of ``n`` rows; ``row`` (ascending) tells where each value belongs."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32()), values)
+
+
+def _structs(**fields: np.ndarray | pa.Array) -> pa.Array:
+    arrays = [pa.array(f.view(np.int64), pa.int64()) if isinstance(f, np.ndarray) else f for f in fields.values()]
+    return pa.StructArray.from_arrays(arrays, names=list(fields))
+
+
+def parse_segments(batch: pa.RecordBatch, window: int, gram: int) -> tuple[pa.Array, pa.Array]:
+    """Factors and open anchors of each row, all rows at once.
+
+    Words of all rows lie on one axis, those that are compared with a home word on another one.
+    """
+    n = len(batch)
+    _, data, offsets = next(text_slices(batch.column("words"), 1 << 62))
+    mine = Text(data, offsets, window, gram)
+    _, data, offsets = next(text_slices(batch.column("home_words"), 1 << 62))
+    words = Words(data, offsets)
+    home, home_first = words.hashes(BYTES), words.first
+    start, shift, home_start = (batch.column(c).to_numpy().astype(np.int64) for c in ("start", "shift", "home_start"))
+    pos = batch.column("pos")
+    row = np.repeat(np.arange(n), pos.value_lengths().to_numpy())
+    origin = mine.first[:-1] - start  # place of a document's word 0 on the axis
+    anchor = pos.flatten().to_numpy() + origin[row]
+
+    # Word k of a segment lies on word k + ahead of its home block, for k from begin to end.
+    ahead = shift + start - home_start
+    begin = np.maximum(0, -ahead)
+    size = np.maximum(begin, np.minimum(np.diff(mine.first), np.diff(home_first) - ahead)) - begin
+    edge = np.append(0, np.cumsum(size))
+    met = np.repeat(np.arange(n), size)
+    k = np.arange(edge[-1]) + (begin - edge[:-1])[met]
+    differs = np.flatnonzero(mine.key[mine.first[met] + k] != home[(home_first[:-1] + ahead)[met] + k])
+    # From each anchor the longest match to both sides.
+    back = (mine.first[:-1] + begin - edge[:-1])[row]
+    after = np.searchsorted(differs, anchor - back)
+    low = np.maximum(np.append(-1, differs)[after] + 1, edge[:-1][row]) + back
+    high = np.minimum(np.append(differs, edge[-1])[after], edge[1:][row]) + back
+    new = np.ones(len(low), bool)
+    new[1:] = low[1:] != low[:-1]
+    long = new & (high - low >= window)
+    factors = _structs(begin=(low - origin[row])[long], end=(high - origin[row])[long])
+
+    nth = np.minimum(np.searchsorted(anchor, mine.own), max(0, len(anchor) - 1))
+    left = (anchor[nth] == mine.own) & ~((mine.window >= low[nth]) & (mine.window + window <= high[nth]))
+    at, by = mine.window[left], nth[left]  # both ascending
+    which = np.unique(by)
+    around = np.maximum(anchor[which] - window + gram, mine.first[row[which]]), np.minimum(anchor[which] + window, mine.first[row[which] + 1])
+    place = (anchor[which] - around[0] + window * (around[1] - around[0])).astype(np.uint64)
+    second = RunHashes(mine.key, OTHER)
+    windows = _structs(at=at - origin[row[by]], h1=mine.hashes(at, at + window), h2=second(at, at + window))
+    opened = _structs(
+        c1=mix(mine.hashes(*around) + place), c2=mix(second(*around) + place), windows=_lists(np.searchsorted(which, by), len(which), windows)
+    )
+    return _lists(row[long], n, factors), _lists(row[which], n, opened)
 
 
 def substring_dedup(
@@ -361,7 +383,7 @@ def substring_dedup(
     asked = task.asked(singles)
     texts = task.texts(rows, asked, broadcast_rows)
     spans = task.spans(task.parsed(task.segments(texts), task.blocks(texts)))
-    spans = spans.groupBy("node").agg(F.collect_list(F.struct(F.col("begin").cast("int").alias("begin"), F.col("end").cast("int").alias("end"))).alias("spans"))
+    spans = spans.groupBy("node").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     changed = texts.select("node", "text").join(spans, "node").select("node", kept_words(F.col("text"), F.col("spans")).alias("k"))
     changed = materialize(changed.select("node", "k.*"), "changed")
 
