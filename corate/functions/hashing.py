@@ -7,7 +7,9 @@ The family is data: every LSH operator takes it as a parameter.
 
 from __future__ import annotations
 
+import math
 import random
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,6 +23,10 @@ DEFAULT_ROWS = 3
 DEFAULT_SEED = 42
 DEFAULT_PRIME = 2**31 - 1
 
+# Most hash functions that ``lsh_shape`` spends, and signature columns of one aggregation (``codegen.maxFields``).
+MAX_HASHES = 800
+CHUNK_HASHES = 120
+
 # a * x + b stays inside BIGINT while x < 2**32 (with a, b < 2**31).
 MAX_INDEX = 2**32
 
@@ -38,6 +44,38 @@ def hash_family(
     return family
 
 
+@dataclass(frozen=True)
+class Shape:
+    """Bands of rows of a signature.  Two items of similarity s share a band with probability 1 - (1 - s**rows)**bands."""
+
+    bands: int
+    rows: int
+
+    @property
+    def hashes(self) -> int:
+        return self.bands * self.rows
+
+    def recall(self, similarity: float) -> float:
+        return 1 - (1 - similarity**self.rows) ** self.bands
+
+
+def lsh_shape(min_sim: float, recall: float = 0.98, max_hashes: int = MAX_HASHES) -> Shape:
+    """The shape with the most rows a band, so the fewest candidates, that finds a pair at ``min_sim`` with probability ``recall``.
+
+    Each row more divides the chance of an unrelated pair and asks for about 1 / min_sim times as many hashes;
+    more than ``max_hashes`` are not spent.  One row a band always does.
+    """
+    if not 0 < min_sim <= 1 or not 0 < recall < 1:
+        raise ValueError("min_sim must be in (0, 1] and recall in (0, 1)")
+    rows, best = 1, None
+    while True:
+        miss = 1 - min_sim**rows
+        bands = 1 if miss <= 0 else math.ceil(math.log(1 - recall) / math.log(miss))
+        if best is not None and (bands * rows > max_hashes or min_sim == 1):
+            return best
+        best, rows = Shape(bands, rows), rows + 1
+
+
 def signature_columns(index_col: str, family, m: int) -> list[Column]:
     """One ``min`` aggregate per hash function, named ``h0 .. h{n-1}``.
 

@@ -1,49 +1,139 @@
-"""Exact similar pairs (all pairs with Jaccard >= t) by prefix filtering.
-
-This is the ground truth that LSH is measured against.  It never enumerates
-all item pairs of a user: users are ranked rarest first, each item keeps only
-the first ``n - ceil(t*n) + 1`` of its users in that order (its prefix), and
-two items with Jaccard >= t always share a prefix user (Bayardo et al.,
-"Scaling up all pairs similarity search", WWW 2007).  Pairs sharing a prefix
-user are verified with the exact Jaccard.  Frequent users sit at the end of
-every order, so they rarely enter a prefix.
+"""Exact similar pairs: all pairs of items with Jaccard >= t of their sets of users.
+
+Two ways to a pair, by how frequent its common users are:
+
+* **Rare users, by prefix.**  Users are ordered rarest first, and of each item only the first
+  ``n - ceil(t*n) + 1`` users in that order, its prefix, are looked at: two items with Jaccard >= t
+  share a user in both prefixes (Bayardo et al., "Scaling up all pairs similarity search", WWW 2007).  Items meet
+  in the lists of their rare prefix users.
+* **The core, by bitmaps.**  The at most ``CORE`` most frequent users (of those in more than ``FREQUENT``
+  items) have no lists.  They come last in the order, so a prefix holds one of them only if an item has few other users: such an item is
+  *dense*.  A pair that shares no rare prefix user is a pair of dense items.  Those are kept as
+  bitmaps of their core users, sorted by size and dealt over chunks; chunks whose sizes differ too much never meet,
+  and within two chunks ``bit_count(a & b)`` plus the smaller number of rare users bounds the intersection.
+  Where one of the two has core users only, the bound is the intersection.
+
+Nothing is paired through a frequent user.  Pairs that the bounds leave open are checked with the exact Jaccard.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corate.operators.index import attach_index, dense_index, rank_within
+from corate.functions.similarity import jaccard
+from corate.operators.index import attach_index, dense_index, number_rows, rank_within
 from corate.operators.similarity import candidate_jaccard, item_users, threshold
-from corate.operators.spread import pairs_within
+from corate.operators.spread import TILE, pairs_within
 from corate.session import materialize
 
+# Users of the core, a bitmap of four words; and items that a user must be in to be of it.
+CORE = 256
+FREQUENT = 256
+WORDS = CORE // 64
+
+
+def prefix_size(n: Column, min_sim: float) -> Column:
+    """Users of an item of ``n`` that a similar item must share one of, in any common order."""
+    # a slightly longer prefix (the epsilon) never loses a pair; the checks are exact
+    return n - F.ceil(F.lit(float(min_sim)) * n - F.lit(1e-9)) + 1
+
+
+def _sizes_allow(n1: Column, n2: Column, min_sim: float) -> Column:
+    return F.least(n1, n2) >= F.lit(float(min_sim)) * F.greatest(n1, n2) - F.lit(1e-9)
+
+
+def _enough(shared: Column, n1: Column, n2: Column, min_sim: float) -> Column:
+    """May ``shared`` common users make the pair similar enough?"""
+    return shared >= F.lit(min_sim / (1 + min_sim)) * (n1 + n2) - F.lit(1e-9)
+
+
+def core_users(d: DataFrame, core: int = CORE, frequent: int = FREQUENT) -> DataFrame:
+    """``user, _bit``: the at most ``core`` users in the most items, of those in more than ``frequent``."""
+    often = d.groupBy("user").agg(F.count(F.lit(1)).alias("_df")).where(F.col("_df") > frequent)
+    first = often.orderBy(F.col("_df").desc(), "user").limit(core)
+    order = Window.orderBy(F.col("_df").desc(), "user")  # of at most ``core`` rows
+    return materialize(first.select("user", (F.row_number().over(order) - 1).alias("_bit")), "core")
 
-def prefix_candidates(d: DataFrame, min_sim: float) -> DataFrame:
-    """Unordered pairs ``id1 < id2`` of items whose prefixes share a user.
+
+def prefix_candidates(d: DataFrame, min_sim: float, core: DataFrame | None = None) -> DataFrame:
+    """Unordered pairs ``id1 < id2`` of items whose prefixes share a user that is not in the core.
 
     ``d`` holds distinct ``item, user``.
     """
-    freq = d.groupBy("user").agg(F.count(F.lit(1)).alias("_df"))
+    rare = d if core is None else d.join(F.broadcast(core.select("user")), "user", "left_anti")
+    freq = rare.groupBy("user").agg(F.count(F.lit(1)).alias("_df"))
     order = dense_index(freq, "user", priority=F.col("_df"))  # rarest first, ties by id
-    ranked = attach_index(d, order, "user", "_rank").select("item", "_rank")
+    ranked = attach_index(rare, order, "user", "_rank").select("item", "_rank")
     sizes = d.groupBy("item").agg(F.count(F.lit(1)).alias("_n"))
     positioned = rank_within(ranked, ["item"], [F.col("_rank")], rank_col="_pos").join(sizes, "item")
-    # a slightly longer prefix (the epsilon) never loses a pair; the check below is exact
-    keep = F.col("_n") - F.ceil(F.lit(float(min_sim)) * F.col("_n") - F.lit(1e-9)) + 1
-    prefix = positioned.where(F.col("_pos") <= keep).select("item", "_rank", "_pos", "_n")
+    prefix = positioned.where(F.col("_pos") <= prefix_size(F.col("_n"), min_sim)).select("item", "_rank", "_pos", "_n")
 
     def may_reach(a: str, b: str) -> Column:
         """At the first shared user of a pair all later ones may be shared, and that must be enough."""
-        sizes = F.col(f"{a}_n") + F.col(f"{b}_n")
-        rest = 1 + F.least(F.col(f"{a}_n") - F.col(f"{a}_pos"), F.col(f"{b}_n") - F.col(f"{b}_pos"))
-        ratio = F.least(f"{a}_n", f"{b}_n") >= F.lit(float(min_sim)) * F.greatest(f"{a}_n", f"{b}_n") - F.lit(1e-9)
-        return ratio & (rest >= F.lit(min_sim / (1 + min_sim)) * sizes - F.lit(1e-9))
+        n1, n2 = F.col(f"{a}_n"), F.col(f"{b}_n")
+        rest = 1 + F.least(n1 - F.col(f"{a}_pos"), n2 - F.col(f"{b}_pos"))
+        return _sizes_allow(n1, n2, min_sim) & _enough(rest, n1, n2, min_sim)
 
     return pairs_within(prefix, ["_rank"], "item", keep=may_reach, carry=("_pos", "_n"))
 
 
+def dense_items(d: DataFrame, core: DataFrame, min_sim: float) -> DataFrame:
+    """``item, n, rare, b0 .. b3``: the items whose prefix reaches into the core, their users outside of it, their bitmaps."""
+    marked = d.join(F.broadcast(core), "user", "left")
+    words = [F.expr(f"bit_or(IF(_bit div 64 = {w}, shiftleft(1L, _bit % 64), 0L))").alias(f"b{w}") for w in range(WORDS)]
+    sets = marked.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_bit").isNull()).alias("rare"), *words)
+    return sets.where(F.col("rare") < prefix_size(F.col("n"), min_sim))
+
+
+def _partner_chunks(sizes: list[tuple[int, int, int]], min_sim: float, chunk: int) -> list[tuple[int, int, int]]:
+    """Of each size the first and the last chunk that may hold a partner.
+
+    ``sizes``: (size, first and last place) in ascending order.  A dense item has no more than (CORE + 1) / min_sim users,
+    so these are few whatever the table.
+    """
+    found = []
+    for n, _, _ in sizes:
+        near = [s for s in sizes if min(n, s[0]) >= min_sim * max(n, s[0]) - 1e-9]
+        found.append((n, near[0][1] // chunk, near[-1][2] // chunk))
+    return found
+
+
+def dense_pairs(items: DataFrame, min_sim: float, chunk: int = TILE) -> DataFrame:
+    """``id1, id2, n1, n2, shared, exact``: pairs of dense items that may be similar enough.
+
+    ``shared`` is the intersection if ``exact``, else a bound of it.  Items are numbered by size, so a
+    chunk holds items of about one size; an item is copied only to the chunks whose sizes allow a pair.
+    """
+    numbered = materialize(number_rows(items, ["n", "item"], "_at").frame, "dense-items")
+    sizes = sorted(tuple(r) for r in numbered.groupBy("n").agg(F.min("_at"), F.max("_at")).collect())
+    reach = items.sparkSession.createDataFrame(_partner_chunks(sizes, min_sim, chunk), "n bigint, _first bigint, _last bigint")
+    sides = numbered.withColumn("_chunk", F.expr(f"_at div {chunk}")).join(F.broadcast(reach), "n")
+    columns = ["item", "n", "rare", *[f"b{w}" for w in range(WORDS)]]
+    left = sides.select(
+        *[F.col(c).alias(f"x_{c}") for c in columns], F.col("_chunk").alias("_i"), F.explode(F.sequence("_chunk", "_last")).alias("_j")
+    )
+    right = sides.select(
+        *[F.col(c).alias(f"y_{c}") for c in columns], F.col("_chunk").alias("_j"), F.explode(F.sequence("_first", "_chunk")).alias("_i")
+    )
+    bits = reduce(add, [F.bit_count(F.col(f"x_b{w}").bitwiseAND(F.col(f"y_b{w}"))) for w in range(WORDS)])
+    shared = (bits + F.least("x_rare", "y_rare")).cast("bigint")
+    n1, n2 = F.col("x_n"), F.col("y_n")
+    once = (F.col("_i") != F.col("_j")) | (F.col("x_item") < F.col("y_item"))
+    met = left.join(right, ["_i", "_j"]).where(once & _sizes_allow(n1, n2, min_sim) & _enough(shared, n1, n2, min_sim))
+    return met.select(
+        F.least("x_item", "y_item").alias("id1"),
+        F.greatest("x_item", "y_item").alias("id2"),
+        n1.alias("n1"),
+        n2.alias("n2"),
+        shared.alias("shared"),
+        (F.least("x_rare", "y_rare") == 0).alias("exact"),
+    )
+
+
 def exact_similar_pairs(
     pairs: DataFrame,
     min_sim: float,
@@ -59,6 +149,10 @@ def exact_similar_pairs(
     if not 0 < min_sim <= 1:
         raise ValueError("min_sim must be in (0, 1]")
     d = materialize(item_users(pairs, user_col, item_col), "item_users")
-    candidates = prefix_candidates(d, min_sim)
-    scored = candidate_jaccard(candidates, d, "user", "item", pairs_distinct=True, min_sim=min_sim)
-    return threshold(scored, min_sim, strict)
+    core = core_users(d)
+    dense = materialize(dense_pairs(dense_items(d, core, min_sim), min_sim), "dense-pairs")
+    open_ = dense.where("NOT exact").select("id1", "id2")
+    candidates = prefix_candidates(d, min_sim, core).unionByName(open_).distinct()
+    checked = candidate_jaccard(candidates, d, "user", "item", pairs_distinct=True, min_sim=min_sim)
+    known = dense.where("exact").select("id1", "id2", jaccard(F.col("shared"), F.col("n1"), F.col("n2")).alias("similarity"))
+    return threshold(checked.unionByName(known), min_sim, strict)

@@ -10,10 +10,13 @@ rows through the shuffle)
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corate.functions.hashing import (
+    CHUNK_HASHES,
     DEFAULT_BANDS,
     DEFAULT_ROWS,
     MAX_INDEX,
@@ -60,6 +63,27 @@ def band_keys(signature_df: DataFrame, num_hashes: int, bands: int = DEFAULT_BAN
     )
 
 
+def all_band_keys(
+    basket_df: DataFrame, family, universe: int, bands: int = DEFAULT_BANDS, rows: int = DEFAULT_ROWS, chunk: int = CHUNK_HASHES
+) -> DataFrame:
+    """``item_id, band, key`` for any number of hash functions: signatures of at most about ``chunk`` at a time.
+
+    Bands do not depend on each other, so a chunk of whole bands is an aggregation of its own, small enough for
+    whole-stage codegen.  The keys of several chunks are written once; those of one are left lazy.
+    """
+    if bands * rows > len(family):
+        raise ValueError(f"{bands} bands x {rows} rows needs {bands * rows} hashes, have {len(family)}")
+    step = max(1, chunk // rows)
+    parts = []
+    for first in range(0, bands, step):
+        n = min(step, bands - first)
+        part = signatures(basket_df, family[first * rows : (first + n) * rows], universe)
+        parts.append(band_keys(part, n * rows, n, rows).withColumn("band", F.col("band") + first))
+    if len(parts) == 1:
+        return parts[0]
+    return materialize(reduce(DataFrame.unionByName, parts), "bands")
+
+
 def lsh_candidates(band_df: DataFrame, tile: int = TILE) -> DataFrame:
     """Distinct unordered pairs ``(id1, id2)``, ``id1 < id2``, equal in at least one band.
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corate.operators.basic import one_rating
-from corate.operators.spread import bucketed, copied
+from corate.operators.spread import dealt
 
 ZERO = 1e-9
 
@@ -65,9 +65,9 @@ def predict_item_based(train: DataFrame, test: DataFrame, neighbours: DataFrame,
     gives the user's mean.
     """
     train = train if unique else one_rating(train)
-    # An item's test rows are dealt over buckets of users, and its list is copied to each.
-    keys = bucketed(test_keys(test), "user_id")
-    nb = copied(neighbours.select(F.col("target_id").alias("item_id"), "neighbour_id", "weight"))
+    # The test rows of an item that very many ask for are dealt, and its list is copied to each bucket.
+    nb = neighbours.select(F.col("target_id").alias("item_id"), "neighbour_id", "weight")
+    keys, nb = dealt(test_keys(test), nb, ["item_id"], "user_id")
     lists = keys.join(nb, ["item_id", "_bucket"], "left")
     ratings = train.select("user_id", F.col("item_id").alias("neighbour_id"), F.col("rating").alias("_r"))
     rated = lists.join(ratings, ["user_id", "neighbour_id"], "left")

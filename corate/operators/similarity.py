@@ -1,8 +1,8 @@
 """Exact pair measures for candidate pairs: Jaccard of rater sets, co-rating moments.
 
-Both are equi-joins of the pairs with the long basket table, whose rows are
-dealt over buckets of users, so that an item with many raters is many
-tasks.  Nothing goes through the driver, and no join is forced to build a hash table.
+Both are equi-joins of the pairs with the long basket table.  What is heavy (a large basket, an item with
+very many raters) is cut by a hash of the user, so that it is many tasks.  Nothing
+goes through the driver, and no join is forced to build a hash table.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from corate.functions.similarity import corated_similarity, jaccard
 from corate.operators.basic import one_rating
-from corate.operators.spread import bucketed, copied
+from corate.operators.spread import bucketed, dealt
+from corate.session import materialize
 
 # Users of one piece of a basket, which is an array.
 PIECE_USERS = 20_000
@@ -96,6 +97,45 @@ def threshold(scored: DataFrame, min_sim: float, strict: bool = False) -> DataFr
     return scored.where(cond)
 
 
+def _sums(common: DataFrame, a: str, b: str) -> DataFrame:
+    """``a, b`` and the moments of the ratings ``ra``, ``rb`` of their common raters."""
+    ra, rb = F.col("ra"), F.col("rb")
+    return common.groupBy(a, b).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(ra).alias("s1"),
+        F.sum(rb).alias("s2"),
+        F.sum(ra * rb).alias("s12"),
+        F.sum(ra * ra).alias("s11"),
+        F.sum(rb * rb).alias("s22"),
+    )
+
+
+def moments_by_user(r: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Moments of all co-rated pairs, a product over each user's ratings that tasks sum up by pair; ``pairs`` are kept.
+
+    ``r`` holds ``item, user, r``.  A user of n ratings makes n * n / 2 rows inside the join.
+    """
+    a = r.select("user", F.col("item").alias("id1"), F.col("r").alias("ra"))
+    b = r.select("user", F.col("item").alias("id2"), F.col("r").alias("rb"))
+    return _sums(a.join(b, "user").where("id1 < id2"), "id1", "id2").join(pairs.select("id1", "id2"), ["id1", "id2"], "left_semi")
+
+
+def moments_by_pair(r: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Moments of ``pairs``: the raters of each pair's smaller item are looked up in its larger one.
+
+    ``pairs`` holds ``id1, id2, small, large``.  A pair makes as many rows as its smaller item has raters; the
+    raters of an item with very many are dealt, and its pairs copied.  (item, user) is unique, so the look-up has no heavy key.
+    """
+    raters = r.select(F.col("item").alias("small"), "user", F.col("r").alias("rs"))
+    raters, asked = dealt(raters, pairs.select("id1", "id2", "small", "large"), ["small"], "user")
+    large = r.select(F.col("item").alias("large"), "user", F.col("r").alias("rl"))
+    common = asked.join(raters, ["small", "_bucket"]).join(large, ["large", "user"])
+    first = F.col("small") == F.col("id1")
+    ra = F.when(first, F.col("rs")).otherwise(F.col("rl")).alias("ra")
+    rb = F.when(first, F.col("rl")).otherwise(F.col("rs")).alias("rb")
+    return _sums(common.select("id1", "id2", ra, rb), "id1", "id2")
+
+
 def corating_moments(
     ratings: DataFrame,
     pair_df: DataFrame,
@@ -104,45 +144,28 @@ def corating_moments(
     rating_col: str = "rating",
     unique: bool = False,
 ) -> DataFrame:
-    """Moments over common raters for each pair ``(id1, id2)``.
+    """Moments over common raters for each pair ``(id1, id2)``, ``id1 < id2``.
 
     Columns ``id1, id2, n, s1, s2, s12, s11, s22`` where ``s1 = sum r(u, id1)``
     etc. over users who rated both.  Pairs without common raters are absent.
     Repeated ratings of one ``(user, item)`` count once (``one_rating``);
     ``unique=True`` declares that there are none.
+
+    Two equal ways, by the rows that they make in their joins, which are counted first: half the squared
+    ratings of all users (few items in many pairs), or the raters of the smaller item of all pairs
+    (many items, users with many ratings).
     """
     r = ratings.select(
         F.col(item_col).alias("item"), F.col(user_col).alias("user"), F.col(rating_col).cast("double").alias("r")
     )
-    r = bucketed(r if unique else one_rating(r, "user", "item", "r"), "user")
+    r = r if unique else materialize(one_rating(r, "user", "item", "r"), "ratings")
     sizes = r.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    c = copied(_oriented(pair_df.select("id1", "id2").distinct(), sizes).select("small", "large"))
-    small = r.select(F.col("item").alias("small"), "_bucket", "user", F.col("r").alias("rs"))
-    large = r.select(F.col("item").alias("large"), "_bucket", "user", F.col("r").alias("rl"))
-    common = c.join(small, ["small", "_bucket"]).join(large, ["large", "_bucket", "user"])
-    m = common.groupBy("small", "large").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("rs").alias("ss"),
-        F.sum("rl").alias("sl"),
-        F.sum(F.col("rs") * F.col("rl")).alias("s12"),
-        F.sum(F.col("rs") * F.col("rs")).alias("sss"),
-        F.sum(F.col("rl") * F.col("rl")).alias("sll"),
-    )
-    first_small = F.col("small") < F.col("large")
-
-    def pick(if_small: str, if_large: str, name: str):
-        return F.when(first_small, F.col(if_small)).otherwise(F.col(if_large)).alias(name)
-
-    return m.select(
-        F.least("small", "large").alias("id1"),
-        F.greatest("small", "large").alias("id2"),
-        "n",
-        pick("ss", "sl", "s1"),
-        pick("sl", "ss", "s2"),
-        "s12",
-        pick("sss", "sll", "s11"),
-        pick("sll", "sss", "s22"),
-    )
+    canonical = pair_df.select(F.least("id1", "id2").alias("id1"), F.greatest("id1", "id2").alias("id2")).distinct()
+    pairs = materialize(_oriented(canonical, sizes), "moment-pairs")
+    by_pair = pairs.agg(F.sum(F.least("n1", "n2"))).first()[0] or 0
+    each = r.groupBy("user").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    by_user = each.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
+    return moments_by_user(r, pairs) if by_user <= by_pair else moments_by_pair(r, pairs)
 
 
 def directed_similarity(moments: DataFrame, center: str = "active") -> DataFrame:

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Members of a group that meet in one task, and pieces of a key: constants of the plan, not limits.
+from corate.session import materialize
+
+# Members of a group that meet in one task, and rows of a key that stay together: constants of the plan, not limits.
 TILE = 1024
-BUCKETS = 16
+PIECE_ROWS = 50_000
 
 
 def pairs_within(
@@ -53,11 +55,26 @@ def pairs_within(
     return met.select(F.least("_a", "_b").alias("id1"), F.greatest("_a", "_b").alias("id2")).distinct()
 
 
-def bucketed(rows: DataFrame, user_col: str, buckets: int = BUCKETS) -> DataFrame:
-    """``rows`` with ``_bucket``, a hash of the user: the large side of a join on (key, bucket)."""
+def bucketed(rows: DataFrame, user_col: str, buckets: int) -> DataFrame:
+    """``rows`` with ``_bucket``, a hash of the user."""
     return rows.withColumn("_bucket", F.pmod(F.xxhash64(user_col), F.lit(buckets)).cast("int"))
 
 
-def copied(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``rows`` once for every bucket: the small side of that join."""
-    return rows.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+def dealt(
+    rows: DataFrame, lists: DataFrame, key: list[str], by: str, piece_rows: int = PIECE_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join on ``key``, with ``_bucket`` as one more column to join on.
+
+    Only heavy keys, those with more than ``piece_rows`` of ``rows``, are dealt: their rows over buckets by a hash of
+    ``by``, each of about ``piece_rows``, and what ``lists`` has for them is copied to each.  For all others the bucket is 0, and
+    nothing is copied.  The heavy keys are counted (partial + final) and written: a table of at most
+    one row per ``piece_rows`` rows, which Spark broadcasts only if its file is small.
+    """
+    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > piece_rows)
+    buckets = F.ceil(F.col("_n") / F.lit(float(piece_rows))).cast("int").alias("_buckets")
+    heavy = materialize(counts.select(*key, buckets), "heavy-keys")
+    spot = F.pmod(F.xxhash64(by), F.col("_buckets")).cast("int")
+    left = rows.join(heavy, key, "left").withColumn("_bucket", F.coalesce(spot, F.lit(0))).drop("_buckets")
+    every = F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1)
+    right = lists.join(heavy, key, "left").withColumn("_bucket", F.explode(every)).drop("_buckets")
+    return left, right

@@ -35,9 +35,6 @@ METHODS = ("item", "user", "mean", "als")
 
 # User-based CF: least Jaccard of two users' item sets.  All such pairs are found, by the exact join.
 USER_MIN_SIM = 0.25
-# The LSH shape of the registered user queries, fixed by their SQL: it finds about half of those pairs.
-USER_BANDS = 30
-USER_ROWS = 4
 
 
 @dataclass(frozen=True)
@@ -56,10 +53,11 @@ def item_neighbours(
     bands: int = DEFAULT_BANDS,
     rows: int = DEFAULT_ROWS,
     unique: bool = False,
+    recall: float | None = None,
 ) -> DataFrame:
     """Neighbour lists of the test items: LSH pairs over training, co-rating weights."""
     universe = union_index(train, test, "user_id")
-    pairs = similar_pairs(train, min_sim, strict, family, bands, rows, universe)
+    pairs = similar_pairs(train, min_sim, strict, family, bands, rows, universe, recall=recall)
     return neighbour_table(pairs, train, targets=test.select("item_id"), center=center, unique=unique)
 
 
@@ -78,18 +76,19 @@ def similar_users(
     bands: int | None = None,
     rows: int = DEFAULT_ROWS,
     family=None,
+    recall: float | None = None,
 ) -> DataFrame:
-    """All pairs of users whose item sets have Jaccard >= ``min_sim``; with ``bands``, those that LSH finds.
+    """All pairs of users whose item sets have Jaccard >= ``min_sim``; with ``bands`` or ``recall``, those that LSH finds.
 
     ``min_sim`` must be positive: at 0 nearly all pairs would do.
     """
     if not 0 < min_sim <= 1:
         raise ValueError("user-based neighbourhoods need a min_sim in (0, 1]")
     swapped = swap_roles(train)
-    if bands is None:
+    if bands is None and recall is None:
         return exact_similar_pairs(swapped, min_sim)
     universe = union_index(swapped, swap_roles(test), "user_id")
-    return similar_pairs(swapped, min_sim, False, family, bands, rows, universe)
+    return similar_pairs(swapped, min_sim, False, family, bands or DEFAULT_BANDS, rows, universe, recall=recall)
 
 
 def user_based(

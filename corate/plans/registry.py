@@ -23,6 +23,8 @@ DOC_MIN_SIM = 0.5
 RATING_MIN_SIM = 0.2
 EVENT_MIN_SIM = 0.4
 PURCHASE_MIN_SIM = 0.1
+# Share of the pairs at the threshold that LSH has to find where the threshold is below that of the default shape.
+LSH_RECALL = 0.98
 
 
 def _r6(col: str) -> F.Column:
@@ -120,12 +122,15 @@ def q_similar_pairs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_similar_pairs_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
     universe = union_index(train, valid, "user_id")
-    return _scored(similar_pairs(train, min_sim=RATING_MIN_SIM, universe=universe))
+    return _scored(similar_pairs(train, min_sim=RATING_MIN_SIM, universe=universe, recall=LSH_RECALL))
+
+
+def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(fixtures.purchases_fixture(spark, sf_dir).select("user_id", "item_id"), "purchases")
 
 
 def q_similar_pairs_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    purchases = materialize(fixtures.purchases_fixture(spark, sf_dir).select("user_id", "item_id"))
-    return _scored(similar_pairs(purchases, min_sim=PURCHASE_MIN_SIM, pairs_distinct=True))
+    return _scored(similar_pairs(_purchases(spark, sf_dir), min_sim=PURCHASE_MIN_SIM, pairs_distinct=True, recall=LSH_RECALL))
 
 
 def q_jaccard_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,12 +146,22 @@ def q_lsh_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _quality(found: DataFrame, truth: DataFrame) -> DataFrame:
+    return precision_recall(found, truth).select("n_found", "n_truth", "hits", _r6("precision"), _r6("recall"))
+
+
 def q_lsh_quality_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recall of the rating neighbourhoods, on which the item-based queries rest."""
     train, valid = _train_valid(spark, sf_dir)
-    found = similar_pairs(train, min_sim=RATING_MIN_SIM, universe=union_index(train, valid, "user_id"))
-    truth = exact_similar_pairs(train, RATING_MIN_SIM)
-    return precision_recall(found, truth).select("n_found", "n_truth", "hits", _r6("precision"), _r6("recall"))
+    universe = union_index(train, valid, "user_id")
+    found = similar_pairs(train, min_sim=RATING_MIN_SIM, universe=universe, recall=LSH_RECALL)
+    return _quality(found, exact_similar_pairs(train, RATING_MIN_SIM))
+
+
+def q_lsh_quality_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    purchases = _purchases(spark, sf_dir)
+    found = similar_pairs(purchases, min_sim=PURCHASE_MIN_SIM, pairs_distinct=True, recall=LSH_RECALL)
+    return _quality(found, exact_similar_pairs(purchases, PURCHASE_MIN_SIM))
 
 
 QUERIES = {
@@ -165,6 +180,7 @@ QUERIES = {
     "jaccard_exact": q_jaccard_exact,
     "lsh_quality": q_lsh_quality,
     "lsh_quality_ratings": q_lsh_quality_ratings,
+    "lsh_quality_purchases": q_lsh_quality_purchases,
 }
 
 
@@ -181,9 +197,6 @@ from corate.plans import recommend as rec  # noqa: E402
 from corate.session import delete_at_exit, scratch_path  # noqa: E402
 from corate.sources import io  # noqa: E402
 
-# The shape in the SQL of the user queries; without it all pairs are found (README, "User-based").
-USER_LSH = {"bands": rec.USER_BANDS, "rows": rec.USER_ROWS}
-
 
 def _prediction(df: DataFrame) -> DataFrame:
     return df.select("user_id", "item_id", _r6("prediction"))
@@ -212,7 +225,7 @@ def q_item_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _rating_pairs(spark: SparkSession, sf_dir: str):
     train, valid = _train_valid(spark, sf_dir)
     universe = union_index(train, valid, "user_id")
-    return train, valid, similar_pairs(train, min_sim=RATING_MIN_SIM, universe=universe)
+    return train, valid, similar_pairs(train, min_sim=RATING_MIN_SIM, universe=universe, recall=LSH_RECALL)
 
 
 def _similarity(spark: SparkSession, sf_dir: str, center: str) -> DataFrame:
@@ -237,12 +250,12 @@ def q_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_predict_item_based(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    return _prediction(rec.item_based(train, valid, min_sim=RATING_MIN_SIM, unique=True))
+    return _prediction(rec.item_based(train, valid, min_sim=RATING_MIN_SIM, recall=LSH_RECALL, unique=True))
 
 
 def q_predict_user_based(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    return _prediction(rec.user_based(train, valid, unique=True, **USER_LSH))
+    return _prediction(rec.user_based(train, valid, unique=True))
 
 
 def q_predict_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,7 +270,7 @@ def q_knn_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_knn_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    pairs = rec.similar_users(train, valid, **USER_LSH)
+    pairs = rec.similar_users(train, valid)
     return knn_users(train, valid, pairs, unique=True).select("user_id", "item_id", "neighbour_id", _r6("similarity"), "rank")
 
 
@@ -267,12 +280,12 @@ def _rmse(result: DataFrame) -> DataFrame:
 
 def q_rmse_item_based(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    return _rmse(rmse(rec.item_based(train, valid, min_sim=RATING_MIN_SIM, unique=True), valid))
+    return _rmse(rmse(rec.item_based(train, valid, min_sim=RATING_MIN_SIM, recall=LSH_RECALL, unique=True), valid))
 
 
 def q_rmse_user_based(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = _train_valid(spark, sf_dir)
-    return _rmse(rmse(rec.user_based(train, valid, unique=True, **USER_LSH), valid))
+    return _rmse(rmse(rec.user_based(train, valid, unique=True), valid))
 
 
 def q_rmse_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,7 +335,7 @@ def q_rmse_als(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_recommend_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dispatch with its leak guard: the input holds the validation rows."""
     train, valid = _train_valid(spark, sf_dir)
-    return _prediction(rec.recommend(train.unionByName(valid), valid, "item", min_sim=RATING_MIN_SIM).predictions)
+    return _prediction(rec.recommend(train.unionByName(valid), valid, "item", min_sim=RATING_MIN_SIM, recall=LSH_RECALL).predictions)
 
 
 def q_recommend_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,10 +343,34 @@ def q_recommend_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rmse(rec.recommend(train.unionByName(valid), valid, "mean").rmse)
 
 
+def q_similar_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of users with Jaccard >= USER_MIN_SIM, on which the user-based queries rest."""
+    return _scored(rec.similar_users(*_train_valid(spark, sf_dir)))
+
+
+def q_lsh_quality_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall of LSH for the pairs that ``similar_users`` finds by default."""
+    train, valid = _train_valid(spark, sf_dir)
+    return _quality(rec.similar_users(train, valid, recall=LSH_RECALL), rec.similar_users(train, valid))
+
+
+def q_recommend_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User-based CF as it is called by default; the input holds the validation rows."""
+    train, valid = _train_valid(spark, sf_dir)
+    return _prediction(rec.recommend(train.unionByName(valid), valid, "user").predictions)
+
+
+def q_recommend_als(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys that ALS scores through the dispatch, and how many times."""
+    train, valid = _train_valid(spark, sf_dir)
+    scored = rec.recommend(train.unionByName(valid), valid, "als").predictions
+    return scored.groupBy("user_id", "item_id").agg(F.count("prediction").alias("n"))
+
+
 def q_repeated_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item-based predictions from a table with a rating per purchase line, so many of one user and item."""
     lines, valid = fixtures.repeated_ratings(spark, sf_dir)
-    return _prediction(rec.recommend(materialize(lines, "lines"), valid, "item", min_sim=RATING_MIN_SIM).predictions)
+    return _prediction(rec.recommend(materialize(lines, "lines"), valid, "item", min_sim=RATING_MIN_SIM, recall=LSH_RECALL).predictions)
 
 
 def _csv(df: DataFrame, name: str) -> str:
@@ -400,6 +437,10 @@ QUERIES.update(
         "rmse_als": q_rmse_als,
         "recommend_item": q_recommend_item,
         "recommend_mean": q_recommend_mean,
+        "recommend_user": q_recommend_user,
+        "recommend_als": q_recommend_als,
+        "similar_users": q_similar_users,
+        "lsh_quality_users": q_lsh_quality_users,
         "repeated_ratings": q_repeated_ratings,
         "csv_ratings": q_csv_ratings,
         "csv_pairs": q_csv_pairs,

@@ -10,7 +10,7 @@ sides.
 
 from __future__ import annotations
 
-from corate.functions.hashing import DEFAULT_BANDS, DEFAULT_ROWS, hash_family
+from corate.functions.hashing import DEFAULT_BANDS, DEFAULT_ROWS, hash_family, lsh_shape
 
 # ---------------------------------------------------------------- fixtures
 
@@ -100,6 +100,25 @@ def lsh_ctes(
 )"""
 
 
+def recall_ctes(src: str, prefix: str, min_sim: float, users_src: str | None = None, recall: float = 0.98) -> str:
+    """The hash family and LSH CTEs of the shape that the threshold and the recall ask for."""
+    shape = lsh_shape(min_sim, recall)
+    family = hash_family(max(shape.hashes, 120))
+    return family_values(family) + ",\n" + lsh_ctes(src, prefix, users_src, shape.bands, shape.rows)
+
+
+def exact_ctes(src: str, prefix: str) -> str:
+    """``{prefix}_exact(id1, id2, similarity)``: every pair with a common user, brute force."""
+    return f"""{prefix}_iu AS (SELECT DISTINCT item_id, user_id FROM {src}),
+{prefix}_size AS (SELECT item_id, count(*) AS n FROM {prefix}_iu GROUP BY item_id),
+{prefix}_exact AS (
+  SELECT a.item_id AS id1, b.item_id AS id2,
+         CAST(count(*) AS DOUBLE) / CAST(s1.n + s2.n - count(*) AS DOUBLE) AS similarity
+  FROM {prefix}_iu a JOIN {prefix}_iu b ON a.user_id = b.user_id AND a.item_id < b.item_id
+  JOIN {prefix}_size s1 ON s1.item_id = a.item_id JOIN {prefix}_size s2 ON s2.item_id = b.item_id
+  GROUP BY a.item_id, b.item_id, s1.n, s2.n)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes)
 
@@ -169,7 +188,7 @@ purchases AS (SELECT DISTINCT o_custkey AS user_id, l_partkey AS item_id FROM or
 
 
 def sql_similar_pairs_purchases(min_sim: float = 0.1) -> str:
-    return with_(PURCHASES_CTE, family_values(), lsh_ctes("purchases", "pu")) + f"""
+    return with_(PURCHASES_CTE, recall_ctes("purchases", "pu", 0.1)) + f"""
 SELECT id1, id2, round(similarity, 6) AS similarity FROM pu_jac WHERE similarity >= {min_sim}"""
 
 
@@ -209,7 +228,7 @@ RATING_USERS = "SELECT user_id, 0 AS src_order FROM train UNION ALL SELECT user_
 
 
 def sql_similar_pairs_ratings(min_sim: float = 0.2) -> str:
-    return with_(RATINGS_CTE, family_values(), lsh_ctes("train", "r", RATING_USERS)) + f"""
+    return with_(RATINGS_CTE, recall_ctes("train", "r", 0.2, RATING_USERS)) + f"""
 SELECT id1, id2, round(similarity, 6) AS similarity FROM r_jac WHERE similarity >= {min_sim}"""
 
 
@@ -307,8 +326,7 @@ MEAN_PRED_CTE = """mpred AS (
 def _item_based_ctes() -> list[str]:
     return [
         RATINGS_CTE,
-        family_values(),
-        lsh_ctes("train", "r", RATING_USERS),
+        recall_ctes("train", "r", 0.2, RATING_USERS),
         "r_sp AS (SELECT id1, id2 FROM r_jac WHERE similarity >= 0.2)",
         neighbour_ctes("i", "r_sp", "train", "valid"),
         STATS_CTES,
@@ -320,9 +338,8 @@ def _user_based_ctes() -> list[str]:
     return [
         RATINGS_CTE,
         SWAPPED,
-        family_values(),
-        lsh_ctes("strain", "s", SWAPPED_USERS, bands=30, rows=4),
-        "s_sp AS (SELECT id1, id2 FROM s_jac WHERE similarity >= 0.25)",
+        exact_ctes("strain", "s"),
+        "s_sp AS (SELECT id1, id2 FROM s_exact WHERE similarity >= 0.25)",
         neighbour_ctes("u", "s_sp", "strain", "svalid"),
         STATS_CTES,
         USER_PRED_CTES,
@@ -352,8 +369,7 @@ SELECT item_id, round(avg(rating), 6) AS item_mean FROM train GROUP BY item_id""
 def sql_similarity(center: str) -> str:
     return with_(
         RATINGS_CTE,
-        family_values(),
-        lsh_ctes("train", "r", RATING_USERS),
+        recall_ctes("train", "r", 0.2, RATING_USERS),
         """r_dir AS (SELECT id1 AS t, id2 AS n FROM r_jac WHERE similarity >= 0.2
           UNION ALL SELECT id2 AS t, id1 AS n FROM r_jac WHERE similarity >= 0.2)""",
         directed_sims_cte("r_sim", "r_dir", "train", center),
@@ -361,7 +377,7 @@ def sql_similarity(center: str) -> str:
 
 
 def sql_neighbours() -> str:
-    ctes = _item_based_ctes()[:5]
+    ctes = _item_based_ctes()[:4]
     return with_(*ctes) + "\nSELECT target_id, neighbour_id, round(weight, 6) AS weight FROM i_nb"
 
 
@@ -418,10 +434,9 @@ def sql_knn_users() -> str:
         RATINGS_CTE,
         STATS_CTES,
         SWAPPED,
-        family_values(),
-        lsh_ctes("strain", "s", SWAPPED_USERS, bands=30, rows=4),
-        """near AS (SELECT id1 AS u, id2 AS v FROM s_jac WHERE similarity >= 0.25
-                    UNION ALL SELECT id2, id1 FROM s_jac WHERE similarity >= 0.25)""",
+        exact_ctes("strain", "s"),
+        """near AS (SELECT id1 AS u, id2 AS v FROM s_exact WHERE similarity >= 0.25
+                    UNION ALL SELECT id2, id1 FROM s_exact WHERE similarity >= 0.25)""",
         """cand AS (SELECT k.user_id, k.item_id, near.v AS neighbour_id FROM keys k JOIN near ON near.u = k.user_id
                  JOIN train tr ON tr.item_id = k.item_id AND tr.user_id = near.v)""",
         "kp AS (SELECT DISTINCT user_id AS t, neighbour_id AS n FROM cand)",
@@ -433,11 +448,10 @@ FROM (SELECT c.user_id, c.item_id, c.neighbour_id, s.sim AS similarity
       FROM cand c JOIN ks s ON s.t = c.user_id AND s.n = c.neighbour_id WHERE s.sim IS NOT NULL)"""
 
 
-def sql_lsh_quality_ratings(min_sim: float = 0.2) -> str:
-    exact = BRUTE_DOC_CTE.replace("d_", "r_")
-    return with_(RATINGS_CTE, family_values(), lsh_ctes("train", "r", RATING_USERS), exact) + f""",
-found AS (SELECT id1, id2 FROM r_jac WHERE similarity >= {min_sim}),
-truth AS (SELECT id1, id2 FROM r_exact WHERE similarity >= {min_sim}),
+def _quality(found: str, exact: str, min_sim: float) -> str:
+    return f""",
+found AS (SELECT id1, id2 FROM {found} WHERE similarity >= {min_sim}),
+truth AS (SELECT id1, id2 FROM {exact} WHERE similarity >= {min_sim}),
 counts AS (SELECT (SELECT count(*) FROM found) AS n_found, (SELECT count(*) FROM truth) AS n_truth,
                   (SELECT count(*) FROM found JOIN truth USING (id1, id2)) AS hits)
 SELECT n_found, n_truth, hits,
@@ -446,6 +460,30 @@ SELECT n_found, n_truth, hits,
 FROM counts"""
 
 
+def sql_lsh_quality_ratings(min_sim: float = 0.2) -> str:
+    lsh = recall_ctes("train", "r", min_sim, RATING_USERS)
+    return with_(RATINGS_CTE, lsh, exact_ctes("train", "x")) + _quality("r_jac", "x_exact", min_sim)
+
+
+def sql_lsh_quality_purchases(min_sim: float = 0.1) -> str:
+    lsh = recall_ctes("purchases", "pu", min_sim)
+    return with_(PURCHASES_CTE, lsh, exact_ctes("purchases", "x")) + _quality("pu_jac", "x_exact", min_sim)
+
+
+def sql_lsh_quality_users(min_sim: float = 0.25) -> str:
+    lsh = recall_ctes("strain", "s", min_sim, SWAPPED_USERS)
+    return with_(RATINGS_CTE, SWAPPED, lsh, exact_ctes("strain", "x")) + _quality("s_jac", "x_exact", min_sim)
+
+
+def sql_similar_users(min_sim: float = 0.25) -> str:
+    return with_(RATINGS_CTE, SWAPPED, exact_ctes("strain", "s")) + f"""
+SELECT id1, id2, round(similarity, 6) AS similarity FROM s_exact WHERE similarity >= {min_sim}"""
+
+
+def sql_recommend_als() -> str:
+    return with_(RATINGS_CTE, KNOWN_KEYS) + "\nSELECT user_id, item_id, 1 AS n FROM known"
+
+
 KNOWN_KEYS = """known AS (
   SELECT DISTINCT user_id, item_id FROM valid
   WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)
@@ -489,7 +527,7 @@ def sql_csv_pairs() -> str:
 
 
 def sql_csv_truth(min_sim: float = 0.2) -> str:
-    return with_(RATINGS_CTE, family_values(), lsh_ctes("train", "r", RATING_USERS)) + f"""
+    return with_(RATINGS_CTE, recall_ctes("train", "r", 0.2, RATING_USERS)) + f"""
 SELECT id1, id2 FROM r_jac WHERE similarity >= {min_sim}"""
 
 
@@ -539,6 +577,11 @@ ORACLE = {
     "rmse_als": sql_rmse_als(),
     "recommend_item": sql_predict_item_based(),
     "recommend_mean": sql_rmse_mean(),
+    "recommend_user": sql_predict_user_based(),
+    "recommend_als": sql_recommend_als(),
+    "similar_users": sql_similar_users(),
+    "lsh_quality_users": sql_lsh_quality_users(),
+    "lsh_quality_purchases": sql_lsh_quality_purchases(),
     "repeated_ratings": sql_repeated_ratings(),
     "csv_ratings": sql_csv_ratings(),
     "csv_pairs": sql_csv_pairs(),
