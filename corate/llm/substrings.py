@@ -48,7 +48,7 @@ BASE, OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 PARSED = "struct<n: bigint, digest: binary, sha: string, pos: array<int>, key: array<bigint>>"
 FACTORS = "array<struct<begin: bigint, end: bigint>>"
 OPEN = "array<struct<c1: bigint, c2: bigint, windows: array<struct<at: bigint, h1: bigint, h2: bigint>>>>"
-ROWS = 1024  # segments that are parsed at once
+ROWS = 256  # segments that are parsed at once: some 50 MB of arrays
 
 
 class RunHashes:
