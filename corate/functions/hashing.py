@@ -99,3 +99,9 @@ def band_array(num_hashes: int, bands: int, rows: int) -> Column:
         "struct(" + ", ".join(f"h{band * rows + r} AS r{r}" for r in range(rows)) + ")" for band in range(bands)
     )
     return F.expr(f"array({structs})")
+
+
+def band_hashes(bands: int, rows: int, first: int = 0) -> Column:
+    """Array of one 64-bit hash a band, of its number (from ``first`` on) and its rows of the signature columns."""
+    keys = (", ".join(f"h{band * rows + r}" for r in range(rows)) for band in range(bands))
+    return F.expr("array(" + ", ".join(f"xxhash64({first + b}, {k})" for b, k in enumerate(keys)) + ")")

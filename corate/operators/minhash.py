@@ -21,6 +21,7 @@ from corate.functions.hashing import (
     DEFAULT_ROWS,
     MAX_INDEX,
     band_array,
+    band_hashes,
     hash_family,
     signature_columns,
 )
@@ -66,7 +67,10 @@ def band_keys(signature_df: DataFrame, num_hashes: int, bands: int = DEFAULT_BAN
 def all_band_keys(
     basket_df: DataFrame, family, universe: int, bands: int = DEFAULT_BANDS, rows: int = DEFAULT_ROWS, chunk: int = CHUNK_HASHES
 ) -> DataFrame:
-    """``item_id, band, key`` for any number of hash functions: signatures of at most about ``chunk`` at a time.
+    """``item_id, key`` for any number of hash functions: signatures of at most about ``chunk`` at a time.
+
+    ``key`` is a 64-bit hash of a band and its rows: two bands that share one by chance are one candidate more, which the
+    exact check drops.
 
     Bands do not depend on each other, so a chunk of whole bands is an aggregation of its own, small enough for
     whole-stage codegen.  The keys of several chunks are written once; those of one are left lazy.
@@ -74,11 +78,14 @@ def all_band_keys(
     if bands * rows > len(family):
         raise ValueError(f"{bands} bands x {rows} rows needs {bands * rows} hashes, have {len(family)}")
     step = max(1, chunk // rows)
+    # A row of a signature becomes a row of each band: spread them first, where their bytes alone would be few tasks.
+    partitions = int(basket_df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = []
     for first in range(0, bands, step):
         n = min(step, bands - first)
         part = signatures(basket_df, family[first * rows : (first + n) * rows], universe)
-        parts.append(band_keys(part, n * rows, n, rows).withColumn("band", F.col("band") + first))
+        part = part.repartition(partitions) if bands > step else part
+        parts.append(part.select("item_id", F.explode(band_hashes(n, rows, first)).alias("key")))
     if len(parts) == 1:
         return parts[0]
     return materialize(reduce(DataFrame.unionByName, parts), "bands")
@@ -89,7 +96,7 @@ def lsh_candidates(band_df: DataFrame, tile: int = TILE) -> DataFrame:
 
     One path for buckets of every size: see ``pairs_within``.
     """
-    return pairs_within(band_df, ["band", "key"], "item_id", tile)
+    return pairs_within(band_df, [c for c in band_df.columns if c != "item_id"], "item_id", tile)
 
 
 def encode_pairs(
