@@ -13,7 +13,7 @@ from corate.functions.hashing import hash_family
 from corate.operators.index import dense_index, number_rows, union_index
 from corate.operators.minhash import baskets, band_keys, lsh_candidates, signature_long, signatures
 from corate.operators.similarity import candidate_jaccard
-from corate.operators.evaluate import precision_recall
+from corate.operators.evaluate import estimate_recall, precision_recall
 from corate.operators.exact import exact_similar_pairs
 from corate.plans.similar import similar_pairs
 from corate.session import materialize
@@ -164,6 +164,21 @@ def q_lsh_quality_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quality(found, exact_similar_pairs(purchases, PURCHASE_MIN_SIM))
 
 
+def _estimate(found: DataFrame, pairs: DataFrame, min_sim: float) -> DataFrame:
+    return estimate_recall(found, pairs, min_sim).select("n_items", "n_truth", "hits", _r6("recall"), _r6("low"), _r6("high"))
+
+
+def q_recall_estimate_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = _doc_tokens(spark, sf_dir)
+    return _estimate(similar_pairs(tokens, min_sim=DOC_MIN_SIM, pairs_distinct=True), tokens, DOC_MIN_SIM)
+
+
+def q_recall_estimate_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    purchases = _purchases(spark, sf_dir)
+    found = similar_pairs(purchases, min_sim=PURCHASE_MIN_SIM, pairs_distinct=True, recall=LSH_RECALL)
+    return _estimate(found, purchases, PURCHASE_MIN_SIM)
+
+
 QUERIES = {
     "ratings_fixture": q_ratings_fixture,
     "dense_index": q_dense_index,
@@ -181,6 +196,8 @@ QUERIES = {
     "lsh_quality": q_lsh_quality,
     "lsh_quality_ratings": q_lsh_quality_ratings,
     "lsh_quality_purchases": q_lsh_quality_purchases,
+    "recall_estimate_docs": q_recall_estimate_docs,
+    "recall_estimate_purchases": q_recall_estimate_purchases,
 }
 
 
@@ -188,7 +205,7 @@ QUERIES = {
 
 from corate.operators.basic import exclude_pairs, swap_roles  # noqa: E402
 from corate.operators.evaluate import rmse  # noqa: E402
-from corate.operators.factor import als_fit, als_predict, factor_checks, normal_equations  # noqa: E402
+from corate.operators.factor import MAX_ITER, als_fit, als_predict, factor_checks, normal_equations, objective  # noqa: E402
 from corate.operators.knn import knn_items, knn_users  # noqa: E402
 from corate.operators.neighbours import neighbour_table  # noqa: E402
 from corate.operators.predict import item_stats, predict_mean, user_stats  # noqa: E402
@@ -326,10 +343,37 @@ def q_als_implicit_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _als_factors(spark, sf_dir, True)
 
 
+def _als_item_factors(spark: SparkSession, sf_dir: str, implicit: bool) -> DataFrame:
+    """The training items; did the half step before the last one solve their equations, against the users of one iteration less?"""
+    train, valid, fitted = _als(spark, sf_dir, implicit)
+    before = als_fit(train, valid, implicit=implicit, max_iter=MAX_ITER - 1)
+    return normal_equations(fitted, train, implicit=implicit, side="item", against=before).select("item_id", "solves")
+
+
+def q_als_explicit_item_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _als_item_factors(spark, sf_dir, False)
+
+
+def q_als_implicit_item_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _als_item_factors(spark, sf_dir, True)
+
+
+def q_als_objective(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regularised objective after 1, 9 and 27 iterations: below the one of zero factors, and never rising."""
+    train, valid = _train_valid(spark, sf_dir)
+    zero = train.agg(F.sum(F.col("rating") * F.col("rating")).alias("objective"))
+    values = [zero.first()[0], *(objective(als_fit(train, valid, max_iter=n), train).first()[0] for n in (1, 9, MAX_ITER))]
+    steps = [(n, after <= before * (1 + 1e-6)) for n, before, after in zip((1, 9, MAX_ITER), values, values[1:], strict=False)]
+    return spark.createDataFrame(steps, "iterations int, falls boolean").join(train.agg(F.count(F.lit(1)).alias("n_ratings")))
+
+
 def q_rmse_als(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows scored by explicit ALS; is its error below the spread of a five-step scale?"""
-    _, valid, fitted = _als(spark, sf_dir, False)
-    return rmse(als_predict(fitted, valid), valid).select("n", ((F.col("rmse") > 0) & (F.col("rmse") < 4)).alias("plausible"))
+    """Rows scored by explicit ALS; is its error on the training rows below that of the users' means, which it can express?"""
+    train, valid, fitted = _als(spark, sf_dir, False)
+    n = rmse(als_predict(fitted, valid), valid).select("n")
+    own = train.join(user_stats(train), "user_id").select("user_id", "item_id", F.col("user_mean").alias("prediction"))
+    errors = [rmse(p, train).select("rmse").scalar() for p in (als_predict(fitted, train), own)]
+    return n.select("n", (errors[0] < errors[1]).alias("below_user_means"))
 
 
 def q_recommend_item(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -403,6 +447,32 @@ def q_csv_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.read_truth_pairs(spark, path)
 
 
+def q_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ratings file with a malformed line for each validation row: the rows read, and the lines set aside."""
+    train, valid = _train_valid(spark, sf_dir)
+    key = F.concat_ws(",", "user_id", "item_id")
+    kind = F.pmod("user_id", F.lit(4))
+    broken = (
+        F.when(kind == 0, key)  # a field too few
+        .when(kind == 1, F.concat(key, F.lit(",3,4")))  # a field too many
+        .when(kind == 2, F.concat(key, F.lit(",three")))
+        .otherwise(F.concat(F.lit(" ,"), "item_id", F.lit(",3")))
+    )
+    lines = train.select(F.concat_ws(",", key, F.col("rating").cast("string")).alias("value")).unionByName(valid.select(broken.alias("value")))
+    path, aside = scratch_path(spark, "lines-csv"), scratch_path(spark, "quarantine")
+    # One column, written as it is, under a name that is the header of the file: each part begins with it.
+    plain = {"header": True, "sep": "\u0001", "quote": "\u0000", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.withColumnRenamed("value", "user_id,item_id,rating").write.options(**plain).csv(path)
+    delete_at_exit(spark, path)
+    found = io.ingest_ratings(spark, path, aside)
+    delete_at_exit(spark, aside)
+    bad = spark.read.schema("reason string, line string").json(aside)
+    none = F.lit(None).cast("string")
+    return found.rows.select("user_id", "item_id", "rating", none.alias("reason"), none.alias("line")).unionByName(
+        bad.select(none.alias("user_id"), none.alias("item_id"), none.cast("double").alias("rating"), "reason", "line")
+    )
+
+
 def q_csv_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions through their sink, to two decimals, read as text."""
     train, valid = _train_valid(spark, sf_dir)
@@ -434,6 +504,9 @@ QUERIES.update(
         "als_implicit": q_als_implicit,
         "als_explicit_factors": q_als_explicit_factors,
         "als_implicit_factors": q_als_implicit_factors,
+        "als_explicit_item_factors": q_als_explicit_item_factors,
+        "als_implicit_item_factors": q_als_implicit_item_factors,
+        "als_objective": q_als_objective,
         "rmse_als": q_rmse_als,
         "recommend_item": q_recommend_item,
         "recommend_mean": q_recommend_mean,
@@ -445,6 +518,7 @@ QUERIES.update(
         "csv_ratings": q_csv_ratings,
         "csv_pairs": q_csv_pairs,
         "csv_truth": q_csv_truth,
+        "csv_quarantine": q_csv_quarantine,
         "csv_predictions": q_csv_predictions,
     }
 )

@@ -6,10 +6,14 @@ directory of CSV part files (distributed), never a single file on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corate.session import materialize
+
 RATING_SCHEMA = T.StructType(
     [
         T.StructField("user_id", T.StringType(), False),
@@ -83,6 +87,70 @@ def read_pairs(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFr
     return raw.select(F.col(f"`{first}`").alias("user_id"), F.col(f"`{second}`").alias("item_id"))
 
 
+# Why a line of a file is set aside.
+BAD_FIELDS, BAD_ID, BAD_RATING = "fields", "id", "rating"
+
+
+@dataclass(frozen=True)
+class Ingest:
+    """What a tolerant read kept, and its counts: of all lines (headers apart), and of those set aside by reason."""
+
+    rows: DataFrame
+    n_lines: int
+    n_bad: dict[str, int]
+
+
+def _tagged(spark: SparkSession, path: str, names: list[str], rated: bool) -> DataFrame:
+    """The first columns of every line as ``names``, with ``reason`` (null: good) and ``line`` (the text of a bad one).
+
+    A line is bad if it has more or fewer fields than the header, if one of ``names`` is missing, or if
+    the rating is not a number.  Spark hands over the text of a line only where the number of fields is off; for the others it
+    is put together again from the fields.
+    """
+    header = _csv(spark, "PERMISSIVE").csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, "_line"]])
+    raw = _csv(spark, "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").option("enforceSchema", False).schema(schema).csv(path)
+    again = F.col("_line").isNull()
+    for name in header:
+        again = again & F.col(f"`{name}`").eqNullSafe(F.lit(name))
+    fields = [F.col(f"`{c}`") for c in header]
+    columns = [f.alias(n) for f, n in zip(fields, names, strict=False)]
+    missing = F.coalesce(F.trim(fields[0]), F.lit("")) == ""
+    missing = missing | (F.coalesce(F.trim(fields[1]), F.lit("")) == "")
+    reason = F.when(F.col("_line").isNotNull(), BAD_FIELDS).when(missing, BAD_ID)
+    if rated:
+        columns[2] = fields[2].try_cast("double").alias(names[2])
+        reason = reason.when(fields[2].try_cast("double").isNull(), BAD_RATING)
+    line = F.coalesce(F.col("_line"), F.array_join(F.array(*fields), ",", ""))
+    return raw.where(~again).select(*columns, reason.alias("reason"), F.when(reason.isNotNull(), line).alias("line"))
+
+
+def _ingest(spark: SparkSession, path: str, quarantine: str, names: list[str], rated: bool) -> Ingest:
+    seen = Observation()
+    reasons = [BAD_FIELDS, BAD_ID, *([BAD_RATING] if rated else [])]
+    tagged = _tagged(spark, path, names, rated).observe(
+        seen, F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("reason") == r).alias(r) for r in reasons]
+    )
+    tagged = materialize(tagged, "ingested")  # the file is parsed once; the counts are taken on the way
+    tagged.where("reason IS NOT NULL").select("reason", "line").write.mode("overwrite").json(quarantine)
+    counts = seen.get
+    return Ingest(tagged.where("reason IS NULL").select(*names), counts["n"], {r: counts[r] for r in reasons})
+
+
+def ingest_ratings(spark: SparkSession, path: str, quarantine: str) -> Ingest:
+    """``read_ratings`` that bad lines do not end: they are written to ``quarantine`` as JSON (reason, line).
+
+    One pass over the file.  The counts are observed by the tasks that write the parsed table; nothing is
+    collected but them.
+    """
+    return _ingest(spark, path, quarantine, ["user_id", "item_id", "rating"], True)
+
+
+def ingest_pairs(spark: SparkSession, path: str, quarantine: str) -> Ingest:
+    """``read_pairs`` in the same way."""
+    return _ingest(spark, path, quarantine, ["user_id", "item_id"], False)
+
+
 def read_truth_pairs(spark: SparkSession, path: str) -> DataFrame:
     """Ground-truth pair file ``id1, id2`` (header, extra columns ignored)."""
     pairs = read_pairs(spark, path)

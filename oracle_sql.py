@@ -500,7 +500,56 @@ def sql_als_factors() -> str:
 
 def sql_rmse_als() -> str:
     return with_(RATINGS_CTE, KNOWN_KEYS) + """
-SELECT count(*) AS n, true AS plausible FROM known k JOIN valid v ON v.user_id = k.user_id AND v.item_id = k.item_id"""
+SELECT count(*) AS n, true AS below_user_means FROM known k JOIN valid v ON v.user_id = k.user_id AND v.item_id = k.item_id"""
+
+
+def sql_als_item_factors() -> str:
+    return with_(RATINGS_CTE) + "\nSELECT DISTINCT item_id, true AS solves FROM train"
+
+
+def sql_als_objective() -> str:
+    return with_(RATINGS_CTE) + """
+SELECT iterations, true AS falls, (SELECT count(*) FROM train) AS n_ratings FROM (VALUES (1), (9), (27)) t(iterations)"""
+
+
+def _estimate(found: str, src: str, min_sim: float, sample: int = 200, z: float = 1.96) -> str:
+    return f""",
+e_iu AS (SELECT DISTINCT item_id, user_id FROM {src}),
+e_size AS (SELECT item_id, count(*) AS n FROM e_iu GROUP BY item_id),
+drawn AS (SELECT item_id FROM e_size ORDER BY md5(CAST(item_id AS VARCHAR)), item_id LIMIT {sample}),
+shared AS (
+  SELECT a.item_id AS a, b.item_id AS b, count(*) AS c
+  FROM e_iu a JOIN e_iu b ON a.user_id = b.user_id AND a.item_id <> b.item_id
+  WHERE a.item_id IN (SELECT item_id FROM drawn) GROUP BY 1, 2),
+truth AS (
+  SELECT DISTINCT least(a, b) AS id1, greatest(a, b) AS id2
+  FROM shared JOIN e_size x ON x.item_id = a JOIN e_size y ON y.item_id = b WHERE c / (x.n + y.n - c) >= {min_sim}),
+counts AS (
+  SELECT (SELECT count(*) FROM drawn) AS n_items, count(*) AS n_truth, count(f.id1) AS hits
+  FROM truth t LEFT JOIN (SELECT id1, id2 FROM {found} WHERE similarity >= {min_sim}) f ON f.id1 = t.id1 AND f.id2 = t.id2),
+p AS (SELECT *, CASE WHEN n_truth > 0 THEN hits / n_truth END AS p, CAST(n_truth AS DOUBLE) AS n FROM counts)
+SELECT n_items, n_truth, hits, round(p, 6) AS recall,
+       round((p + {z} * {z} / (2 * n) - {z} * sqrt(p * (1 - p) / n + {z} * {z} / (4 * n * n))) / (1 + {z} * {z} / n), 6) AS low,
+       round((p + {z} * {z} / (2 * n) + {z} * sqrt(p * (1 - p) / n + {z} * {z} / (4 * n * n))) / (1 + {z} * {z} / n), 6) AS high
+FROM p"""
+
+
+def sql_recall_estimate_docs(min_sim: float = 0.5) -> str:
+    return with_(DOC_PAIRS_CTE, family_values(), lsh_ctes("doc_pairs", "d")) + _estimate("d_jac", "doc_pairs", min_sim)
+
+
+def sql_recall_estimate_purchases(min_sim: float = 0.1) -> str:
+    return with_(PURCHASES_CTE, recall_ctes("purchases", "pu", min_sim)) + _estimate("pu_jac", "purchases", min_sim)
+
+
+def sql_csv_quarantine() -> str:
+    return with_(RATINGS_CTE) + """
+SELECT CAST(user_id AS VARCHAR) AS user_id, item_id, rating, NULL AS reason, NULL AS line FROM train
+UNION ALL
+SELECT NULL, NULL, NULL, CASE user_id % 4 WHEN 0 THEN 'fields' WHEN 1 THEN 'fields' WHEN 2 THEN 'rating' ELSE 'id' END,
+       CASE user_id % 4 WHEN 0 THEN user_id || ',' || item_id WHEN 1 THEN user_id || ',' || item_id || ',3,4'
+            WHEN 2 THEN user_id || ',' || item_id || ',three' ELSE ' ,' || item_id || ',3' END
+FROM valid"""
 
 
 REPEATED_CTE = """
@@ -575,6 +624,12 @@ ORACLE = {
     "als_explicit_factors": sql_als_factors(),
     "als_implicit_factors": sql_als_factors(),
     "rmse_als": sql_rmse_als(),
+    "als_explicit_item_factors": sql_als_item_factors(),
+    "als_implicit_item_factors": sql_als_item_factors(),
+    "als_objective": sql_als_objective(),
+    "recall_estimate_docs": sql_recall_estimate_docs(),
+    "recall_estimate_purchases": sql_recall_estimate_purchases(),
+    "csv_quarantine": sql_csv_quarantine(),
     "recommend_item": sql_predict_item_based(),
     "recommend_mean": sql_rmse_mean(),
     "recommend_user": sql_predict_user_based(),

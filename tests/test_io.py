@@ -63,3 +63,31 @@ def test_truth_file_feeds_precision_recall(spark):
     found = spark.createDataFrame([("b2", "b1"), ("b5", "b6")], "id1 string, id2 string")
     r = precision_recall(found, read_truth_pairs(spark, path)).first()
     assert (r.n_found, r.n_truth, r.hits, r.precision, r.recall) == (2, 2, 1, 0.5, 0.5)
+
+
+def test_bad_lines_are_set_aside_and_counted(spark):
+    from corate.sources.io import Ingest, ingest_pairs, ingest_ratings
+
+    text = (
+        "user_id,business_id,stars\nu1,b1,5\nu2,b2\nu3,b3,4,more\nu4,b4,four\n,b5,3\nu6,,3\nu7,b7,\n"
+        'user_id,business_id,stars\n"u,8",b8,2.5\nu9,b9,1e400\n'
+    )
+    aside = os.path.join(tempfile.mkdtemp(prefix="corate-aside-", dir="/tmp"), "bad")
+    found = ingest_ratings(spark, _write(text), aside)
+    assert isinstance(found, Ingest)
+    assert sorted(tuple(r) for r in found.rows.collect()) == [("u,8", "b8", 2.5), ("u1", "b1", 5.0), ("u9", "b9", float("inf"))]
+    assert (found.n_lines, found.n_bad) == (9, {"fields": 2, "id": 2, "rating": 2})
+    bad = spark.read.schema("reason string, line string").json(aside)
+    assert sorted(tuple(r) for r in bad.collect()) == [
+        ("fields", "u2,b2"), ("fields", "u3,b3,4,more"), ("id", ",b5,3"), ("id", "u6,,3"), ("rating", "u4,b4,four"), ("rating", "u7,b7,"),
+    ]
+    pairs = ingest_pairs(spark, _write(text), aside + "-pairs")
+    assert pairs.rows.columns == ["user_id", "item_id"] and pairs.rows.count() == 5
+    assert pairs.n_bad == {"fields": 2, "id": 2}
+
+
+def test_a_file_without_lines(spark):
+    from corate.sources.io import ingest_ratings
+
+    found = ingest_ratings(spark, _write("user_id,business_id,stars\n"), os.path.join(tempfile.mkdtemp(prefix="corate-aside-", dir="/tmp"), "bad"))
+    assert found.rows.collect() == [] and found.n_lines == 0
