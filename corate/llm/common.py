@@ -31,6 +31,14 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores added until no column of ``frames`` is called so (in any case)."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_columns_last(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns, replacing any of the same name (in any case) in ``df``."""
     names = {c.lower() for c in columns}
@@ -73,12 +81,13 @@ def without_ids(docs: DataFrame, id_col: str, gone: DataFrame, broadcast_rows: i
     Up to ``broadcast_rows`` ids go to every task, so that the texts stay where
     they are; more are joined by a shuffle.
     """
-    gone = small_side(gone.toDF("_gone").distinct(), broadcast_rows)
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
+    name = fresh("_gone", docs)
+    gone = small_side(gone.toDF(name).distinct(), broadcast_rows)
+    return docs.join(gone, docs[id_col].eqNullSafe(F.col(name)), "left_anti")
 
 
 def keyed_rows(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
-    """``docs`` and the column that tells its rows apart: ``id_col``, or ``_row_key`` if ids repeat or are null.
+    """``docs`` and the column that tells its rows apart: ``id_col``, or a new one if ids repeat or are null.
 
     Row keys follow the ids, null ones last, then a hash of the row.  Only a table that needs
     them is written with them; of the others the ids alone are shuffled.
@@ -87,15 +96,18 @@ def keyed_rows(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
     if found.where("_id IS NULL OR _rows > 1").isEmpty():
         return docs, id_col
     hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    # The row as one column, so that no name of the numbering can clash with one of its own.
     rows = docs.select(
-        "*",
-        F.col(id_col).isNull().alias("_no_id"),
-        F.xxhash64(*hashed).alias("_hash"),
-        F.monotonically_increasing_id().alias("_at"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id_col).isNull().alias("no_id"),
+        F.col(id_col).alias("id"),
+        F.xxhash64(*hashed).alias("hash"),
+        F.monotonically_increasing_id().alias("at"),
     )
     rows = materialize(rows, "rows")
-    keyed = number_rows(rows, ["_no_id", id_col, "_hash", "_at"], "_row_key").frame
-    return keyed.drop("_no_id", "_hash", "_at"), "_row_key"
+    key = fresh("_row_key", docs)
+    keyed = number_rows(rows, ["no_id", "id", "hash", "at"], "place").frame
+    return keyed.select("row.*", F.col("place").alias(key)), key
 
 
 # --- texts of an Arrow batch as flat byte arrays ---------------------------

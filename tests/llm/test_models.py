@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corate.llm import langid, quality, toxicity
+from corate.llm import langid, quality, queries, toxicity
 from corate.llm.common import Words, bounded_sample, text_slices
 
 SF = "/root/testdata/sf0.01"
@@ -214,3 +214,39 @@ def test_toxicity_edge_cases(spark):
     assert all(0 <= r.p_toxic <= 1 for r in toxicity.score_toxicity(table, chain).collect())
     assert toxicity.fit_toxicity(table, labels.limit(0), SEEDS) is None
     assert toxicity.score_toxicity(table.limit(0), chain).count() == 0
+
+
+def test_toxicity_query_by_language(spark):
+    """The registered query on the given labels, which it learns from: what it finds, and what it spares."""
+    found = queries.op10_toxicity(spark, SF)
+    assert found.columns == ["doc_id", "p_insult", "p_contempt", "score", "toxic"] and found.count() == 1000
+    labels, docs = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("labels", "documents"))
+    rows = found.join(labels.select("doc_id", F.col("toxic").alias("label")), "doc_id").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    hits = {x: [r.toxic for r in rows if r.label == 1 and r.lang == x] for x in ("en", "de", "es", "fr")}
+    assert all(np.mean(hits[x]) >= 0.9 for x in ("en", "de", "es"))  # five French examples are too few to learn from
+    assert sum(r.toxic for r in rows if r.label == 0) == 0
+
+
+def test_toxicity_of_held_out_documents(spark):
+    """Labels of four fifths of sf0.1, in four languages; the rest is held out."""
+    labels, docs = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("labels", "documents"))
+    away = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    chain = toxicity.fit_toxicity(docs, labels.where(~away), queries.TOXIC_SEEDS)
+    held = docs.join(labels.where(away).select("doc_id", "toxic"), "doc_id")
+    rows = toxicity.score_toxicity(held, chain).collect()
+    for lang in ("en", "de", "fr", "es"):
+        mine = [(r.p_toxic >= queries.TOXIC_THRESHOLD, r.toxic) for r in rows if r.lang == lang]
+        assert np.mean([p for p, t in mine if t]) >= 0.85, lang
+        assert np.mean([p for p, t in mine if not t]) <= 0.01, lang
+
+
+def test_stems_count_different_words():
+    texts = ["abcdefgone abcdefgtwo", "abcdefgone abcdefgone", "abcdefga abcdefgb abcdefgc abcdefgd"]
+    (_, data, offsets), = flat(texts)
+    doc, key, stem = toxicity.text_features(data, offsets)
+    counted = [set(key[(doc == d) & (stem != 0)].tolist()) for d in range(3)]
+    assert len(counted[0]) == 3 and counted[1] == set()  # one of each length; repeats of a word are one word
+    assert counted[0] < counted[2] and len(counted[2]) == 6
+    some = np.unique(stem[stem != 0])[:1]
+    again = toxicity.text_features(data, offsets, some)
+    assert set(again[2].tolist()) == {0, int(some[0])}
