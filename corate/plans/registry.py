@@ -364,7 +364,7 @@ def q_als_objective(spark: SparkSession, sf_dir: str) -> DataFrame:
     zero = train.agg(F.sum(F.col("rating") * F.col("rating")).alias("objective"))
     values = [zero.first()[0], *(objective(als_fit(train, valid, max_iter=n), train).first()[0] for n in (1, 9, MAX_ITER))]
     steps = [(n, after <= before * (1 + 1e-6)) for n, before, after in zip((1, 9, MAX_ITER), values, values[1:], strict=False)]
-    return spark.createDataFrame(steps, "iterations int, falls boolean").join(train.agg(F.count(F.lit(1)).alias("n_ratings")))
+    return spark.createDataFrame(steps, "iterations int, falls boolean").withColumn("n_ratings", train.select(F.count(F.lit(1))).scalar())
 
 
 def q_rmse_als(spark: SparkSession, sf_dir: str) -> DataFrame:
