@@ -27,17 +27,22 @@ WITH lines AS (
   FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS no
         FROM documents)),
-windows AS (
-  SELECT doc_id, no AS b, lead(no, 2) OVER w AS e, t AS l1, lead(t, 1) OVER w AS l2, lead(t, 2) OVER w AS l3
+solid AS (
+  SELECT doc_id, no, t, row_number() OVER w AS k, count(*) OVER (PARTITION BY doc_id) AS n,
+         lead(no, 1) OVER w AS no2, lead(no, 2) OVER w AS no3, lead(t, 1) OVER w AS l2, lead(t, 2) OVER w AS l3
   FROM lines WHERE t <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY no)),
+windows AS (  -- three lines, or all of a shorter text
+  SELECT doc_id, no AS b, coalesce(no3, no2, no) AS e, [t, l2, l3] AS key FROM solid WHERE l3 IS NOT NULL OR (k = 1 AND n < 3)),
 later AS (
-  SELECT doc_id, b, e FROM (
-    SELECT doc_id, b, e, row_number() OVER (PARTITION BY l1, l2, l3 ORDER BY doc_id, b) AS nth
-    FROM windows WHERE l3 IS NOT NULL)
+  SELECT doc_id, b, e, first FROM (
+    SELECT doc_id, b, e, row_number() OVER w AS nth, first_value({'d': doc_id, 'b': b, 'e': e}) OVER w AS first
+    FROM windows WINDOW w AS (PARTITION BY key ORDER BY doc_id, b))
   WHERE nth > 1),
 marked AS (
   SELECT l.doc_id, l.no, l.line, l.t,
-         l.t <> '' AND EXISTS (SELECT 1 FROM later x WHERE x.doc_id = l.doc_id AND l.no BETWEEN x.b AND x.e) AS gone
+         l.t <> '' AND EXISTS (SELECT 1 FROM later x WHERE x.doc_id = l.doc_id AND l.no BETWEEN x.b AND x.e)
+         AND NOT EXISTS (SELECT 1 FROM later x WHERE x.doc_id = l.doc_id AND x.first.d = l.doc_id AND x.b <= x.first.e
+                         AND l.no BETWEEN x.first.b AND x.first.e) AS gone
   FROM lines l)
 SELECT doc_id, count(*) FILTER (t <> '') AS n_lines, count(*) FILTER (gone) AS n_removed,
        coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '') AS text

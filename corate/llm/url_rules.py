@@ -5,7 +5,8 @@ array; the file with that array, the rule strings and the verdicts is written
 to the shared folder, Spark hands it to every executor, and each worker maps
 it into memory.  A batch of urls becomes one vector of probe keys (each host
 suffix with each path prefix whose length some rule has), found by binary
-search and confirmed on the stored strings, so that colliding keys do no harm.
+search and confirmed on the stored strings, so that colliding keys do no harm.  Only suffixes of as many labels
+as some rule has are probed, so a very long host costs no more than its length.
 
 Rule files are split into blocks of ``block_rules`` rules: each file is
 bounded whatever the length of the list.  A worker holds no copy of it.
@@ -25,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corate.llm.common import with_columns_last
+from corate.llm.common import fresh, with_columns_last
 from corate.session import ensure_checkpoint_dir
 
 RESULT = "host string, path string, rule string, verdict string"
@@ -58,11 +59,13 @@ def pack_rules(rules: Iterable[tuple[str, str, str]], digest: Callable[[str], in
     raw = [k.encode("utf-8", "surrogatepass") for k in keys]
     starts = np.cumsum([0, *map(len, raw)], dtype=np.int64)
     lengths = sorted({len(k) - k.find("/") if "/" in k else 0 for k in keys})
+    labels = sorted({k.partition("/")[0].count(".") + 1 for k in keys})
     return b"".join([
-        np.array([len(keys), len(lengths)], np.int64).tobytes(),
+        np.array([len(keys), len(lengths), len(labels)], np.int64).tobytes(),
         np.array([digest(k) for k in keys], np.uint64).tobytes(),
         starts.tobytes(),
         np.array(lengths, np.int64).tobytes(),
+        np.array(labels, np.int64).tobytes(),
         np.array([unique[k] for k in keys], np.uint8).tobytes(),
         b"".join(raw),
     ])
@@ -73,11 +76,12 @@ class RuleFile:
 
     def __init__(self, path: str):
         file = np.memmap(path, np.uint8, mode="r")
-        n, m = (int(x) for x in file[:16].view(np.int64))
-        at = 16
+        n, m, p = (int(x) for x in file[:24].view(np.int64))
+        at = 24
         self.digests, at = file[at : at + 8 * n].view(np.uint64), at + 8 * n
         self.starts, at = file[at : at + 8 * (n + 1)].view(np.int64), at + 8 * (n + 1)
         self.lengths, at = file[at : at + 8 * m].view(np.int64).tolist(), at + 8 * m
+        self.labels, at = file[at : at + 8 * p].view(np.int64).tolist(), at + 8 * p
         self.allow, at = file[at : at + n], at + n
         self.strings = file[at:]
 
@@ -96,6 +100,18 @@ class RuleFile:
         return found
 
 
+def host_suffixes(host: str, counts: list[int]) -> list[str]:
+    """The suffixes of a host of so many labels; ``counts`` ascend.  Only these can be the host of a rule."""
+    found, at, labels = [], len(host), 0
+    for count in counts:
+        while labels < count and at >= 0:
+            at, labels = host.rfind(".", 0, at), labels + 1
+        if labels < count:
+            break
+        found.append(host[at + 1 :])
+    return found
+
+
 def judge_urls(urls: Iterable[str | None], files: list[RuleFile], default: str, digest: Callable[[str], int] = xxh64) -> pd.DataFrame:
     parts = [split_url(u) for u in urls]
     best: list[tuple[tuple[int, int], str, str] | None] = [None] * len(parts)
@@ -104,8 +120,7 @@ def judge_urls(urls: Iterable[str | None], files: list[RuleFile], default: str,
         for k, (host, path) in enumerate(parts):
             if not host and not path:
                 continue
-            labels = host.split(".")
-            suffixes = [".".join(labels[i:]) for i in range(len(labels))]
+            suffixes = host_suffixes(host, file.labels)
             for size in file.lengths:
                 if size <= len(path):
                     keys += [s + path[:size] for s in suffixes]
@@ -170,6 +185,7 @@ def filter_urls(
     def judge(urls: pd.Series) -> pd.DataFrame:
         return judge_urls((u if isinstance(u, str) else None for u in urls), [_mapped(n) for n in names], default)
 
-    judged = df.withColumn("_judged", judge(F.col(url_col)))
-    columns = {c: F.col(f"_judged.{c}") for c in ("host", "path", "rule", "verdict")}
-    return with_columns_last(judged, columns).drop("_judged")
+    name = fresh("_judged", df)
+    judged = df.withColumn(name, judge(F.col(url_col)))
+    columns = {c: F.col(f"{name}.{c}") for c in ("host", "path", "rule", "verdict")}
+    return with_columns_last(judged, columns).drop(name)

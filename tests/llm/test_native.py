@@ -70,13 +70,20 @@ def test_exact_dedup_keeps_rows_and_columns(spark):
 def brute_lines(rows):
     solid = {i: [(n, x.strip(" \t\n\x0b\x0c\r")) for n, x in enumerate((t or "").split("\n"))] for i, t in rows}
     solid = {i: [x for x in s if x[1]] for i, s in solid.items()}
-    seen, gone = set(), {i: set() for i in solid}
+    first, gone = {}, {i: set() for i in solid}
+    kept = {i: set() for i in solid}
     for i in sorted(solid):
-        for k in range(len(solid[i]) - 2):
-            window = tuple(x[1] for x in solid[i][k : k + 3])
-            if window in seen:
-                gone[i] |= {x[0] for x in solid[i][k : k + 3]}
-            seen.add(window)
+        for k in range(max(1, len(solid[i]) - 2) if solid[i] else 0):
+            part = solid[i][k : k + 3]
+            key, lines = tuple(x[1] for x in part), [x[0] for x in part]
+            if key in first:
+                gone[i] |= set(lines)
+                j, own = first[key]
+                if i == j and set(own) & set(range(lines[0], lines[-1] + 1)):
+                    kept[i] |= set(own)
+            else:
+                first[key] = i, range(lines[0], lines[-1] + 1)
+    gone = {i: gone[i] - kept[i] for i in gone}
     return sorted(
         (i, "\n".join(x for n, x in enumerate((t or "").split("\n")) if n not in gone[i]), len(solid[i]), len(gone[i]))
         for i, t in rows
@@ -86,11 +93,19 @@ def brute_lines(rows):
 def test_line_dedup_equals_brute_force(spark):
     rng = random.Random(3)
     rows = [(i, "\n".join(rng.choice(["a", " a ", "b", "c", "", "d", " "]) for _ in range(rng.randint(0, 14)))) for i in range(60)]
+    rows += [(70, "a\nb"), (71, " a\nb\n"), (72, "solo"), (73, "solo"), (74, "q\nq\nq\nq"), (75, "x1\ny1\n" * 3), (76, "q\n\nq\nq\nq\nq")]
     rows += [(60, None), (61, ""), (62, "a\nb"), (63, "x\ny\nz\nx\ny\nz\nx"), (64, "\n".join("long" * 50 for _ in range(400)))]
     got = line_dedup(docs(spark, rows)).select("doc_id", "text", "n_lines", "n_removed")
     assert sorted(tuple(r) for r in got.collect()) == brute_lines(rows)
 
 
+def test_a_first_occurrence_stays(spark):
+    """Also where it is overlapped by the next one."""
+    rows = [(1, "a\na\na\na"), (2, "x\ny\nx\ny\nx\ny"), (3, "p\nq"), (4, "p\nq"), (5, "p\nq\nr")]
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup(docs(spark, rows)).collect()}
+    assert got == {1: ("a\na\na", 1), 2: ("x\ny\nx\ny", 2), 3: ("p\nq", 0), 4: ("", 2), 5: ("p\nq\nr", 0)}
+
+
 def test_line_dedup_edge_cases(spark):
     rows = [(1, "a\nb\nc", "k"), (1, "a\nb\nc", "k"), (None, "a\nb\nc", "k")]
     got = sorted((tuple(r) for r in line_dedup(docs(spark, rows, ", spans string")).select("doc_id", "text", "n_removed").collect()), key=str)
