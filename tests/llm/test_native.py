@@ -215,3 +215,23 @@ def test_colliding_digests_are_confirmed(tmp_path):
     urls = [f"http://h{i}.org/" for i in range(80)]
     got = url_rules.judge_urls(urls, [url_rules.RuleFile(str(path))], "allow", clash)
     assert list(got["verdict"]) == ["block"] * 50 + ["allow"] * 30
+
+
+def test_host_suffixes_and_long_hosts():
+    import time
+
+    from corate.llm.url_rules import host_suffixes, judge_urls, pack_rules, RuleFile
+
+    rng = random.Random(2)
+    for _ in range(300):
+        host = "".join(rng.choice("ab.") for _ in range(rng.randrange(9)))
+        counts = sorted(rng.sample(range(1, 6), 3))
+        labels = host.split(".")
+        assert host_suffixes(host, counts) == [".".join(labels[-n:]) for n in counts if n <= len(labels)]
+    rules = [("block", "b.example.com", "/x"), ("allow", "com", "/")]
+    with open("/tmp/corate-rules-test.bin", "wb") as f:
+        f.write(pack_rules(rules))
+    long = "http://" + "a." * 60000 + "b.example.com/x/" + "y" * 100000
+    start = time.time()
+    got = judge_urls([long, "http://" + "." * 60000 + "/", None], [RuleFile("/tmp/corate-rules-test.bin")], "allow")
+    assert got["rule"].tolist() == ["b.example.com/x", None, None] and time.time() - start < 5

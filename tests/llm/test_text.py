@@ -6,7 +6,10 @@ import re
 import numpy as np
 import pytest
 
-from corate.llm.decontaminate import GramIndex, banded_distance, decontaminate, find_contamination, find_regions, normalise
+from corate.llm import decontaminate as deco
+from corate.llm.decontaminate import (
+    GramIndex, banded_distance, decontaminate, find_contamination, find_pieces, find_regions, find_short, normalise, shorten_repeats,
+)
 from corate.llm.html_text import extract_main_text, main_text
 
 LONG = "A paragraph of the article with so many words that its text surges over any threshold at all, surely."
@@ -115,7 +118,7 @@ def test_every_match_within_the_rate_is_found():
     """Any stretch of 64 signs with at most 3 edits, or a short item with its share, against full alignment."""
     rng = random.Random(3)
     items = [" ".join(word(rng) for _ in range(n)) for n in (9, 12, 20, 40, 80)]
-    index = GramIndex.build(list(range(len(items))), items, 12, 0.05, 64)
+    index = GramIndex.build(list(range(len(items))), items, 12, 0.05, 64, 32, 4)
     texts, wanted = [], []
     for _ in range(300):
         t = rng.randrange(len(items))
@@ -151,13 +154,83 @@ def test_contamination_edge_cases(spark):
     for options in ({}, {"block_bytes": 10}):
         got = find_contamination(table, bench, **options)
         assert got.columns == ["doc_id", "text", "matches"]
-        found = sorted((str(r.doc_id), sorted({m.item for m in r.matches})) for r in got.collect())
-        assert found == sorted([("1", []), ("2", []), ("3", [1, 2]), ("3", [1, 2]), ("None", [1, 2]), ("4", []), ("5", [1, 2]), ("6", [])])
-    assert sorted(r.doc_id for r in decontaminate(table, bench).collect()) == [1, 2, 4, 6]
+        found = sorted((str(r.doc_id), sorted({str(m.item) for m in r.matches})) for r in got.collect())
+        all_three = ["1", "2", "None"]
+        want = [("1", []), ("2", []), ("3", all_three), ("3", all_three), ("None", all_three), ("4", ["5"]), ("5", all_three), ("6", [])]
+        assert found == sorted(want)
+    assert sorted(r.doc_id for r in decontaminate(table, bench).collect()) == [1, 2, 6]
     assert decontaminate(table, bench.limit(0)).count() == len(rows)
     assert decontaminate(table.limit(0), bench).count() == 0
 
 
+def index_of(items, **options):
+    return GramIndex.build(list(range(len(items))), items, **({"q": 12, "rate": 0.05, "window": 64, "least": 32, "short_words": 4} | options))
+
+
+def test_short_items_stand_between_words():
+    items = ["one two three 4", "just two", "a b c d", "!!", "é"]
+    texts = ["so one TWO, three 4 end", "one two three 45", "just two", "not just two", "xa b c d", "a b c d a b c d", "e", "É", "é"]
+    data, offsets = deco.plain(*flat(texts))
+    found = sorted(m[:4] for m in find_short(index_of(items), data, offsets))
+    assert found == [(0, 0, 3, 18), (2, 1, 0, 8), (5, 2, 0, 7), (8, 4, 0, 2)]
+
+
+def test_an_index_comes_back_from_its_file(tmp_path):
+    rng = random.Random(7)
+    for items in ([" ".join(word(rng) for _ in range(30)) for _ in range(5)] + ["a b c d e"], ["a b c d e"], []):
+        index = index_of(items)
+        (tmp_path / "index").write_bytes(index.packed())
+        back = GramIndex.mapped(str(tmp_path / "index"))
+        data, offsets = deco.plain(*flat([f"x {items[0]} y" if items else "x", "a b c d e"]))
+        for find in (find_pieces, find_short):
+            assert find(back, data, offsets) == find(index, data, offsets)
+        assert back.ids == index.ids
+
+
+def test_repeated_patterns_are_shortened():
+    rng = random.Random(9)
+    texts = ["a" * 20000, "ab " * 5000 + "end", "x" * 400, "begin " + "0123456789" * 300 + " end", "ab" * 100 + "ba" * 100, "q" * 513, "q" * 512 + "r"]
+    texts += [" ".join(word(rng) for _ in range(300)), "", "q" * 3000]
+    data, offsets = shorten_repeats(*normalise(*flat(texts)))
+    got = [bytes(data[a:b]).decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    for before, after in zip(texts, got, strict=True):
+        assert len(after) <= len(before) and len(after) >= min(len(before), 512)
+    assert got[0] == "a" * 512 and got[1].startswith("ab ab ") and got[1].endswith("ab end") and len(got[1]) < 530
+    assert got[2] == texts[2] and got[3].endswith("789 end") and len(got[3]) < 540 and got[4] == texts[4]
+    assert got[5] == got[9] == "q" * 512 and got[6] == texts[6] and got[7] == texts[7] and got[8] == ""
+
+
+def test_repetitive_texts_take_little(spark):
+    """Positions times positions of one q-gram would be 40 million and more."""
+    import resource
+    import time
+
+    items = ["a" * 2000, "ab cd " * 400, " ".join(f"w{k}" for k in range(40)) * 30]
+    index = index_of(items)
+    before, start = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
+    texts = ["a" * 20000, "a" * 100000, "ab cd " * 20000, (" ".join(f"w{k}" for k in range(40)) + " ") * 20, "a" * 1000 + " clean"]
+    data, offsets = deco.plain(*flat(texts))
+    found = {(m[0], m[1]) for m in find_pieces(index, data, offsets)}
+    assert {(0, 0), (1, 0), (2, 1), (3, 2)} <= found
+    assert time.time() - start < 20
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # kB
+
+
+def test_pieces_find_what_the_whole_text_holds(monkeypatch):
+    rng = random.Random(11)
+    items = [" ".join(word(rng) for _ in range(n)) for n in (12, 30, 60)]
+    index = index_of(items)
+    texts = []
+    for _ in range(30):
+        parts = [" ".join(word(rng) for _ in range(rng.randrange(400))) for _ in range(4)]
+        texts.append(" ".join([parts[0], rng.choice(items), parts[1], rng.choice(items)[10:], *parts[2:]]))
+    data, offsets = deco.plain(*flat(texts))
+    whole = {(m[0], m[1]) for m in find_regions(index, data, offsets)}
+    monkeypatch.setattr(deco, "PIECE", 300)
+    assert {(m[0], m[1]) for m in find_pieces(index, data, offsets)} == whole
+    assert len(whole) >= 30
+
+
 def test_query_equals_brute_force(spark):
     from corate.llm.queries import op1_decontamination
 
