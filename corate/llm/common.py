@@ -10,6 +10,8 @@ Conventions that hold for every operator:
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -69,6 +71,21 @@ def bounded_sample(df: DataFrame, label: str, per_label: int, key: str, seed: in
     )
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Within the block jobs hand Python at most ``rows`` rows at once, so that a batch of texts is small on both sides.
+
+    For steps that run inside the block (those that are written), not for plans that outlive it.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def small_side(df: DataFrame, rows: int) -> DataFrame:
     """``df``, written and counted: marked for broadcast if it has at most ``rows`` rows, else left to a shuffle join."""
     df = materialize(df, "small-side")

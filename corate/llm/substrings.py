@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from corate.llm.common import Words, keyed_rows, mix, text_of, text_slices, without_ids
+from corate.llm.common import Words, arrow_rows, keyed_rows, mix, text_of, text_slices, without_ids
 from corate.session import materialize
 
 BYTES = np.arange(256, dtype=np.uint8)
@@ -352,7 +352,7 @@ def substring_dedup(
     text_col: str = "text",
     window: int = 50,
     gram: int = 16,
-    block: int = 512,
+    block: int = 256,
     broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """One row per input row: ``id_col``, n_words, n_removed, kept_sha256.
@@ -365,27 +365,28 @@ def substring_dedup(
     if not 0 < gram <= window:
         raise ValueError("gram must be in 1 .. window")
     task = RelativeParse(window, gram, block)
-    rows, key = keyed_rows(docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")), "id")
-    rows = rows.select(F.col(key).alias("node"), "id", "text")
-    parsed = rows.select("node", "id", parse_texts(F.col("text"), window, gram).alias("p")).select("node", "id", "p.*")
-    parsed = materialize(parsed, "anchors")
-
-    first = parsed.where(F.col("n") >= window).groupBy("digest").agg(
-        F.min(F.struct("node", "id")).alias("first"), F.count(F.lit(1)).alias("copies")
-    )
-    first = materialize(first.where("copies > 1").select("digest", "first"), "copied")
-    copies = parsed.select("node", "id", "n", "digest").join(first, "digest").where("node <> first.node")
-    copies = materialize(
-        copies.select("node", F.col("first.node").alias("original"), "n", F.col("id").eqNullSafe(F.col("first.id")).alias("same")), "copies"
-    )
-    singles = without_ids(parsed, "node", copies.select("node"), broadcast_rows)
-
-    asked = task.asked(singles)
-    texts = task.texts(rows, asked, broadcast_rows)
-    spans = task.spans(task.parsed(task.segments(texts), task.blocks(texts)))
-    spans = spans.groupBy("node").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    changed = texts.select("node", "text").join(spans, "node").select("node", kept_words(F.col("text"), F.col("spans")).alias("k"))
-    changed = materialize(changed.select("node", "k.*"), "changed")
+    with arrow_rows(docs.sparkSession, ROWS):  # all of these steps are written
+        rows, key = keyed_rows(docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")), "id")
+        rows = rows.select(F.col(key).alias("node"), "id", "text")
+        parsed = rows.select("node", "id", parse_texts(F.col("text"), window, gram).alias("p")).select("node", "id", "p.*")
+        parsed = materialize(parsed, "anchors")
+
+        first = parsed.where(F.col("n") >= window).groupBy("digest").agg(
+            F.min(F.struct("node", "id")).alias("first"), F.count(F.lit(1)).alias("copies")
+        )
+        first = materialize(first.where("copies > 1").select("digest", "first"), "copied")
+        copies = parsed.select("node", "id", "n", "digest").join(first, "digest").where("node <> first.node")
+        copies = materialize(
+            copies.select("node", F.col("first.node").alias("original"), "n", F.col("id").eqNullSafe(F.col("first.id")).alias("same")), "copies"
+        )
+        singles = without_ids(parsed, "node", copies.select("node"), broadcast_rows)
+
+        asked = task.asked(singles)
+        texts = task.texts(rows, asked, broadcast_rows)
+        spans = task.spans(task.parsed(task.segments(texts), task.blocks(texts)))
+        spans = spans.groupBy("node").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+        changed = texts.select("node", "text").join(spans, "node").select("node", kept_words(F.col("text"), F.col("spans")).alias("k"))
+        changed = materialize(changed.select("node", "k.*"), "changed")
 
     nothing = F.sha2(F.lit(""), 256)
     whole = copies.where("NOT same").select("node", F.col("n").alias("n_removed"), nothing.alias("sha"))

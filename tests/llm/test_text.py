@@ -34,6 +34,13 @@ LONG = "A paragraph of the article with so many words that its text surges over
         ("<article><p title=don't>x</p><p>it's</p></article>", "x\n\nit's"),
         ("<article><p>x</p></article>" + "<a" * 50000, "x"),
         ("<a" * 50000, "<a" * 50000),
+        (f"<div class='content with-sidebar'><article><p>{LONG}</p></article><div class=sidebar>no</div></div>", LONG),
+        (f"<div class='comments'><article><p>{LONG}</p></article></div><article>own</article>", "own"),
+        (f"<a name=top><p>{LONG}</p>", LONG),
+        (f"<p><a href=x>Home<p>{LONG}</p>", LONG),
+        (f"<article><p>teaser</p></article><div>{f'<p>{LONG}</p>' * 5}</div>", "teaser" + f"\n\n{LONG}" * 5),
+        (f"<article><p>short</p></article><div><p>{LONG}</p></div>", "short"),
+        ("<p>" + "漢字" * 60 + "</p>", "漢字" * 60),
         ("<article><p title='a > b'>x</p><p title=\"open>y</p></article>", "x\n\ny"),
     ],
 )
@@ -41,6 +48,24 @@ def test_main_text(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    "unit", ["<![CDATA[", "<script ", "<!--", "<div>", "<a href=x>", "<p title='", "</x>", "<div></x>", "<article>", "<textarea", "&", "<!"]
+)
+def test_time_grows_with_the_page(unit):
+    import time
+
+    for n in (20_000, 80_000):
+        start = time.time()
+        main_text(f"<p>{LONG}</p>" + unit * n + "end")
+        assert time.time() - start < 5
+
+
+def test_pages_without_their_marks_give_the_same(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    same = [main_text(r.html) == main_text(re.sub(r"</?(article|main)\b[^>]*>", "", r.html or "")) for r in rows]
+    assert sum(same) == len(rows) == 250
+
+
 def test_extraction_on_a_table(spark):
     page = "<article><p>" + "é word " * 50000 + "</p></article>"
     rows = [(1, "u", page, "old"), (2, None, None, "old"), (2, None, None, "old")]
