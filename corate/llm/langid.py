@@ -7,8 +7,8 @@ of a document are the mean over its positions.  Texts are read in pieces of
 count of one batch and thousands of pieces advance together.
 
 Training is backpropagation through time in numpy, with Adam, on the driver, on a
-bounded sample: ``per_label`` documents of each language, and of each of them at
-most ``pieces_per_doc`` evenly spaced pieces.  Prediction reads whole texts.
+bounded sample: all pieces of ``per_label`` documents of each language.  Prediction reads whole texts, long
+ones some pieces at a time.
 """
 
 from __future__ import annotations
@@ -20,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corate.llm.common import LOWER, bounded_sample, small_side, text_of, text_slices, with_columns_last
+from corate.llm.common import LOWER, bounded_sample, fresh, small_side, text_of, text_slices, with_columns_last
 
 UNDETERMINED = "und"
+LONG = 8192  # pieces of one text that are laid out at once
 _PAD = 256  # the symbol after the end of a text
 
 
@@ -166,14 +167,17 @@ def train_gru(
     batch: int = 256,
     rate: float = 0.03,
     seed: int = 42,
+    pool: np.ndarray | None = None,
 ) -> ByteGru:
+    """Adam on batches drawn from the pieces, or from ``pool``, numbers of pieces that may repeat."""
+    pool = np.arange(len(label)) if pool is None else pool
     rng = np.random.default_rng(seed)
     model = ByteGru.start(languages, hidden, seed)
     p = model.weights
     m, v = ({k: np.zeros_like(w) for k, w in p.items()} for _ in range(2))
     for step in range(1, steps + 1):
-        pick = rng.integers(0, len(label), batch)
-        _, grads = model.gradients(symbols[:, pick], valid[pick], label[pick])
+        pick = pool[rng.integers(0, len(pool), batch)]
+        _, grads = model.gradients(symbols[:, pick].astype(np.int64), valid[pick], label[pick])
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         pace = rate * (1 - 0.9 * step / steps)
         for k, g in grads.items():
@@ -186,6 +190,10 @@ def train_gru(
 
 def document_probabilities(model: ByteGru, data: np.ndarray, offsets: np.ndarray, piece: int) -> np.ndarray:
     """The mean over all positions of each text; zeros for an empty one."""
+    if len(offsets) == 2 and len(data) > LONG * piece:  # one long text, cut where pieces are cut
+        cuts = range(0, len(data), LONG * piece)
+        parts = [data[a : a + LONG * piece] for a in cuts]
+        return sum(document_probabilities(model, p, np.array([0, len(p)]), piece) * len(p) for p in parts) / len(data)
     symbols, valid, doc = pieces(data, offsets, piece)
     totals = np.zeros((len(offsets) - 1, len(model.languages)))
     for at in range(0, len(doc), 2048):  # small enough for the processor's cache
@@ -202,13 +210,12 @@ def fit_language(
     text_col: str = "text",
     lang_col: str = "lang",
     per_label: int = 300,
-    pieces_per_doc: int = 8,
     piece: int = 96,
     seed: int = 42,
 ) -> ByteGru | None:
     """Learn from the rows with a text and a language; null if there are none.
 
-    ``per_label`` documents of each language are drawn; languages are as many as the column has.
+    ``per_label`` documents of each language are drawn, and learned from as a whole; languages are as many as the column has.
     """
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     chosen = bounded_sample(known.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang")), "_lang", per_label, "_id", seed)
@@ -221,27 +228,23 @@ def fit_language(
             langs = batch.column(0).to_pylist()
             for at, data, offsets in text_slices(batch.column(1)):
                 symbols, valid, doc = pieces(data, offsets, piece)
-                for d in range(len(offsets) - 1):
-                    own = np.flatnonzero(doc == d)
-                    if len(own) > pieces_per_doc:
-                        own = own[np.linspace(0, len(own) - 1, pieces_per_doc).astype(int)]
-                    yield pa.record_batch({
-                        "lang": pa.array([langs[at + d]] * len(own), pa.string()),
-                        "symbols": pa.array([symbols[:, k].astype("<i2").tobytes() for k in own], pa.binary()),
-                        "valid": pa.array(valid[own], pa.int32()),
-                    })
+                yield pa.record_batch({
+                    "lang": pa.array([langs[at + d] for d in doc.tolist()], pa.string()),
+                    "symbols": pa.array([x.tobytes() for x in np.ascontiguousarray(symbols.T, "<i2")], pa.binary()),
+                    "valid": pa.array(valid, pa.int32()),
+                })
 
     got = sample.mapInArrow(cut, "lang string, symbols binary, valid int").toPandas()
     if got.empty:
         return None
     got = got.sort_values(["lang", "symbols"], kind="stable")  # the same order in every run
     languages = sorted(got["lang"].unique())
-    symbols = np.stack([np.frombuffer(s, "<i2") for s in got["symbols"]], 1).astype(np.int64)
+    symbols = np.stack([np.frombuffer(s, "<i2") for s in got["symbols"]], 1)
     label = got["lang"].map({name: i for i, name in enumerate(languages)}).to_numpy()
     # Even out the languages, which differ in how many pieces they have.
     counts = np.bincount(label)
     pick = np.concatenate([np.resize(np.flatnonzero(label == k), counts.max()) for k in range(len(languages))])
-    return train_gru(languages, symbols[:, pick], got["valid"].to_numpy()[pick], label[pick], seed=seed)
+    return train_gru(languages, symbols, got["valid"].to_numpy(), label, pool=pick, seed=seed)
 
 
 def predict_language(docs: DataFrame, model: ByteGru | None, text_col: str = "text", piece: int = 96) -> DataFrame:
@@ -266,10 +269,11 @@ def predict_language(docs: DataFrame, model: ByteGru | None, text_col: str = "te
             [pa.array(np.array(names, object)[lang], pa.string()), pa.array(score)], names=["lang", "score"]
         )
 
-    judged = docs.withColumn("_lang", predict(F.col(text_col)))
+    own = fresh("_lang", docs)
+    judged = docs.withColumn(own, predict(F.col(text_col)))
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     columns = {
-        "lang_pred": F.when(letters, F.col("_lang.lang")).otherwise(UNDETERMINED),
-        "score": F.when(letters, F.col("_lang.score")).otherwise(0.0),
+        "lang_pred": F.when(letters, F.col(f"{own}.lang")).otherwise(UNDETERMINED),
+        "score": F.when(letters, F.col(f"{own}.score")).otherwise(0.0),
     }
-    return with_columns_last(judged, columns).drop("_lang")
+    return with_columns_last(judged, columns).drop(own)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corate.llm.common import WORD, text_of
+from corate.llm.common import WORD, fresh, keyed_rows, text_of, with_columns_last
 from corate.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -112,19 +112,14 @@ def mix_sources(
     size is the number of words; taken the words that the mix reads of the
     document, repeats counted, at most ``most`` times its size.  Sources by code
     point, null last, have ``weights`` in turn.  A source without words gets
-    nothing.  Rows that repeat an id and a text are separate rows of the mix; equal rows are
+    nothing.  Rows that repeat an id or have none are separate rows of the mix, spread like others by a row key; equal rows are
     interchangeable.  An empty table gives an empty result.
     """
-    spread = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
-    sized = materialize(
-        docs.select(
-            F.col(id_col).alias("id"),
-            F.col(source_col).alias("source"),
-            word_count(text_of(text_col)).alias("size"),
-            spread.alias("spot"),
-        ),
-        "mix-sizes",
-    )
+    own = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), text_of(text_col).alias("text"))
+    rows, key = keyed_rows(own, "id")  # so that rows without an id, or with one id, do not share a spot
+    spread = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    sized = rows.select("id", "source", word_count(F.col("text")).alias("size"), spread.alias("spot"))
+    sized = materialize(sized, "mix-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, most)
     whole = Window.partitionBy()
@@ -185,19 +180,18 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows with equal id, source and size get the highest ``taken`` among them.
     Input columns named like the added ones are replaced.
     """
-    plan = mix_sources(docs, id_col, text_col, source_col, **options).select(
-        F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), "size", "source_size", "target", "taken"
-    )
+    plan = mix_sources(docs, id_col, text_col, source_col, **options)
+    of, found, size = (fresh(c, docs) for c in ("_of", "_found", "_words"))
     plan = (
         plan.where("taken > 0")
-        .groupBy("_id", "_source", "size")
-        .agg(F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.max("taken").alias("taken"))
-    )
-    added = {"size", "source_size", "target", "taken"}
-    own = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in added]).withColumn(
-        "_size", word_count(text_of(text_col))
+        .groupBy(F.struct(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col("size").alias("size")).alias(of))
+        .agg(F.struct(F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.max("taken").alias("taken")).alias(found))
     )
+    own = docs.withColumn(size, word_count(text_of(text_col)))
     same = (
-        own[id_col].eqNullSafe(plan["_id"]) & own[source_col].eqNullSafe(plan["_source"]) & (own["_size"] == plan["size"])
+        own[id_col].eqNullSafe(F.col(f"{of}.id"))
+        & own[source_col].eqNullSafe(F.col(f"{of}.source"))
+        & (F.col(size) == F.col(f"{of}.size"))
     )
-    return own.join(plan, same).drop("_id", "_source", "_size")
+    added = {c: F.col(f"{found}.{c}") for c in ("source_size", "target", "taken")}
+    return with_columns_last(own.join(plan, same), {"size": F.col(size), **added}).drop(of, found, size)

@@ -8,8 +8,7 @@ The encoding passes a hidden layer; gated attention,
 
 weighs the passages; the score is a logistic function of sum a_k h_k.  All
 weights are learned from document labels alone, by backpropagation in numpy on a
-bounded sample: ``per_label`` documents of each label with at most
-``max_passages`` evenly spaced passages each.  Scoring reads every passage.
+bounded sample: every passage of ``per_label`` documents of each label.  Scoring reads every passage.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corate.llm.common import Words, bounded_sample, distinct_per_doc, mix, text_of, text_slices, with_columns_last
+from corate.llm.common import Words, bounded_sample, distinct_per_doc, fresh, mix, text_of, text_slices, with_columns_last
 from corate.session import materialize
 
 _IS = {
@@ -177,10 +176,6 @@ def train_attention(
     return model
 
 
-def _evenly(n: int, most: int) -> np.ndarray:
-    return np.arange(n) if n <= most else np.linspace(0, n - 1, most).round().astype(int)
-
-
 def fit_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -188,15 +183,14 @@ def fit_quality(
     text_col: str = "text",
     label_col: str = "quality",
     per_label: int = 1000,
-    max_passages: int = 64,
     passage_words: int = 50,
     seed: int = 42,
 ) -> AttentionModel | None:
     """Learn from ``docs`` with a 0/1 label in ``labels``; null if there are none.
 
     Rows with a null id or label are left out, and labels without a document in ``docs``.
-    Of several labels of one id the highest counts.  The sample keeps the labels' true
-    proportions by weights.
+    Of several labels of one id the highest counts.  The sample, ``per_label`` documents of each label, keeps the labels' true
+    proportions by weights; all passages of its texts are learned from.
     """
     known = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
@@ -214,7 +208,7 @@ def fit_quality(
             label = batch.column(0).to_numpy(zero_copy_only=False)
             for at, data, offsets in text_slices(batch.column(1)):
                 first, x = encode_passages(data, offsets, passage_words)
-                kept = [x[a:b][_evenly(b - a, max_passages)] for a, b in zip(first[:-1], first[1:], strict=True)]
+                kept = [x[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.record_batch({
                     "label": pa.array(label[at : at + len(kept)], pa.int32()),
                     "rows": pa.array([k.astype("<f4").tobytes() for k in kept], pa.binary()),
@@ -249,5 +243,6 @@ def score_quality(
                 out[at : at + len(offsets) - 1] = model.forward(x, first)["y"]
         return pa.array(out)
 
-    scored = docs.withColumn("_score", score(F.col(text_col)))
-    return with_columns_last(scored, {name: F.col("_score")}).drop("_score")
+    own = fresh("_score", docs)
+    scored = docs.withColumn(own, score(F.col(text_col)))
+    return with_columns_last(scored, {name: F.col(own)}).drop(own)

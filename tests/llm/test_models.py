@@ -250,3 +250,44 @@ def test_stems_count_different_words():
     some = np.unique(stem[stem != 0])[:1]
     again = toxicity.text_features(data, offsets, some)
     assert set(again[2].tolist()) == {0, int(some[0])}
+
+
+def test_a_long_text_in_parts(monkeypatch):
+    model = langid.ByteGru.start(["a", "b", "c"], 8, 1)
+    rng = np.random.default_rng(1)
+    data = rng.integers(97, 110, 5000).astype(np.uint8)
+    whole = langid.document_probabilities(model, data, np.array([0, 5000]), 96)
+    monkeypatch.setattr(langid, "LONG", 7)
+    assert np.allclose(langid.document_probabilities(model, data, np.array([0, 5000]), 96), whole, atol=1e-6)
+
+
+def test_extra_columns_come_back_unchanged(spark):
+    """Every operator that returns its input's columns, given columns with names that it uses inside."""
+    from corate.llm.decontaminate import decontaminate
+    from corate.llm.exact import exact_dedup
+    from corate.llm.html_text import extract_main_text
+    from corate.llm.lines import line_dedup
+    from corate.llm.mixing import mixed_documents
+    from corate.llm.near import near_dedup
+    from corate.llm.url_rules import filter_urls
+
+    names = [
+        "_gone", "_no_id", "_hash", "_at", "_part", "_row", "_row_key", "_rows", "_id", "_print", "_spans", "_text", "_source", "_size", "_lang",
+        "_score", "_p", "_matches", "_judged", "_of", "_found", "_new", "_words", "_label", "_spot", "_nth", "id", "print", "key", "n", "row",
+    ]
+    texts = ["one two three four five six", "one two three four five six", "a\nb\nc\nd", "a\nb\nc", None, "clean words of its own"]
+    rows = [(i, t, "s", "http://x.com/a", "<p>hello</p>", *[f"{n}{i}" for n in names]) for i, t in zip([1, 1, 2, 3, None, 5], texts, strict=True)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, url string, html string, " + ", ".join(f"`{n}` string" for n in names))
+    bench = spark.createDataFrame([(1, "nothing of this occurs anywhere in the documents at all")], "item_id long, text string")
+    calls = {
+        "exact": exact_dedup, "near": near_dedup, "lines": line_dedup, "mix": mixed_documents, "clean": lambda d: decontaminate(d, bench),
+        "urls": lambda d: filter_urls(d, queries.URL_RULES), "html": extract_main_text,
+        "quality": lambda d: quality.score_quality(d, None), "language": lambda d: langid.predict_language(d, None),
+        "toxicity": lambda d: toxicity.score_toxicity(d, None),
+    }
+    own = {tuple(r[n] for n in names) for r in table.collect()}
+    for what, call in calls.items():
+        got = call(table)
+        assert set(names) <= set(got.columns), what
+        found = [tuple(r[n] for n in names) for r in got.collect()]
+        assert found and set(found) <= own, what
