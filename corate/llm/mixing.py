@@ -3,7 +3,8 @@
 The mix is counted in blocks of ``block_words`` words.  Blocks are allocated by
 the highest quotients, target / (2 k + 1) for the k-th block: first to sources,
 then from each source to bands of shards, and from each band to its shards, so
-that no step ranks more than a bounded number of rows in one task.  A shard
+that no step ranks more than a bounded number of rows in one task (the sources themselves, where they are more than ``CHUNK``,
+are ranked by range sorts and summed up in two levels).  A shard
 holds about ``shard_words`` words of one source in a seeded order of documents.
 Its integer quota is met by whole passes over its blocks and one further run of
 blocks from a seeded start, wrapping round; since the order is random, so is the
@@ -16,15 +17,67 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corate.llm.common import WORD, fresh, keyed_rows, text_of, with_columns_last
+from corate.operators.index import number_rows
 from corate.session import materialize
 
 WEIGHTS = (5, 2, 1)
+# Sources that one task ranks; more are ranked by range sorts.
+CHUNK = 4096
 
 
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
+def running_sums(rows: DataFrame, order: list[str], columns: list[str], chunk: int = CHUNK) -> DataFrame:
+    """``rows`` with place (from 0, in a total order) and, for each column c, c_before: its sum over the rows before.
+
+    A range sort numbers the rows; they are summed up in chunks, and the chunks' sums, one row for ``chunk`` rows,
+    in one more level.
+    """
+    numbered = number_rows(rows, order, "place").frame.withColumn("chunk", F.floor(F.col("place") / chunk))
+    before = lambda key, *part: Window.partitionBy(*part).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    totals = numbered.groupBy("chunk").agg(*[F.sum(c).alias(c) for c in columns])
+    starts = totals.select("chunk", *[F.coalesce(F.sum(c).over(before("chunk")), F.lit(0)).alias(f"{c}_start") for c in columns])
+    inner = [F.coalesce(F.sum(c).over(before("place", "chunk")), F.lit(0)).alias(f"{c}_inner") for c in columns]
+    found = numbered.select("*", *inner).join(starts, "chunk")
+    found = found.withColumns({f"{c}_before": F.col(f"{c}_start") + F.col(f"{c}_inner") for c in columns})
+    return found.drop("chunk", *[f"{c}_{x}" for c in columns for x in ("start", "inner")])
+
+
+def many_targets(sizes: DataFrame, weights: tuple[int, ...], most: int, chunk: int = CHUNK) -> DataFrame:
+    """``source_targets`` for any number of sources: no task ranks more than ``chunk`` of them."""
+    cycle = F.array(*[F.lit(w).cast("long") for w in weights])
+    named = number_rows(sizes.withColumn("last", F.col("source").isNull()), ["last", "source"], "nth").frame.drop("last")
+    ranked = named.withColumn("weight", F.element_at(cycle, (F.col("nth") % len(weights) + 1).cast("int")))
+    ranked = materialize(ranked.withColumn("cap", F.col("source_size") / F.col("weight")), "mix-ranked")
+    filled = running_sums(ranked, ["cap", "nth"], ["source_size", "weight"], chunk)
+    total = ranked.select(F.struct(F.sum("source_size").alias("size"), F.sum("weight").alias("weight"))).scalar()
+    level = (total["size"] - most * F.col("source_size_before")) / (total["weight"] - F.col("weight_before"))
+    levels = filled.withColumn("level", level).withColumn("free", F.col("level") * F.col("weight") < most * F.col("source_size"))
+    levels = materialize(levels, "mix-levels")
+    at = levels.where("free").select(F.max("level")).scalar()
+    target = F.when(F.col("free"), at * F.col("weight")).otherwise(F.col("source_size") * F.lit(float(most)))
+    return levels.select("source", "nth", "source_size", target.cast("double").alias("target"))
+
+
+def many_quotas(rows: DataFrame, item: str, weight: str, seats: int, name: str) -> DataFrame:
+    """``sainte_lague`` of one group of any number of items: the open quotients are ranked by a range sort."""
+    whole = rows.agg(F.sum(weight).cast("double"), F.count(F.lit(1))).first()
+    total, n = whole[0] or 0.0, whole[1]
+    if total <= 0:
+        return rows.withColumn(name, F.lit(0).cast("long"))
+    share = lambda s: F.col(weight) * F.lit(s) / F.lit(total)
+    low = F.greatest(F.lit(0), F.ceil(share(seats - n / 2.0) - 0.5) - 1).cast("long")
+    high = F.floor(share(seats + n / 2.0) + 0.5).cast("long") + 1
+    sure = rows.withColumn("low", low)
+    left = seats - (sure.agg(F.sum("low")).first()[0] or 0)
+    open_ = sure.where(F.col(weight) > 0).select(item, weight, F.explode(F.sequence("low", high)).alias("k"))
+    open_ = open_.select(item, "k", (-F.col(weight) / (2 * F.col("k") + 1)).alias("q"))
+    won = number_rows(open_, ["q", item, "k"], "place").frame.where(F.col("place") < left).groupBy(item).agg(F.count(F.lit(1)).alias("won"))
+    return sure.join(won, item, "left").withColumn(name, F.col("low") + F.coalesce("won", F.lit(0))).drop("low", "won")
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
     """source, source_size, target: weights by rank, none above ``most`` times its size.
 
@@ -106,6 +159,7 @@ def mix_sources(
     shard_words: int = 250_000,
     shards_per_band: int = 1024,
     seed: int = 42,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """One row per document: its id and source, size, source_size, target (its source's) and taken.
 
@@ -121,13 +175,18 @@ def mix_sources(
     sized = rows.select("id", "source", word_count(F.col("text")).alias("size"), spread.alias("spot"))
     sized = materialize(sized, "mix-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sizes, weights, most)
-    whole = Window.partitionBy()
-    targets = targets.withColumn("blocks", F.round(F.sum("source_size").over(whole) / block_words).cast("long"))
-    sources = sainte_lague(targets, ["blocks"], "nth", "target", "blocks", "quota").withColumn(
-        "n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")
-    )
-    sources = materialize(sources.drop("blocks"), "mix-sources")
+    sizes = materialize(sizes, "mix-source-sizes")
+    n, words = sizes.agg(F.count(F.lit(1)), F.sum("source_size")).first()
+    if n <= chunk:
+        targets = source_targets(sizes, weights, most)
+        whole = Window.partitionBy()
+        targets = targets.withColumn("blocks", F.round(F.sum("source_size").over(whole) / block_words).cast("long"))
+        sources = sainte_lague(targets, ["blocks"], "nth", "target", "blocks", "quota").drop("blocks")
+    else:
+        blocks = int((words or 0) / block_words + 0.5)  # as round() of the other way, half up
+        sources = many_quotas(many_targets(sizes, weights, most, chunk), "nth", "target", blocks, "quota")
+    sources = sources.withColumn("n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long"))
+    sources = materialize(sources, "mix-sources")
 
     # A document's shard comes from the leading digits of its spot, its place in the shard from all of it.
     near = F.conv(F.substring("spot", 1, 12), 16, 10).cast("long")

@@ -235,3 +235,32 @@ def test_host_suffixes_and_long_hosts():
     start = time.time()
     got = judge_urls([long, "http://" + "." * 60000 + "/", None], [RuleFile("/tmp/corate-rules-test.bin")], "allow")
     assert got["rule"].tolist() == ["b.example.com/x", None, None] and time.time() - start < 5
+
+
+def test_many_sources_in_two_levels(spark):
+    """The distributed ranking gives what one window gives."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(["w"] * rng.choice([0, 1, 5, 40, 300])), rng.choice([None, *(f"s{k}" for k in range(60))])) for i in range(900)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plain = sorted(tuple(r) for r in mix_sources(table).collect())
+    assert sorted(tuple(r) for r in mix_sources(table, chunk=7).collect()) == plain
+    assert sorted(tuple(r) for r in mix_sources(table.where("text = ''"), chunk=7).collect()) == sorted(
+        tuple(r) for r in mix_sources(table.where("text = ''")).collect()
+    )
+
+
+def test_a_hundred_thousand_sources(spark):
+    sources = spark.range(100_000).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 50 + 1).cast("int")).alias("text"), F.format_string("host-%06d", "id").alias("source")
+    )
+    got = mix_sources(sources)
+    (row,) = got.agg(F.count("*"), F.sum("size"), F.sum("taken"), F.sum("target"), F.max(F.col("taken") / F.col("size"))).collect()
+    assert row[0] == 100_000 and abs(row[3] - row[1]) < 1 and row[4] <= 3
+    assert 0.7 * row[1] < row[2] < 1.1 * row[1]  # a block is 16 words, and most sources have fewer than three
+
+
+def test_rows_without_an_id_are_spread(spark):
+    rows = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat_ws(" ", F.lit("a b c"), "id").alias("text"), F.lit("s").alias("source"))
+    got = mix_sources(rows, shard_words=4000)
+    (row,) = got.agg(F.count("*"), F.sum("size"), F.sum("taken"), F.countDistinct("taken")).collect()
+    assert row[0] == 20_000 and row[1] == 80_000 and abs(row[2] - row[1]) <= 16 * 20  # a block in each of 20 shards
