@@ -141,7 +141,14 @@ def main(argv=None) -> None:
     The package must be importable (``--py-files`` or ``PYTHONPATH``).
     """
     from corate.session import build_session, scratch_scope
-    from corate.sources.io import read_ratings, write_predictions
+    from corate.sources.io import ingest_ratings, read_ratings, write_predictions
+
+    def read(spark, path, name):
+        if args.quarantine is None:
+            return read_ratings(spark, path)
+        found = ingest_ratings(spark, path, f"{args.quarantine}/{name}")
+        print(f"{name}: {found.n_lines} lines, set aside: {found.n_bad}")
+        return found.rows
 
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("train")
@@ -149,10 +156,11 @@ def main(argv=None) -> None:
     parser.add_argument("method", choices=METHODS)
     parser.add_argument("output")
     parser.add_argument("--keep-validation-in-train", action="store_true")
+    parser.add_argument("--quarantine", help="folder for malformed lines, which else end the job")
     args = parser.parse_args(argv)
     spark = build_session()
     with scratch_scope(spark):
-        train, valid = read_ratings(spark, args.train), read_ratings(spark, args.validation)
+        train, valid = read(spark, args.train, "train"), read(spark, args.validation, "validation")
         result = recommend(train, valid, args.method, exclude_validation=not args.keep_validation_in_train)
         predictions = materialize(result.predictions, "predictions")
         write_predictions(predictions, args.output)

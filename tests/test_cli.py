@@ -34,3 +34,17 @@ def test_recommend_cli(spark):
     main([train_path, valid_path, "mean", out])
     back = {(r.user_id, r.business_id): float(r.prediction) for r in spark.read.option("header", True).csv(out).collect()}
     assert back == {("u3", "b1"): 4.5, ("u9", "b2"): 2.0}
+
+
+def test_recommend_cli_sets_bad_lines_aside(spark, capsys):
+    from corate.plans.recommend import main
+
+    d, train_path = _csv("user_id,business_id,stars\nu1,b1,5\nu1,b2,three\nu2,b1,4,x\nu2,b1,4\n")
+    _, valid_path = _csv("user_id,business_id,stars\nu3,b1,4\nu9\n")
+    out, aside = os.path.join(d, "pred"), os.path.join(d, "aside")
+    main([train_path, valid_path, "mean", out, "--quarantine", aside])
+    back = {(r.user_id, r.business_id): float(r.prediction) for r in spark.read.option("header", True).csv(out).collect()}
+    assert back == {("u3", "b1"): 4.5}
+    lines = {r.line for name in ("train", "validation") for r in spark.read.json(os.path.join(aside, name)).collect()}
+    assert lines == {"u1,b2,three", "u2,b1,4,x", "u9"}
+    assert "train: 4 lines, set aside: {'fields': 1, 'id': 0, 'rating': 1}" in capsys.readouterr().out
