@@ -19,6 +19,8 @@ shingle a 64-bit value, and the sketch retains the ``k`` smallest.
    little.  The prefix principle is applied once more, to the differences.
 5. Members far from the pivot are compared with each other if they share a list.  Jaccard
    distance is a metric: their distances to the pivot must be about equal.
+   In 4 and 5 a pair leaves the join only if its profiles allow it: a profile has a bit for each retained value that
+   some other class retains, so common bits bound the common values, and documents that merely share passages make no row.
 6. Candidates of 4 and 5 are filtered by their sizes and by the estimate of the union's
    sketch (the k smallest values of both sketches together), then checked on full sets.
 7. Links give connected components.
@@ -32,6 +34,8 @@ No list, partner or candidate is capped.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +49,7 @@ from corate.session import materialize
 
 # Distance to its pivot up to which a member is known by how it differs from it.
 REACH = 0.9
+PROFILE_BITS = 512
 SET = "struct<n: bigint, key: binary, sketch: array<bigint>>"
 
 
@@ -99,6 +104,13 @@ def full_sets(texts: Column, words: int) -> Column:
     return full(texts)
 
 
+def _allowed(x: str, y: str) -> Column:
+    """May two nodes share as many retained values as a link asks for?  Values that share a bit with another of their own are conceded."""
+    both = [F.bit_count(F.col(f"{x}.b{w}").bitwiseAND(F.col(f"{y}.b{w}"))) for w in range(PROFILE_BITS // 64)]
+    least = F.greatest(f"{x}.overlap", f"{y}.overlap") - F.least(f"{x}.lost", f"{y}.lost")
+    return reduce(add, both) >= least
+
+
 class NearDuplicates:
     """The steps above over one table of documents; ``percent``: least similarity in hundredths."""
 
@@ -119,8 +131,8 @@ class NearDuplicates:
         found = rows.groupBy("key").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
         return materialize(found, "near-classes")
 
-    def postings(self, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The lists to look into (value, node, n), and the sketches of their nodes (node, n, sketch)."""
+    def postings(self, classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The lists to look into (value, node, n), the sketches of their nodes (node, n, sketch), and their profiles (node, profile)."""
         entries = classes.select("node", "n", F.explode("sketch").alias("value"))
         shared = entries.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
         kept = F.least(F.col("n"), F.lit(self.k))
@@ -135,13 +147,17 @@ class NearDuplicates:
             .when(F.col("n") < self.k, F.least(sampled, entire))
             .otherwise(sampled)
         )
+        words = range(PROFILE_BITS // 64)
+        bits = [F.expr(f"bit_or(IF((value >> 6 & {len(words) - 1}) = {w}, shiftleft(1L, CAST(value & 63 AS INT)), 0L))").alias(f"b{w}") for w in words]
         listed = (
             entries.join(shared, "value")
             .groupBy("node", "n")
-            .agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared"), F.sum("df").alias("weight"))
-            .withColumn("prefix", kept - overlap + 1 - (kept - F.size("shared")))
+            .agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared"), F.sum("df").alias("weight"), *bits)
+            .withColumn("overlap", overlap.cast("int"))
+            .withColumn("lost", F.size("shared") - reduce(add, [F.bit_count(f"b{w}") for w in words]))
+            .withColumn("prefix", kept - F.col("overlap") + 1 - (kept - F.size("shared")))
             .where("prefix > 0")
-            .select("node", "n", "weight", F.transform(F.slice("shared", 1, F.col("prefix").cast("int")), lambda x: x["value"]).alias("values"))
+            .select("node", "n", "weight", F.struct("overlap", "lost", *[f"b{w}" for w in words]).alias("profile"), F.transform(F.slice("shared", 1, F.col("prefix").cast("int")), lambda x: x["value"]).alias("values"))
         )
         listed = materialize(listed, "near-lists")
         values = listed.select("node", "n", "weight", F.explode("values").alias("value"))
@@ -149,7 +165,11 @@ class NearDuplicates:
         lists = values.groupBy("value").agg(F.count(F.lit(1)).alias("members"), central.alias("central")).where("members > 1")
         values = materialize(values.join(lists.select("value", F.col("central.node").alias("pivot")), "value"), "near-postings")
         nodes = values.select("node", "n").distinct()
-        return values, materialize(classes.select("node", "n", "sketch").join(nodes, ["node", "n"]), "near-sketches")
+        sketches = materialize(classes.select("node", "n", "sketch").join(nodes, ["node", "n"]), "near-sketches")
+        # An id with several texts is one node: any of them may be linked, so it is let through.
+        open_ = F.struct(F.lit(0).alias("overlap"), F.lit(0).alias("lost"), *[F.lit(-1).cast("bigint").alias(f"b{w}") for w in words])
+        own = F.when(F.count(F.lit(1)) == 1, F.first("profile")).otherwise(open_)
+        return values, sketches, materialize(listed.groupBy("node").agg(own.alias("profile")), "near-profiles")
 
     def to_pivots(self, values: DataFrame, sets: DataFrame) -> DataFrame:
         """pivot, node, n, n_pivot, linked, distance and, up to REACH, diff (the sets' symmetric difference)."""
@@ -179,7 +199,7 @@ class NearDuplicates:
         found = found.groupBy("pivot", "node").agg(F.min("found").alias("found"))
         return materialize(found.select("pivot", "node", "found.*"), "near-pivots")
 
-    def by_difference(self, star: DataFrame) -> DataFrame:
+    def by_difference(self, star: DataFrame, profiles: DataFrame) -> DataFrame:
         """Pairs a < b around one pivot, at least one of them not linked to it, that may be linked."""
         ratio = (100 - self.percent) / (100 + self.percent)  # sets are linked if |x ^ y| <= ratio * (|x| + |y|)
         near = star.where("diff IS NOT NULL")
@@ -197,6 +217,7 @@ class NearDuplicates:
             .join(near, ["pivot", "node"])
             .select("pivot", "node", "n", "linked", size.alias("size"), F.size("shared").alias("common"), "shared",
                     F.greatest(F.lit(1), half).alias("half"), F.greatest(F.lit(1), long).alias("long"))
+            .join(profiles, "node")
         )
         nodes = materialize(nodes.where("common >= least(half, long)"), "near-differences")
 
@@ -204,7 +225,7 @@ class NearDuplicates:
             take = (F.col("common") - F.col(least) + 1).cast("int")
             values = F.transform(F.slice("shared", 1, take), lambda x: x["value"])
             cut = rows.where(take > 0).withColumn("value", F.explode(values))
-            return cut.select("pivot", "value", "node", "n", "size", "common").alias(name)
+            return cut.select("pivot", "value", "node", "n", "size", "common", "profile").alias(name)
 
         loose, tied = nodes.where("NOT linked"), nodes.where("linked")
         need = (F.col("x.size") + F.col("y.size") - ratio * (F.col("x.n") + F.col("y.n"))) / 2 - 1e-9
@@ -214,20 +235,21 @@ class NearDuplicates:
             & (100 * F.col("x.n") >= self.percent * F.col("y.n"))
             & (100 * F.col("y.n") >= self.percent * F.col("x.n"))
             & (need <= F.least("x.common", "y.common"))
+            & _allowed("x.profile", "y.profile")
         )
         first = lists(loose, "half", "x").join(lists(loose, "half", "y"), maybe & (F.col("x.node") < F.col("y.node")))
         second = lists(loose, "long", "x").join(lists(tied, "half", "y"), maybe)
         pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
         return first.select(*pair).unionByName(second.select(*pair)).distinct()
 
-    def far_apart(self, values: DataFrame, star: DataFrame) -> DataFrame:
+    def far_apart(self, values: DataFrame, star: DataFrame, profiles: DataFrame) -> DataFrame:
         """Pairs a < b of a list, at least one of them beyond REACH of its pivot, that may be linked."""
         far = 1 - self.percent / 100 + 1e-9
         away = star.where(F.col("distance") >= REACH - far).select("pivot", "node", "n", "distance")
         known = (
             values.select("value", "pivot", "node")
-            .join(away, ["pivot", "node"])
-            .select("value", "node", "n", "distance")
+            .join(away.join(profiles, "node"), ["pivot", "node"])
+            .select("value", "node", "n", "distance", "profile")
         )
         x, y = known.alias("x"), known.alias("y")
         maybe = (
@@ -237,6 +259,7 @@ class NearDuplicates:
             & (100 * F.col("y.n") >= self.percent * F.col("x.n"))
             & (F.greatest("x.distance", "y.distance") >= REACH - 1e-9)
             & (F.abs(F.col("x.distance") - F.col("y.distance")) <= far)
+            & _allowed("x.profile", "y.profile")
         )
         return x.join(y, maybe).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
@@ -263,14 +286,14 @@ class NearDuplicates:
 
     def components(self, docs: DataFrame, sets: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """node, component for the nodes that are not their own component."""
-        values, sketches = self.postings(classes)
+        values, sketches, profiles = self.postings(classes)
         texts = docs.select(F.col(id_col).alias("node"), text_of(text_col).alias("text"))
         wanted = sketches.select("node").distinct()
         full = texts.join(wanted, "node").select("node", full_sets(F.col("text"), self.words).alias("set"))
         full = materialize(full.distinct(), "near-full")
         star = self.to_pivots(values, full)
         links = star.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        more = self.by_difference(star).unionByName(self.far_apart(values, star))
+        more = self.by_difference(star, profiles).unionByName(self.far_apart(values, star, profiles))
         return connected_components(links.unionByName(self.check(more.distinct(), sketches, full)))
 
 

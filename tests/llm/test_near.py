@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 
 from corate.llm.components import connected_components
 from corate.llm.near import near_dedup, near_groups
@@ -117,3 +119,24 @@ def test_components_of_long_paths(spark):
     got = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.component for r in got} == dict.fromkeys(range(1, 300), 0) | dict.fromkeys(range(1001, 1100), 1000)
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_of_common_passages_make_few_candidates(spark):
+    """Texts of 8 out of 40 passages, none a near copy but for some edited ones: of all pairs one in a hundred leaves the joins at most."""
+    from corate.llm.near import NearDuplicates, full_sets
+
+    rng = random.Random(12)
+    passages = [" ".join(f"p{k}w{rng.randrange(10**6)}" for _ in range(40)) for k in range(40)]
+    counts = {}
+    for n in (250, 500):
+        rows = [(i, " ".join(rng.sample(passages, 8)) + f" end{i}") for i in range(n)]
+        rows += [(n + i, rows[i][1].replace("end", "x y z end")) for i in range(20)]
+        assert run(spark, rows) == brute(rows)
+        task = NearDuplicates(85, 5, 64, 7.0)
+        table = spark.createDataFrame(rows, "doc_id long, text string")
+        classes = task.classes(task.describe(table, "doc_id", "text"))
+        values, sketches, profiles = task.postings(classes)
+        full = table.select(F.col("doc_id").alias("node"), full_sets(F.col("text"), 5).alias("set")).join(sketches.select("node"), "node")
+        star = task.to_pivots(values, full)
+        counts[n] = task.by_difference(star, profiles).unionByName(task.far_apart(values, star, profiles)).distinct().count()
+    assert all(c <= 0.01 * n * n / 2 for n, c in counts.items()), counts
