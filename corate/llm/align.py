@@ -40,12 +40,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corate.llm.common import text_slices
+from corate.llm.common import arrow_rows, text_slices
 from corate.session import materialize
 
 # Before a space between two other characters no token goes on.
 UNITS = re.compile(r"(?<=\S) (?=\S)")
 SLICE = 1 << 18  # bytes that are aligned at once
+BATCH_ROWS = 1024  # rows that a task takes in at once
 RESULT = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
@@ -381,7 +382,8 @@ def align_tokens(
     """
     width = len(_vocabularies(*files).b.bytes)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    encoded = materialize(_encoded(rows, files, block_bytes), "aligned")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        encoded = materialize(_encoded(rows, files, block_bytes), "aligned")
     rated = pair_counts(encoded, width)
     asked = encoded.where(F.size("pairs") > 0).select(F.col("block").alias("asked_by"), F.posexplode("pairs").alias("code", "pair"))
     known = asked.join(rated, "pair").select("asked_by", "code", "count", "is_best")
