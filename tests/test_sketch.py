@@ -102,3 +102,35 @@ def test_recall_is_estimated_through_rare_users_only(spark, monkeypatch):
     row = evaluate.estimate_recall(found, d, 0.5).first()
     assert (row.n_items, row.n_truth, row.hits) == (40, 20, 15)
     assert met == [20]
+
+
+def test_items_of_equal_baskets_are_paired_once(spark):
+    """Of a class of copies its smallest member is paired, the others are rows of their own: not copies squared."""
+    from corate.plans.similar import similar_pairs
+
+    sets = {"a": set(range(20)), "b": set(range(4, 22)), "c": set(range(50, 70))}
+    rows = [(u, f"{name}{k:02d}") for name, users in sets.items() for k in range(12) for u in users]
+    pairs = spark.createDataFrame(rows, "user_id bigint, item_id string")
+    every = {(r.id1, r.id2): r.similarity for r in similar_pairs(pairs, min_sim=0.5).collect()}
+    found = {(r.id1, r.id2): r.similarity for r in similar_pairs(pairs, min_sim=0.5, by_class=True).collect()}
+    members = {(f"{name}00", f"{name}{k:02d}"): 1.0 for name in sets for k in range(1, 12)}
+    assert found == {("a00", "b00"): every["a00", "b00"]} | members
+    # All pairs follow from them.
+    of = {m: m for m in (f"{name}00" for name in sets)} | {m: s for s, m in members}
+    spread = {(x, y): 1.0 if of[x] == of[y] else found.get((of[x], of[y])) for x in of for y in of if x < y}
+    assert {k: v for k, v in spread.items() if v is not None} == every
+
+
+def test_many_band_keys_are_shuffled_once(spark):
+    """Sizes of the groups and the join with them read one exchange, and no signature is shuffled."""
+    from corate.functions.hashing import hash_family
+    from corate.operators.minhash import all_band_keys
+
+    rows = [(i, (i * 7 + k * k) % 50) for i in range(60) for k in range(6)]
+    baskets = spark.createDataFrame(rows, "item_id bigint, idx bigint").distinct()
+    family = hash_family(300)
+    keys = all_band_keys(baskets, family, 50, 150, 2, write=False)
+    plan = keys._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "Repartition 8, true" not in plan
+    written = all_band_keys(baskets, family, 50, 150, 2)
+    assert sorted(keys.collect()) == sorted(written.collect())
