@@ -134,3 +134,12 @@ def test_many_band_keys_are_shuffled_once(spark):
     assert "RepartitionByExpression" in plan and "Repartition 8, true" not in plan
     written = all_band_keys(baskets, family, 50, 150, 2)
     assert sorted(keys.collect()) == sorted(written.collect())
+
+
+def test_notes_meet_members_of_groups_only(spark):
+    """Bitmaps are joined with the members of groups of more than one, after the groups are counted; pairs stay the same."""
+    rows = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y"), (2, "z"), (3, "z")], "item bigint, key string")
+    notes = spark.createDataFrame([(k, k % 2) for k in range(1, 4)], "item bigint, odd int")
+    keep = lambda a, b: F.col(f"{a}odd") != F.col(f"{b}odd")
+    found = pairs_within(rows, ["key"], "item", keep=keep, notes=notes, emit={"odds": lambda a, b: F.col(f"{a}odd") + F.col(f"{b}odd")})
+    assert sorted(map(tuple, found.collect())) == [(1, 2, 1), (2, 3, 1)]
