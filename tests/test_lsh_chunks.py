@@ -20,7 +20,7 @@ def _above(df, node: str) -> list[str]:
     return [line.lstrip("+-: ").split(" ")[0] for line in lines[:at]]
 
 
-@pytest.mark.parametrize("query", [registry.q_lsh_candidates])
+@pytest.mark.parametrize("query", [registry.q_lsh_candidates, registry.q_lsh_jaccard])
 def test_pairs_are_not_shuffled(spark, query):
     # Before, pairs met in joins of bands (and again with their baskets) and were told apart by a shuffle.
     assert set(_above(query(spark, SF_SMALL), "MapInArrow")) <= {"Project"}
