@@ -44,7 +44,7 @@ def test_pairs_of_two_chunks_equal_brute_force(spark, monkeypatch, universe, wor
         assert len(rows) == len({(r.id1, r.id2) for r in rows}) and {(r.id1, r.id2) for r in rows} >= set(want)
         if exact:
             assert {(r.id1, r.id2): (r.n1, r.n2, r.shared) for r in rows} == {p: (len(sets[p[0]]), len(sets[p[1]]), len(sets[p[0]] & sets[p[1]])) for p in want}
-        found = {(r.id1, r.id2): r.similarity for r in tiles.tile_jaccard(open_.select("id1", "id2"), d, 100).collect()}
+        found = {(r.id1, r.id2): r.similarity for r in tiles.tile_jaccard(open_.drop("shared"), d, 100).collect()}
         assert {p: s for p, s in found.items() if s >= 0.4} == want and len(want) > 20
 
 
@@ -78,3 +78,32 @@ def test_texts_are_told_apart_in_their_row(spark, tmp_path):
     assert sorted(once.collect()) == [("a", 1), ("b", 1), ("é1", 1)]
     twice = tokens([(1, "A b"), (1, "b c"), (None, "x"), (None, "x y")], "twice")
     assert sorted(map(str, twice.collect())) == sorted(f"Row(user_id='{t}', item_id={i})" for t, i in [("a", 1), ("b", 1), ("c", 1), ("x", None), ("y", None)])
+
+
+@pytest.mark.parametrize("universe", [90, 5000])
+@pytest.mark.parametrize("strings", [False, True])
+def test_exact_pairs_are_not_shuffled(spark, universe, strings):
+    """Before, pairs of rare users' lists were told apart by a shuffle and met their baskets, one copy a pair."""
+    from corate.operators.exact import exact_similar_pairs
+
+    sets = _sets(random.Random(2), universe)
+    if universe > 2048:
+        sets |= {200 + k: set(range(9000 + 40 * k, 9040 + 40 * k)) for k in range(60)}
+    rows = [(f"u{u}" if strings else u, i) for i, s in sets.items() for u in s]
+    d = spark.createDataFrame([*rows, (rows[0][0], None)], f"user_id {'string' if strings else 'bigint'}, item_id bigint")
+    want = {(a, b): _jaccard(sets[a], sets[b]) for a, b in itertools.combinations(sorted(sets), 2)}
+    for distinct in (False, True):
+        found = exact_similar_pairs(d, 0.4, pairs_distinct=distinct)
+        assert set(_above(found, "MapInArrow" if universe == 90 else "FlatMapCoGroupsInArrow")) <= {"Project", "Filter"}
+        assert {(r.id1, r.id2): r.similarity for r in found.collect()} == {p: s for p, s in want.items() if s >= 0.4}
+
+
+def test_lists_are_used_where_they_make_fewer_pairs(spark, monkeypatch):
+    from corate.operators import exact
+
+    monkeypatch.setattr(exact, "ORDERED_PAIRS", 0)
+    apart = spark.createDataFrame([(i, 10 * i + k) for i in range(40) for k in range(5)], "item bigint, user bigint")
+    alike = spark.createDataFrame([(i, k) for i in range(40) for k in range(20)], "item bigint, user bigint")
+    for d, in_order in ((apart, False), (alike, True)):
+        sizes = d.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+        assert exact._all_in_order(d, sizes, 0.5) is in_order
