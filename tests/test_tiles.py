@@ -98,6 +98,22 @@ def test_exact_pairs_are_not_shuffled(spark, universe, strings):
         assert {(r.id1, r.id2): r.similarity for r in found.collect()} == {p: s for p, s in want.items() if s >= 0.4}
 
 
+@pytest.mark.parametrize("bits", [1, 32])
+def test_a_null_user_counts_for_the_size_only(spark, monkeypatch, bits):
+    from corate.operators import exact
+
+    monkeypatch.setattr(exact, "BITMAP_WORDS", bits)
+    sets = _sets(random.Random(3), 300)
+    none = {i for i in sets if i % 3 == 0}
+    d = spark.createDataFrame([*((u, i) for i, s in sets.items() for u in s), *((None, i) for i in none), (None, 999)], "user_id bigint, item_id bigint")
+    want = {}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        shared = len(sets[a] & sets[b])
+        want[a, b] = shared / (len(sets[a]) + (a in none) + len(sets[b]) + (b in none) - shared)
+    found = {(r.id1, r.id2): r.similarity for r in exact.exact_similar_pairs(d, 0.4).collect()}
+    assert found == {p: s for p, s in want.items() if s >= 0.4} and found
+
+
 def test_lists_are_used_where_they_make_fewer_pairs(spark, monkeypatch):
     from corate.operators import exact
 
